@@ -48,13 +48,16 @@ def map_sales(sales: DataFrame, *, null_store: str = "drop") -> DataFrame:
     return df.dropna(subset=["batch_id", "product_id", "date", "store_id"])
 
 
+def daily_sales_aggs() -> list:
+    """E1 measures: sum units (0 if none), max promotion flag, mean seasonality."""
+    return [sum0("units_sold").cast("bigint").alias("units_sold"),
+            F.max("promotion_flag").alias("promotion_flag"),
+            F.avg("seasonality_factor").alias("seasonality_factor")]
+
+
 def daily_sales(sales: DataFrame, *, null_store: str = "drop") -> DataFrame:
     """Hourly -> daily per (batch, product, store, date): sum units, max promotion, mean seasonality."""
-    return (map_sales(sales, null_store=null_store)
-            .groupBy(*SALES_KEYS)
-            .agg(sum0("units_sold").cast("bigint").alias("units_sold"),
-                 F.max("promotion_flag").alias("promotion_flag"),
-                 F.avg("seasonality_factor").alias("seasonality_factor")))
+    return map_sales(sales, null_store=null_store).groupBy(*SALES_KEYS).agg(*daily_sales_aggs())
 
 
 def daily_logistics(logistics: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perishables import schemas
+from perishables.functions.aggregates import exact_avg, exact_sum0
 from perishables.functions.coerce import add_missing_columns
 from perishables.functions.nulls import flag, sum0
 from perishables.functions.scalars import NEAR_EXPIRY_DAYS
@@ -45,7 +46,7 @@ def product_store_daily(curated: DataFrame) -> DataFrame:
                  sum0("max_capacity_per_day_liters").cast("bigint").alias("max_capacity_per_day_liters"),
                  sum0(F.col("energy_consumption_kwh").cast("double")).cast("double").alias("energy_consumption_kwh"),
                  sum0(F.col("transport_time_hours").cast("double")).cast("double").alias("transport_time_hours"),
-                 F.avg(F.col("transport_temperature_c").cast("double")).alias("transport_temperature_c"),
+                 exact_avg(F.col("transport_temperature_c").cast("double")).alias("transport_temperature_c"),
                  F.min("days_to_expiration").alias("days_to_expiration")))
 
 
@@ -62,7 +63,7 @@ def _scalar_aggs() -> list[Column]:
         F.max_by("available_stock", "date").cast("double").alias("last_stock"),
         sum0("max_capacity_per_day_liters").cast("double").alias("cap_sum"),
         F.max(flag(near)).alias("expiration_risk"),
-        F.avg("energy_consumption_kwh").alias("avg_energy"),
+        exact_avg(F.col("energy_consumption_kwh")).alias("avg_energy"),
     ]
 
 
@@ -117,12 +118,6 @@ def model_choice(scalars: DataFrame, settings: ForecastSettings) -> DataFrame:
                           F.when(use_ets, F.lit("ets")).otherwise(F.lit("baseline")).alias("model"))
 
 
-def _ordered_sum(values: Column, order: Column) -> Column:
-    """Left-to-right sum in date order, so totals do not depend on task layout."""
-    items = F.array_sort(F.collect_list(F.struct(order.alias("k"), values.alias("v"))))
-    return F.aggregate(items, F.lit(0.0), lambda acc, x: acc + x["v"])
-
-
 def forecast_values(profile: DataFrame, existing: DataFrame | None, settings: ForecastSettings) -> DataFrame:
     """H5 -> C6 -> F6 -> K1/K2/K3: yhat per remaining date."""
     rows = remaining_dates(future_dates(profile, settings.horizon_days), existing)
@@ -147,7 +142,7 @@ def derive_rows(values: DataFrame, profile: DataFrame) -> DataFrame:
     """Spread waste and suggested production evenly over the remaining dates."""
     totals = values.groupBy(*SERIES).agg(
         F.count(F.lit(1)).alias("n_rem"),
-        _ordered_sum(F.col("forecasted_sales"), F.col("forecast_date")).alias("total_forecast"))
+        exact_sum0(F.col("forecasted_sales")).alias("total_forecast"))
     per = totals.join(profile.select(*SERIES, "last_stock", "cap_sum", "expiration_risk", "avg_energy"),
                       SERIES, "inner")
     n = F.greatest(F.col("n_rem"), F.lit(1)).cast("double")
