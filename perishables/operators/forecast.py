@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perishables import schemas
-from perishables.functions.aggregates import exact_avg, exact_sum0
+from perishables.functions.aggregates import EXACT_SUM_TYPE, exact_avg
 from perishables.functions.coerce import add_missing_columns
 from perishables.functions.nulls import flag, sum0
 from perishables.functions.scalars import NEAR_EXPIRY_DAYS
@@ -118,52 +118,60 @@ def model_choice(scalars: DataFrame, settings: ForecastSettings) -> DataFrame:
                           F.when(use_ets, F.lit("ets")).otherwise(F.lit("baseline")).alias("model"))
 
 
-def forecast_values(profile: DataFrame, existing: DataFrame | None, settings: ForecastSettings) -> DataFrame:
-    """H5 -> C6 -> F6 -> K1/K2/K3: yhat per remaining date."""
-    rows = remaining_dates(future_dates(profile, settings.horizon_days), existing)
-    if settings.step_mode == "compact":
-        w = Window.partitionBy(*SERIES).orderBy("forecast_date")
-        rows = rows.withColumn("step", F.row_number().over(w))
-    rows = rows.join(profile.select(*SERIES, "baseline"), SERIES, "left")
+def _yhat(settings: ForecastSettings) -> Column:
     baseline = F.coalesce(F.col("baseline"), F.lit(0.0))
     if settings.model.lower() != "ets":
-        return rows.withColumn("forecasted_sales", baseline)
-    chosen = model_choice(profile, settings).filter(F.col("model") == "ets").select(*SERIES)
-    fits = holt_winters.fit(profile.join(chosen, SERIES, "left_semi"))
-    rows = rows.join(fits, SERIES, "left")
+        return baseline
     ets = holt_winters.forecast_expr(F.col("step"))
     finite = ets.isNotNull() & ~F.isnan(ets) & (F.abs(ets) != F.lit(float("inf")))
-    yhat = F.when(F.col("model_state").isNotNull() & finite, F.when(ets < 0, F.lit(0.0)).otherwise(ets)) \
+    return F.when(F.col("model_state").isNotNull() & finite, F.when(ets < 0, F.lit(0.0)).otherwise(ets)) \
         .otherwise(baseline)
-    return rows.withColumn("forecasted_sales", yhat).drop("model_state")
 
 
-def derive_rows(values: DataFrame, profile: DataFrame) -> DataFrame:
-    """Spread waste and suggested production evenly over the remaining dates."""
-    totals = values.groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("n_rem"),
-        exact_sum0(F.col("forecasted_sales")).alias("total_forecast"))
-    per = totals.join(profile.select(*SERIES, "last_stock", "cap_sum", "expiration_risk", "avg_energy"),
-                      SERIES, "inner")
+def forecast_from_profile(profile: DataFrame, existing: DataFrame | None,
+                          settings: ForecastSettings) -> DataFrame:
+    """H5 -> C6 -> F6 -> K1/K2/K3 -> J7-J9 as one linear plan over per-series rows.
+
+    The fitted state travels with the series row (``mapInPandas`` pass-through)
+    and the per-series totals are a window partitioned by series, so the
+    profile is consumed once and nothing joins back to it.
+    """
+    prof = profile
+    if settings.model.lower() == "ets":
+        threshold = max(3, settings.min_history_days)
+        prof = holt_winters.attach_state(prof.withColumn("use_ets", F.col("n_days") >= threshold), "use_ets")
+    else:
+        prof = prof.withColumn("model_state", F.lit(None))
+    rows = prof.select(*SERIES, "last_stock", "cap_sum", "expiration_risk", "avg_energy", "baseline",
+                       "model_state", F.explode(F.sequence(F.lit(1), F.lit(settings.horizon_days))).alias("step"),
+                       F.col("last_date"))
+    rows = rows.withColumn("forecast_date", F.date_add("last_date", F.col("step")))
+    rows = remaining_dates(rows, existing)
+    series = Window.partitionBy(*SERIES)
+    if settings.step_mode == "compact":
+        rows = rows.withColumn("step", F.row_number().over(series.orderBy("forecast_date")))
+    rows = rows.withColumn("forecasted_sales", _yhat(settings).cast("double"))
+    rows = rows.withColumns({
+        "n_rem": F.count(F.lit(1)).over(series),
+        "total_forecast": F.coalesce(F.sum(F.col("forecasted_sales").cast(EXACT_SUM_TYPE)).over(series).cast("double"),
+                                     F.lit(0.0)),
+    })
     n = F.greatest(F.col("n_rem"), F.lit(1)).cast("double")
     waste = F.col("last_stock") - F.col("total_forecast")
     gap = F.col("total_forecast") - F.col("last_stock")
     sugg = F.when(gap > 0, gap).otherwise(F.lit(0.0))
     sugg = F.when(F.col("cap_sum") > 0, F.least(sugg, F.col("cap_sum") * F.col("n_rem"))).otherwise(sugg)
-    per = per.select(
-        *SERIES,
+    return rows.select(
+        *SERIES, "forecast_date", "forecasted_sales",
         (F.when(waste > 0, waste).otherwise(F.lit(0.0)) / n).alias("predicted_waste"),
         (sugg / n).alias("suggested_production"),
         F.col("expiration_risk").cast("int").alias("expiration_risk"),
         F.col("avg_energy").cast("double").alias("predicted_logistics_cost"))
-    out = values.select(*SERIES, "forecast_date", F.col("forecasted_sales").cast("double")).join(per, SERIES)
-    return out.select(*[f.name for f in schemas.FORECAST.fields])
 
 
 def forecast_from_daily(daily: DataFrame, existing: DataFrame | None = None,
                         settings: ForecastSettings = ForecastSettings()) -> DataFrame:
-    profile = series_profile(daily, settings.baseline_window)
-    return derive_rows(forecast_values(profile, existing, settings), profile)
+    return forecast_from_profile(series_profile(daily, settings.baseline_window), existing, settings)
 
 
 def forecast_rows(curated: DataFrame, existing: DataFrame | None = None,

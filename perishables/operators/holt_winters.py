@@ -28,6 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from perishables import schemas
 
@@ -38,9 +39,6 @@ ALPHAS = [0.01, 0.05, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9]
 BETAS = [0.001, 0.01, 0.05, 0.1, 0.3]
 GAMMAS = [0.01, 0.05, 0.1, 0.3, 0.5]
 
-STATE_SCHEMA = ("product_id long, store_id string, l double, b double, s array<double>, "
-                "alpha double, beta double, gamma double, sse double, seasonal boolean")
-
 
 def fit_series(y: np.ndarray) -> dict:
     """Grid-search fit of one series (numpy, vectorised over the grid)."""
@@ -77,23 +75,37 @@ def fit_series(y: np.ndarray) -> dict:
             "beta": float(be[k]), "gamma": float(g[k]), "sse": float(sse[k]), "seasonal": bool(seasonal)}
 
 
-def _fit_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    cols = ["product_id", "store_id", "l", "b", "s", "alpha", "beta", "gamma", "sse", "seasonal"]
+STATE_TYPE = T.StructType([
+    T.StructField("l", T.DoubleType()), T.StructField("b", T.DoubleType()),
+    T.StructField("s", T.ArrayType(T.DoubleType())), T.StructField("alpha", T.DoubleType()),
+    T.StructField("beta", T.DoubleType()), T.StructField("gamma", T.DoubleType()),
+    T.StructField("sse", T.DoubleType()), T.StructField("seasonal", T.BooleanType()),
+])
+
+
+def _state_batches(batches: Iterator[pd.DataFrame], flag: str) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out = []
-        for pid, sid, hist in zip(pdf["product_id"], pdf["store_id"], pdf["history"]):
-            out.append({"product_id": pid, "store_id": sid, **fit_series(np.asarray(hist, dtype=float))})
-        yield pd.DataFrame(out, columns=cols)
+        states = [fit_series(np.asarray(h, dtype=float)) if use else None
+                  for h, use in zip(pdf["history"], pdf[flag])]
+        pdf = pdf.copy()
+        pdf["model_state"] = states
+        yield pdf
 
 
-def fit(profile: DataFrame) -> DataFrame:
-    """Best grid point per series from rows (product_id, store_id, history array).
+def attach_state(profile: DataFrame, flag: str = "use_ets") -> DataFrame:
+    """Per-series rows in, the same rows out plus ``model_state`` (null where ``flag`` is false).
 
-    Returns product_id, store_id and a ``model_state`` struct.
+    Rows pass through unchanged, so the plan stays linear: no join back to the
+    profile, and the series partitioning is kept.
     """
-    states = profile.select(*SERIES, "history").mapInPandas(_fit_batches, STATE_SCHEMA)
-    return states.select(*SERIES, F.struct("l", "b", "s", "alpha", "beta", "gamma", "sse", "seasonal")
-                         .alias("model_state"))
+    schema = T.StructType(profile.schema.fields + [T.StructField("model_state", STATE_TYPE, True)])
+    return profile.mapInPandas(lambda it: _state_batches(it, flag), schema)
+
+
+def fit(profile: DataFrame) -> DataFrame:
+    """Best grid point for every series row (product_id, store_id, history): adds ``model_state``."""
+    return attach_state(profile.select(*SERIES, "history", F.lit(True).alias("_fit")), "_fit") \
+        .select(*SERIES, "model_state")
 
 
 def forecast_expr(step: Column, state: str = "model_state") -> Column:

@@ -18,7 +18,7 @@ from perishables.functions import coerce
 from perishables.functions.nulls import clip_range
 from perishables.functions.scalars import PRODUCT_TYPES, expiry_date, shelf_life_days, weekday_factor
 from perishables.operators import curate, forecast, quality, reports
-from perishables.session import scratch_path
+from perishables.session import cut_lineage, scratch_path
 from perishables.settings import ForecastSettings, ReportFilters
 from perishables.sources import domain_views, forecast_store, incremental, tables
 from perishables.streaming import incremental_sales
@@ -45,6 +45,11 @@ def _curated(spark: SparkSession, sf: str) -> DataFrame:
     return curate.curated_from(_domain(spark, sf))
 
 
+def _curated_cut(spark: SparkSession, sf: str) -> DataFrame:
+    """Curated fact materialised once for queries that read it more than once."""
+    return cut_lineage(_curated(spark, sf))
+
+
 def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
@@ -164,13 +169,13 @@ def q_expiry_date(spark, sf):
                     expiry_date(F.col("production_date"), F.col("shelf_life_days")).alias("expiry_date"))
 
 
-def _forecast(spark, sf, settings=BASELINE, existing=None):
-    return forecast.forecast_rows(_curated(spark, sf), existing, settings)
+def _forecast(spark, sf, settings=BASELINE, existing=None, cur=None):
+    return forecast.forecast_rows(_curated(spark, sf) if cur is None else cur, existing, settings)
 
 
-def _done(spark, sf):
-    """Forecast rows already stored: the first DONE_STEPS days of a baseline run."""
-    f = forecast.future_dates(forecast.series_scalars(forecast.product_store_daily(_curated(spark, sf))), DONE_STEPS)
+def _done(cur: DataFrame) -> DataFrame:
+    """Forecast keys already stored: the first DONE_STEPS days after each series' history."""
+    f = forecast.future_dates(forecast.series_scalars(forecast.product_store_daily(cur)), DONE_STEPS)
     return f.select(*schemas.FORECAST_KEYS)
 
 
@@ -185,9 +190,10 @@ def q_forecast_json_roundtrip(spark, sf):
 
 
 def q_forecast_upsert(spark, sf):
-    existing = _forecast(spark, sf, ForecastSettings(model="baseline", horizon_days=30))
-    newer = forecast.forecast_rows(_curated(spark, sf), None, ForecastSettings(model="baseline", horizon_days=40))
-    newer = newer.join(_done(spark, sf), schemas.FORECAST_KEYS, "left_anti")
+    cur = _curated_cut(spark, sf)
+    existing = forecast.forecast_rows(cur, None, ForecastSettings(model="baseline", horizon_days=30))
+    newer = forecast.forecast_rows(cur, None, ForecastSettings(model="baseline", horizon_days=40))
+    newer = newer.join(_done(cur), schemas.FORECAST_KEYS, "left_anti")
     return forecast.upsert(existing, newer)
 
 
@@ -298,8 +304,9 @@ def q_future_dates(spark, sf):
 
 
 def q_incremental_dates(spark, sf):
-    s = forecast.series_scalars(forecast.product_store_daily(_curated(spark, sf)))
-    return forecast.remaining_dates(forecast.future_dates(s, 30), _done(spark, sf))
+    cur = _curated_cut(spark, sf)
+    s = forecast.series_scalars(forecast.product_store_daily(cur))
+    return forecast.remaining_dates(forecast.future_dates(s, 30), _done(cur))
 
 
 def q_model_choice(spark, sf):
@@ -312,7 +319,8 @@ def q_baseline_forecast(spark, sf):
 
 
 def q_forecast_rows(spark, sf):
-    return _forecast(spark, sf, BASELINE, _done(spark, sf))
+    cur = _curated_cut(spark, sf)
+    return _forecast(spark, sf, BASELINE, _done(cur), cur)
 
 
 def q_holt_winters(spark, sf):
@@ -322,7 +330,7 @@ def q_holt_winters(spark, sf):
 # ------------------------------------------------------------ reports
 def _views(spark, sf, filters=DASHBOARD_FILTERS):
     d = _domain(spark, sf)
-    cur = curate.curated_from(d)
+    cur = cut_lineage(curate.curated_from(d))
     fc = forecast.forecast_rows(cur, None, BASELINE)
     return d, cur, fc, reports.forecast_window(fc, filters), reports.apply_filters(cur, filters)
 
@@ -414,7 +422,7 @@ def _ops(spark, sf) -> dict[str, DataFrame]:
     d = _domain(spark, sf)
     cur = curate.curated_from(d)
     return {**{k: v for k, v in d.as_dict().items() if k != "product_catalog"},
-            "forecast": forecast.forecast_rows(cur, None, BASELINE)}
+            "forecast": cut_lineage(forecast.forecast_rows(cur, None, BASELINE))}
 
 
 def q_row_counts(spark, sf):

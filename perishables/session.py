@@ -52,22 +52,28 @@ def build_session(master: str | None = None, app: str = "perishables",
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir`` (also the RDD checkpoint folder).
 
-    The session setting is read first; only when it is unset (local tests) a
-    private temporary folder is created and registered, so lineage cuts and
-    intermediate tables always land in the folder the cluster names.
+    The session setting is read first; only when nothing is configured (local
+    tests) a private temporary folder is created and registered, so lineage
+    cuts and intermediate tables always land in the folder the cluster names.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="perishables-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-        spark.sparkContext.setCheckpointDir(path)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
+def cut_lineage(df):
+    """Reliable checkpoint into the scratch folder (survives lost executors; never a local checkpoint)."""
+    scratch_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the scratch folder."""
     base = scratch_dir(spark).rstrip("/")

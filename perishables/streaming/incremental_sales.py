@@ -99,3 +99,18 @@ def run_daily_sales_stream(spark: SparkSession, sales_stream: DataFrame, sink_ro
 def touched_series(batch: DataFrame) -> DataFrame:
     """M2: the (product, store) series a micro-batch changed."""
     return batch.select("product_id", "store_id").dropna().distinct()
+
+
+def forecast_touched_series(batch: DataFrame, curated: DataFrame, store, settings) -> int:
+    """M2: rerun the forecast for the series a micro-batch touched and upsert the new rows.
+
+    ``curated`` is the current curated fact (e.g. the curated table read back);
+    it is restricted to the touched series with a semi join, so the work per
+    micro-batch is proportional to the series it changed.  Returns the new
+    forecast version.
+    """
+    from perishables.operators import forecast
+
+    scope = curated.join(touched_series(batch), ["product_id", "store_id"], "left_semi")
+    new_rows = forecast.forecast_rows(scope, store.read(), settings)
+    return store.upsert(new_rows)

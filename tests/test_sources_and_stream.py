@@ -89,3 +89,36 @@ def test_curated_keeps_left_rows(spark):
     from perishables.sources.domain_views import load_domain
     d = load_domain(spark, SF_SMALL)
     assert curate.curated_from(d).count() == curate.daily_sales(d.sales).count()
+
+
+def test_pipeline_rerun_adds_nothing_and_falls_back(spark):
+    from perishables.plans import pipeline
+    from perishables.settings import ForecastSettings
+    from perishables.sources.domain_views import load_domain
+
+    root = scratch_path(spark, "pipeline-test")
+    settings = ForecastSettings(model="ets", horizon_days=7)
+    first = pipeline.run_pipeline(spark, load_domain(spark, SF_SMALL), root, settings)
+    n_first = first["forecast"].count()
+    assert n_first > 0 and first["curated"].count() == QUERIES["curated_sales"](spark, SF_SMALL).count()
+    second = pipeline.run_pipeline(spark, load_domain(spark, SF_SMALL), root, settings,
+                                   as_of=dt.date(1990, 1, 1))
+    # nothing new: the fallback shows the stored window starting at the first date on/after as_of
+    shown = second["forecast"].collect()
+    assert 0 < len(shown) <= n_first
+    exported = spark.read.json(f"{root}/dashboard_output")
+    assert exported.count() == len(shown)
+
+
+def test_forecast_touched_series(spark):
+    from perishables.settings import ForecastSettings
+    from perishables.sources.forecast_store import ForecastStore
+    from perishables.streaming.incremental_sales import forecast_touched_series
+
+    cur = QUERIES["curated_sales"](spark, SF_SMALL)
+    store = ForecastStore(spark, scratch_path(spark, "touched"))
+    batch = cur.filter((F.col("product_id") == 1) & (F.col("store_id") == "S1")).limit(1)
+    forecast_touched_series(batch, cur, store, ForecastSettings(model="baseline", horizon_days=5))
+    got = store.read().select("product_id", "store_id").distinct().collect()
+    assert [(r.product_id, r.store_id) for r in got] == [(1, "S1")]
+    assert store.read().count() == 5
