@@ -7,178 +7,172 @@ they leave some batches without a quality/inventory/factory row, which is how
 orphan checks, null stock and missing capacity get exercised.  They are not
 samples — every source row is read.
 
-All derived columns are written so that an ANSI SQL engine computes the very
-same doubles (integer arithmetic first, one exact division last).
+Each view is one projection written as Spark SQL expressions that already
+produce the canonical schema (``schemas.py``) with explicit casts.  Derived
+doubles use integer arithmetic and one exact division, so an ANSI SQL engine
+computes the very same values.  Views are built lazily: a query only
+constructs the tables it reads.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perishables import schemas
-from perishables.functions.coerce import conform
 
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _product_id(custkey: Column) -> Column:
-    return custkey % 5 + 1
-
-
-def _grade(orderkey: Column, high: str, medium: str, low: str) -> Column:
-    r = (orderkey % 3).cast("int")
-    return F.when(r == 0, F.lit(high)).when(r == 1, F.lit(medium)).otherwise(F.lit(low))
-
-
-def _order_date(o: DataFrame) -> Column:
-    return F.to_date(o.o_orderdate)
+PID = "o_custkey % 5 + 1"
+ORDER_DATE = "CAST(o_orderdate AS DATE)"
+LINE_DATE = "date_add(CAST(o_orderdate AS DATE), CAST(l_partkey % 12 AS INT))"
+GRADE = "CASE CAST(o_orderkey % 3 AS INT) WHEN 0 THEN '{}' WHEN 1 THEN '{}' ELSE '{}' END"
+
+PRODUCTION = [
+    "o_orderkey AS batch_id", f"{PID} AS product_id",
+    f"concat('type_', CAST({PID} AS STRING)) AS product_type", f"{ORDER_DATE} AS production_date",
+    "CAST(o_custkey % 24 AS INT) AS production_hour", f"{GRADE.format('high', 'medium', 'low')} AS grade",
+    "CAST(2 + o_orderkey % 19 AS INT) AS shelf_life_days",
+]
+QUALITY = [
+    "o_orderkey AS batch_id", "CAST(30 + o_custkey % 66 AS DOUBLE) / 10.0D AS ph",
+    "CAST(34 + o_orderkey % 57 AS DOUBLE) AS temperature", "CAST(o_custkey % 4 - 1 AS INT) AS taste",
+    "CAST(o_custkey % 3 AS INT) AS odor", "CAST(o_orderkey % 2 AS INT) AS fat",
+    "CAST(o_custkey % 2 AS INT) AS turbidity", "CAST(230 + o_custkey % 40 AS INT) AS colour",
+    f"{GRADE.format(' High', 'MEDIUM', 'low ')} AS grade",
+]
+INVENTORY = [
+    "o_orderkey AS batch_id", f"{PID} AS product_id", f"{ORDER_DATE} AS production_date",
+    "CAST(o_custkey % 24 AS INT) AS production_hour",
+    "CAST(floor(o_totalprice / 5000.0D) AS BIGINT) + 20 AS initial_stock_liters",
+    "CAST(floor(o_totalprice / 5000.0D) AS BIGINT) AS current_stock_liters",
+    "CAST(floor(o_totalprice / 50000.0D) AS BIGINT) AS reorder_level_liters",
+    "CAST(floor(o_totalprice / 20000.0D) AS BIGINT) AS reorder_quantity_liters",
+    "concat('W', CAST(o_orderkey % 4 AS STRING)) AS warehouse_location",
+    "CAST(4 + o_orderkey % 9 AS DOUBLE) / 2.0D AS storage_temperature_c",
+]
+SALES = [
+    "l_orderkey AS batch_id", f"{PID} AS product_id", "concat('S', CAST(l_suppkey % 10 + 1 AS STRING)) AS store_id",
+    f"{LINE_DATE} AS sale_date", "CAST(8 + l_linenumber AS INT) AS sale_hour",
+    "CAST(l_quantity AS BIGINT) AS units_sold",
+    "CASE WHEN l_discount >= 0.08D THEN 1 ELSE 0 END AS promotion_flag",
+    "CASE WHEN l_tax >= 0.05D THEN 1.125D ELSE 1.0D END AS seasonality_factor",
+]
+FACTORY = [
+    "o_orderkey AS batch_id", f"{PID} AS product_id", f"{ORDER_DATE} AS production_date",
+    "CAST(o_custkey % 24 AS INT) AS production_hour", "concat('L', CAST(o_orderkey % 5 + 1 AS STRING)) AS line_id",
+    "CAST(CASE WHEN o_orderkey % 11 = 0 THEN 0 ELSE 64 END AS BIGINT) AS quantity_produced_liters",
+    "CAST(1 + o_orderkey % 3 AS INT) AS lead_time_days",
+    "CAST(CASE WHEN o_orderkey % 7 <> 0 THEN 10 + o_orderkey % 23 END AS BIGINT) AS max_capacity_per_day_liters",
+    "CAST(80 + o_orderkey % 16 AS DOUBLE) AS energy_consumption_kwh",
+]
+LOGISTICS = [
+    "l_orderkey AS batch_id", f"{PID} AS product_id", f"{LINE_DATE} AS transport_date",
+    "CAST(8 + l_suppkey % 13 AS INT) AS transport_hour", "CAST(l_linenumber AS DOUBLE) AS transport_time_hours",
+    "CASE WHEN l_partkey % 9 <> 0 THEN CAST(8 + l_suppkey % 17 AS DOUBLE) / 4.0D END AS transport_temperature_c",
+    "CAST(2 + l_linenumber AS DOUBLE) * 2.5D AS energy_consumption_kwh",
+    "concat('W', CAST(l_suppkey % 4 AS STRING)) AS warehouse_location",
+]
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax",
+                "l_returnflag"]
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderdate"]
+
+
+def _typed(df: DataFrame, schema) -> DataFrame:
+    """Pin the canonical types (a no-op cast when the expressions already produce them)."""
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
 
 
 def production(orders: DataFrame) -> DataFrame:
-    o = orders
-    return conform(o.select(
-        o.o_orderkey.alias("batch_id"),
-        _product_id(o.o_custkey).alias("product_id"),
-        F.concat(F.lit("type_"), _product_id(o.o_custkey).cast("string")).alias("product_type"),
-        _order_date(o).alias("production_date"),
-        (o.o_custkey % 24).cast("int").alias("production_hour"),
-        _grade(o.o_orderkey, "high", "medium", "low").alias("grade"),
-        (F.lit(2) + o.o_orderkey % 19).cast("int").alias("shelf_life_days"),
-    ), schemas.PRODUCTION)
+    return _typed(orders.selectExpr(*PRODUCTION), schemas.PRODUCTION)
 
 
 def quality_raw(orders: DataFrame) -> DataFrame:
     """Quality rows before cleaning: grades need trim/lower, flags and colour need clipping."""
-    o = orders.filter(F.col("o_orderkey") % 17 != 0)
-    return conform(o.select(
-        o.o_orderkey.alias("batch_id"),
-        ((F.lit(30) + o.o_custkey % 66).cast("double") / F.lit(10.0)).alias("ph"),
-        (F.lit(34) + o.o_orderkey % 57).cast("double").alias("temperature"),
-        (o.o_custkey % 4 - 1).cast("int").alias("taste"),
-        (o.o_custkey % 3).cast("int").alias("odor"),
-        (o.o_orderkey % 2).cast("int").alias("fat"),
-        (o.o_custkey % 2).cast("int").alias("turbidity"),
-        (F.lit(230) + o.o_custkey % 40).cast("int").alias("colour"),
-        _grade(o.o_orderkey, " High", "MEDIUM", "low ").alias("grade"),
-    ), schemas.QUALITY)
+    return _typed(orders.filter("o_orderkey % 17 <> 0").selectExpr(*QUALITY), schemas.QUALITY)
 
 
 def inventory(orders: DataFrame) -> DataFrame:
-    o = orders.filter(F.col("o_orderkey") % 20 != 0)
-    stock = F.floor(o.o_totalprice / F.lit(5000.0)).cast("bigint")
-    return conform(o.select(
-        o.o_orderkey.alias("batch_id"),
-        _product_id(o.o_custkey).alias("product_id"),
-        _order_date(o).alias("production_date"),
-        (o.o_custkey % 24).cast("int").alias("production_hour"),
-        (stock + F.lit(20)).alias("initial_stock_liters"),
-        stock.alias("current_stock_liters"),
-        F.floor(o.o_totalprice / F.lit(50000.0)).cast("bigint").alias("reorder_level_liters"),
-        F.floor(o.o_totalprice / F.lit(20000.0)).cast("bigint").alias("reorder_quantity_liters"),
-        F.concat(F.lit("W"), (o.o_orderkey % 4).cast("string")).alias("warehouse_location"),
-        ((F.lit(4) + o.o_orderkey % 9).cast("double") / F.lit(2.0)).alias("storage_temperature_c"),
-    ), schemas.INVENTORY)
+    return _typed(orders.filter("o_orderkey % 20 <> 0").selectExpr(*INVENTORY), schemas.INVENTORY)
 
 
 def factory(orders: DataFrame) -> DataFrame:
-    o = orders.filter(F.col("o_orderkey") % 13 != 0)
-    return conform(o.select(
-        o.o_orderkey.alias("batch_id"),
-        _product_id(o.o_custkey).alias("product_id"),
-        _order_date(o).alias("production_date"),
-        (o.o_custkey % 24).cast("int").alias("production_hour"),
-        F.concat(F.lit("L"), (o.o_orderkey % 5 + 1).cast("string")).alias("line_id"),
-        F.when(o.o_orderkey % 11 == 0, F.lit(0)).otherwise(F.lit(64)).cast("bigint")
-        .alias("quantity_produced_liters"),
-        (F.lit(1) + o.o_orderkey % 3).cast("int").alias("lead_time_days"),
-        F.when(o.o_orderkey % 7 != 0, F.lit(10) + o.o_orderkey % 23).cast("bigint")
-        .alias("max_capacity_per_day_liters"),
-        (F.lit(80) + o.o_orderkey % 16).cast("double").alias("energy_consumption_kwh"),
-    ), schemas.FACTORY)
-
-
-def _line_orders(lineitem: DataFrame, orders: DataFrame, line_filter: Column | None = None) -> DataFrame:
-    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                         "l_discount", "l_tax", "l_returnflag")
-    if line_filter is not None:
-        li = li.filter(line_filter)
-    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    return _typed(orders.filter("o_orderkey % 13 <> 0").selectExpr(*FACTORY), schemas.FACTORY)
 
 
-def _line_date(j: DataFrame) -> Column:
-    return F.date_add(F.to_date(j.o_orderdate), (j.l_partkey % 12).cast("int"))
+def _line_orders(lineitem: DataFrame, orders: DataFrame, line_filter: str | None = None) -> DataFrame:
+    li = lineitem.select(*LINE_COLUMNS)
+    if line_filter is not None:
+        li = li.filter(line_filter)
+    return li.join(orders.select(*ORDER_COLUMNS), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
 
 
 def sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    j = _line_orders(lineitem, orders)
-    return conform(j.select(
-        j.l_orderkey.alias("batch_id"),
-        _product_id(j.o_custkey).alias("product_id"),
-        F.concat(F.lit("S"), (j.l_suppkey % 10 + 1).cast("string")).alias("store_id"),
-        _line_date(j).alias("sale_date"),
-        (F.lit(8) + j.l_linenumber).cast("int").alias("sale_hour"),
-        j.l_quantity.cast("bigint").alias("units_sold"),
-        F.when(j.l_discount >= 0.08, F.lit(1)).otherwise(F.lit(0)).alias("promotion_flag"),
-        F.when(j.l_tax >= 0.05, F.lit(1.125)).otherwise(F.lit(1.0)).alias("seasonality_factor"),
-    ), schemas.SALES)
+    return _typed(_line_orders(lineitem, orders).selectExpr(*SALES), schemas.SALES)
 
 
 def logistics(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    j = _line_orders(lineitem, orders, F.col("l_returnflag") == "R")
-    return conform(j.select(
-        j.l_orderkey.alias("batch_id"),
-        _product_id(j.o_custkey).alias("product_id"),
-        _line_date(j).alias("transport_date"),
-        (F.lit(8) + j.l_suppkey % 13).cast("int").alias("transport_hour"),
-        j.l_linenumber.cast("double").alias("transport_time_hours"),
-        F.when(j.l_partkey % 9 != 0, (F.lit(8) + j.l_suppkey % 17).cast("double") / F.lit(4.0))
-        .alias("transport_temperature_c"),
-        ((F.lit(2) + j.l_linenumber).cast("double") * F.lit(2.5)).alias("energy_consumption_kwh"),
-        F.concat(F.lit("W"), (j.l_suppkey % 4).cast("string")).alias("warehouse_location"),
-    ), schemas.LOGISTICS)
+    return _typed(_line_orders(lineitem, orders, "l_returnflag = 'R'").selectExpr(*LOGISTICS), schemas.LOGISTICS)
 
 
 def product_catalog(orders: DataFrame) -> DataFrame:
     """Product dimension: one row per product id seen in the orders."""
-    pid = _product_id(F.col("o_custkey"))
-    return (orders.select(pid.alias("product_id")).distinct()
-            .select("product_id", F.concat(F.lit("type_"), F.col("product_id").cast("string"))
-                    .alias("product_type")))
+    return orders.selectExpr(f"{PID} AS product_id").distinct() \
+        .selectExpr("product_id", "concat('type_', CAST(product_id AS STRING)) AS product_type")
 
 
-@dataclass(frozen=True)
 class DomainTables:
-    """The operational tables of one data set, as lazy DataFrames."""
+    """The operational tables of one data set, as lazy DataFrames (built on first use)."""
+
+    NAMES = ("production", "quality", "inventory", "sales", "factory", "logistics", "product_catalog")
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir.rstrip("/")
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        return self._read("orders")
+
+    @cached_property
+    def lineitem(self) -> DataFrame:
+        return self._read("lineitem")
+
+    @cached_property
+    def production(self) -> DataFrame:
+        return production(self.orders)
+
+    @cached_property
+    def quality(self) -> DataFrame:
+        return quality_raw(self.orders)
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return inventory(self.orders)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        return sales(self.lineitem, self.orders)
+
+    @cached_property
+    def factory(self) -> DataFrame:
+        return factory(self.orders)
+
+    @cached_property
+    def logistics(self) -> DataFrame:
+        return logistics(self.lineitem, self.orders)
 
-    production: DataFrame
-    quality: DataFrame
-    inventory: DataFrame
-    sales: DataFrame
-    factory: DataFrame
-    logistics: DataFrame
-    product_catalog: DataFrame
+    @cached_property
+    def product_catalog(self) -> DataFrame:
+        return product_catalog(self.orders)
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {k: getattr(self, k) for k in
-                ("production", "quality", "inventory", "sales", "factory", "logistics", "product_catalog")}
+        return {k: getattr(self, k) for k in self.NAMES}
 
 
 def load_domain(spark: SparkSession, sf_dir: str) -> DomainTables:
     """Domain tables over ``<sf_dir>/{orders,lineitem}.parquet``."""
-    orders = _read(spark, sf_dir, "orders")
-    lineitem = _read(spark, sf_dir, "lineitem")
-    return DomainTables(
-        production=production(orders),
-        quality=quality_raw(orders),
-        inventory=inventory(orders),
-        sales=sales(lineitem, orders),
-        factory=factory(orders),
-        logistics=logistics(lineitem, orders),
-        product_catalog=product_catalog(orders),
-    )
+    return DomainTables(spark, sf_dir)
