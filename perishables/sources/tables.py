@@ -84,6 +84,12 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite",
 
 
 def write_curated_sales(curated: DataFrame, path: str) -> None:
-    """Curated sales partitioned by month so date filters prune whole folders."""
-    write_table(curated.withColumn("month", F.date_format("date", "yyyy-MM")), path,
-                partition_by=["month"])
+    """Curated sales partitioned by month so date filters prune whole folders.
+
+    Rows are range-partitioned by date first: each task then holds a
+    contiguous date range and writes into one or two month folders, instead of
+    every task writing a file into every month (tasks x months small files).
+    Files come out date-clustered, so parquet min/max statistics also prune.
+    """
+    by_date = curated.repartitionByRange("date", "batch_id").withColumn("month", F.date_format("date", "yyyy-MM"))
+    write_table(by_date, path, partition_by=["month"])
