@@ -310,24 +310,36 @@ def _key_text(cols: list[str]) -> str:
 
 
 def _join_health() -> str:
+    return with_ctes(["inventory", "sales", "factory", "logistics"], _join_health_selects())
+
+
+def _join_health_selects() -> str:
     kc = "SELECT batch_id, product_id, count(*) AS n FROM {t} WHERE batch_id IS NOT NULL AND product_id IS NOT NULL GROUP BY ALL"
     sel = []
     for label, t in (("inventory_sales", "sales"), ("inventory_factory", "factory"), ("inventory_logistics", "logistics")):
         sel.append(f"""SELECT '{label}' AS check_name, CAST(coalesce(sum(i.n * o.n), 0) AS BIGINT) AS n
 FROM ({kc.format(t='inventory')}) i JOIN ({kc.format(t=t)}) o ON i.batch_id = o.batch_id AND i.product_id = o.product_id""")
-    return with_ctes(["inventory", "sales", "factory", "logistics"], _union(sel))
+    return _union(sel)
 
 
 def _orphans() -> str:
+    return with_ctes(["inventory", "sales", "factory", "logistics"], _orphan_selects())
+
+
+def _orphan_selects() -> str:
     sel = []
     for label, t in (("sales_without_inventory", "sales"), ("factory_without_inventory", "factory"),
                      ("logistics_without_inventory", "logistics")):
         sel.append(f"""SELECT '{label}' AS check_name, CAST(count(*) AS BIGINT) AS n
 FROM {t} o LEFT JOIN inventory i ON i.batch_id = o.batch_id AND i.product_id = o.product_id WHERE i.batch_id IS NULL""")
-    return with_ctes(["inventory", "sales", "factory", "logistics"], _union(sel))
+    return _union(sel)
 
 
 def _constraints() -> str:
+    return with_ctes(["quality", "production"], _constraint_selects())
+
+
+def _constraint_selects() -> str:
     rules = [(f"{c}_not_null", f"{c} IS NULL") for c in
              ("ph", "temperature", "taste", "odor", "fat", "turbidity", "colour", "grade")]
     rules += [(f"{c}_in_0_1", f"NOT ({c} IN (0, 1))") for c in ("taste", "odor", "fat", "turbidity")]
@@ -337,7 +349,7 @@ def _constraints() -> str:
            for name, cond in rules]
     sel.append("""SELECT 'batch_id_fk' AS rule, CAST(count(*) AS BIGINT) AS n_violations FROM quality q
 WHERE NOT EXISTS (SELECT 1 FROM production p WHERE p.batch_id = q.batch_id)""")
-    return with_ctes(["quality", "production"], _union(sel))
+    return _union(sel)
 
 
 def _type_histogram() -> str:
@@ -355,10 +367,14 @@ def _date_ranges() -> str:
     return _ops_sql(_union(sel))
 
 
-def _non_iso() -> str:
-    sel = [f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(CAST({c} AS VARCHAR)) AS n_checked,
+def _non_iso_selects() -> list[str]:
+    return [f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count(CAST({c} AS VARCHAR)) AS n_checked,
   CAST(count_if(NOT regexp_full_match(CAST({c} AS VARCHAR), '\\d{{4}}-\\d{{2}}-\\d{{2}}')) AS BIGINT) AS n_non_iso
 FROM {t}""" for t, c in DATE_COLS.items()]
+
+
+def _non_iso() -> str:
+    sel = _non_iso_selects()
     sel.append("""SELECT 'raw_sales_text' AS table_name, 'sale_date' AS column_name, count(sale_date) AS n_checked,
   CAST(count_if(NOT regexp_full_match(sale_date, '\\d{4}-\\d{2}-\\d{2}')) AS BIGINT) AS n_non_iso
 FROM raw_sales_text""")
@@ -371,6 +387,34 @@ FROM {t} GROUP BY {", ".join(cols)} HAVING count(*) > 1""" for t, cols in PK.ite
     return _ops_sql(_union(sel))
 
 
+def _quality_report() -> str:
+    """Every check as (check_name, table_name, column_name, item, value-as-text)."""
+    def part(check: str, table: str, column: str, item: str, value: str, sql: str) -> str:
+        return (f"SELECT '{check}' AS check_name, {table} AS table_name, {column} AS column_name, {item} AS item, "
+                f"CAST({value} AS VARCHAR) AS value FROM ({sql})")
+    null = "CAST(NULL AS VARCHAR)"
+    dups = _union([f"""SELECT '{t}' AS table_name, count(*) AS n FROM {t} GROUP BY {", ".join(cols)} HAVING count(*) > 1"""
+                   for t, cols in PK.items()])
+    dup_summary = f"SELECT table_name, count(*) AS duplicate_keys FROM ({dups}) GROUP BY table_name"
+    rows = _union([f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in OPS])
+    types = _union([f"""SELECT '{t}' AS table_name, '{c}' AS column_name, {_value_type(c, label)} AS value_type,
+  count(*) AS n FROM {t} GROUP BY ALL""" for t, cols in TYPE_CHECK.items() for c, label in cols])
+    ranges = _union([f"SELECT '{t}' AS table_name, '{c}' AS column_name, min({c}) AS min_date, max({c}) AS max_date FROM {t}"
+                     for t, c in DATE_COLS.items()])
+    body = _union([
+        part("row_count", "table_name", null, null, "n_rows", rows),
+        part("value_type", "table_name", "column_name", "value_type", "n", types),
+        part("date_min", "table_name", "column_name", "'min'", "min_date", ranges),
+        part("date_max", "table_name", "column_name", "'max'", "max_date", ranges),
+        part("non_iso_dates", "table_name", "column_name", null, "n_non_iso", _union(_non_iso_selects())),
+        part("duplicate_keys", "table_name", null, null, "duplicate_keys", dup_summary),
+        part("join_rows", null, null, "check_name", "n", _join_health_selects()),
+        part("orphan_rows", null, null, "check_name", "n", _orphan_selects()),
+        part("constraint", null, null, "rule", "n_violations", _constraint_selects()),
+    ])
+    return _ops_sql(body)
+
+
 def _row_counts() -> str:
     return _ops_sql(_union([f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in OPS]))
 
@@ -587,4 +631,9 @@ FROM (SELECT forecast_date, sum(CAST(forecasted_sales AS {EXACT})) AS d FROM fcw
     q["stream_daily_sales"] = with_ctes(["daily_sales"], "SELECT * FROM daily_sales")
     # data quality
     q["constraint_checks"] = _constraints()
+    q["quality_report"] = _quality_report()
+    q["forecast_json_roundtrip"] = fc_sql("""SELECT product_id, store_id, forecast_date,
+  coalesce(forecasted_sales, 0.0) AS forecasted_sales, coalesce(predicted_waste, 0.0) AS predicted_waste,
+  coalesce(suggested_production, 0.0) AS suggested_production, coalesce(expiration_risk, 0) AS expiration_risk,
+  coalesce(predicted_logistics_cost, 0.0) AS predicted_logistics_cost FROM fc""")
     return q
