@@ -22,6 +22,26 @@ RECOMMENDED_CONF = {
 }
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Partition sizing for a cluster run over ``input_bytes`` of parquet on ``total_cores`` cores.
+
+    Shuffles start with enough partitions for ~256 MB each (and at least 3 waves
+    of tasks); AQE then coalesces small ones, so the same setting works for
+    small and very large inputs.  Scan splits are 256 MB.  Example: 100 TB on
+    8,000 cores -> 409,600 initial shuffle partitions, coalesced at run time.
+    """
+    parts = max(3 * total_cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * TARGET_PARTITION_BYTES),
+    }
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply ``RECOMMENDED_CONF`` to a running session."""
     for key, value in RECOMMENDED_CONF.items():
