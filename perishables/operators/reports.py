@@ -33,7 +33,6 @@ DRILLDOWN_COLUMNS = {
     "transport_temperature_c": "Transport Temp (ºC)",
     "energy_consumption_kwh": "Energy (kWh)",
 }
-PLAN_COLUMNS = ["Date", "Product", "Store", "Suggested Production (L/day)"]
 
 
 # ---------------------------------------------------------------- filters

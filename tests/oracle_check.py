@@ -4,7 +4,6 @@ Usage: python tests/oracle_check.py <sf_dir> [names...]
 """
 from __future__ import annotations
 
-import math
 import sys
 import time
 
