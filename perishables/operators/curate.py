@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from perishables import schemas
-from perishables.functions.coerce import add_missing_columns, rename_first_present
+from perishables.functions.coerce import (add_missing_columns, date_expr, id_expr, number_expr,
+                                          rename_first_present, text_expr, units_expr)
 from perishables.functions.nulls import clip_lower0, flag, min_with_cap, sum0
 from perishables.functions.scalars import NEAR_EXPIRY_DAYS, expiry_date
 
@@ -38,18 +39,26 @@ def catalog(production: DataFrame) -> DataFrame:
 
 
 def map_sales(sales: DataFrame, *, null_store: str = "drop") -> DataFrame:
-    """Canonical sales rows: ``date`` and ``units_sold`` names, defaults, no null keys.
+    """Canonical sales rows with ``date`` and ``units_sold``, coerced, no null keys.
 
-    Accepts legacy names (``ds`` for the date, ``units`` or ``y`` for units).
-    ``null_store="drop"`` removes rows without a store; ``"literal"`` keeps them
-    under the text "None" as the source pipeline does.
+    Accepts legacy names (``ds`` for the date, ``units`` or ``y`` for units) and
+    raw text columns: ids must be integral, dates start with an ISO day, units
+    parse as numbers (bad or missing -> 0, truncated).  On typed input every
+    coercion is a no-op.  ``null_store="drop"`` removes rows without a store;
+    ``"literal"`` keeps them under the text "None" as the source pipeline does.
     """
     df = rename_first_present(sales, "date", ["sale_date", "ds", "date"])
     df = rename_first_present(df, "units_sold", ["units", "y", "units_sold"])
     df = add_missing_columns(df, {"sale_hour": 12, "promotion_flag": 0, "seasonality_factor": 1.0})
-    df = df.withColumn("units_sold", F.coalesce(F.col("units_sold").cast("bigint"), F.lit(0).cast("bigint")))
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    df = df.withColumns({
+        "batch_id": id_expr(F.col("batch_id"), types["batch_id"]),
+        "product_id": id_expr(F.col("product_id"), types["product_id"]),
+        "store_id": text_expr(F.col("store_id"), null_literal=(null_store == "literal")),
+        "date": date_expr(F.col("date"), types["date"]),
+        "units_sold": units_expr(F.col("units_sold"), types["units_sold"]),
+    })
     if null_store == "literal":
-        df = df.withColumn("store_id", F.coalesce(F.col("store_id"), F.lit("None")))
         return df.dropna(subset=["batch_id", "product_id", "date"])
     return df.dropna(subset=["batch_id", "product_id", "date", "store_id"])
 
@@ -69,19 +78,27 @@ def daily_sales(sales: DataFrame, *, null_store: str = "drop") -> DataFrame:
 def daily_logistics(logistics: DataFrame) -> DataFrame:
     """Per (batch, product, day): sum hours, mean temperature, sum energy.
 
-    The day is ``transport_date`` (or a legacy ``date`` column); rows without a key are dropped.
+    The day is ``transport_date`` (or a legacy ``date`` column); ids, dates and
+    measures are coerced like the sales columns; rows without a key are dropped.
     """
     df = logistics
     if "transport_date" in df.columns:
         df = df.withColumn("date", F.col("transport_date"))
     df = add_missing_columns(df, {"transport_time_hours": None, "transport_temperature_c": None,
                                   "energy_consumption_kwh": None})
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    df = df.withColumns({
+        "batch_id": id_expr(F.col("batch_id"), types["batch_id"]),
+        "product_id": id_expr(F.col("product_id"), types["product_id"]),
+        "date": date_expr(F.col("date"), types["date"]),
+        **{c: number_expr(F.col(c), types[c])
+           for c in ("transport_time_hours", "transport_temperature_c", "energy_consumption_kwh")},
+    })
     return (df.dropna(subset=["batch_id", "product_id", "date"])
             .groupBy("batch_id", "product_id", "date")
-            .agg(sum0(F.col("transport_time_hours").cast("double")).cast("double").alias("transport_time_hours"),
-                 F.avg(F.col("transport_temperature_c").cast("double")).alias("transport_temperature_c"),
-                 sum0(F.col("energy_consumption_kwh").cast("double")).cast("double")
-                 .alias("energy_consumption_kwh")))
+            .agg(sum0("transport_time_hours").cast("double").alias("transport_time_hours"),
+                 F.avg("transport_temperature_c").alias("transport_temperature_c"),
+                 sum0("energy_consumption_kwh").cast("double").alias("energy_consumption_kwh")))
 
 
 def join_catalog(daily: DataFrame, cat: DataFrame) -> DataFrame:

@@ -139,3 +139,16 @@ def test_conform_adds_typed_nulls(spark):
     assert out.schema == schemas.SALES
     r = out.first()
     assert (r.batch_id, r.store_id, r.sale_date, r.units_sold, r.sale_hour) == (12, "S1", dt.date(2025, 1, 3), 4, None)
+
+
+def test_map_sales_accepts_raw_legacy_text(spark):
+    from perishables.operators.curate import daily_sales
+    raw = spark.createDataFrame(
+        [(" 1 ", "2", "S1", "2025-01-03 10:00", "3.7"), ("1", "2", "S1", "2025-01-03", "-2.9"),
+         ("1.5", "2", "S1", "2025-01-03", "4"), ("1", "2", None, "2025-01-03", "4"), ("1", "2", "S2", "x", "1"),
+         ("1", "2", "S2", "2025-01-04", "abc")],
+        "batch_id string, product_id string, store_id string, ds string, y string")
+    got = sorted(tuple(r) for r in daily_sales(raw).select("batch_id", "store_id", "date", "units_sold").collect())
+    assert got == [(1, "S1", dt.date(2025, 1, 3), 1), (1, "S2", dt.date(2025, 1, 4), 0)]
+    lit = sorted(tuple(r) for r in daily_sales(raw, null_store="literal").select("store_id", "units_sold").collect())
+    assert ("None", 4) in lit
