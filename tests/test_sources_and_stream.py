@@ -145,3 +145,34 @@ def test_stream_late_rows_update_old_days(spark):
     got = sink.read()
     assert got.count() == batch.count()
     assert got.exceptAll(batch.select(*got.columns)).count() == 0
+
+
+def test_watermarked_stream_equals_batch_when_nothing_is_late(spark):
+    from perishables.operators.curate import daily_sales
+    from perishables.sources import domain_views
+    from perishables.streaming.incremental_sales import run_daily_sales_stream
+
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    stream = spark.readStream.schema(li.schema).option("pathGlobFilter", "lineitem.parquet").parquet(SF_SMALL)
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    sink = run_daily_sales_stream(spark, domain_views.sales(stream, orders), scratch_path(spark, "wm-sink"),
+                                  watermark_delay="3650 days")
+    batch = daily_sales(domain_views.sales(li, orders))
+    got = sink.read()
+    assert got.count() == batch.count() and got.exceptAll(batch.select(*got.columns)).count() == 0
+
+
+def test_dashboard_views_run(spark):
+    from perishables.operators import forecast
+    from perishables.plans.dashboard import dashboard_views
+    from perishables.settings import ForecastSettings, ReportFilters
+    from perishables.sources.domain_views import load_domain
+
+    d = load_domain(spark, SF_SMALL)
+    cur = curate.curated_from(d)
+    fc = forecast.forecast_rows(cur, None, ForecastSettings(model="baseline"))
+    views = dashboard_views(fc, cur, curate.catalog(d.production), ReportFilters(product_id=1, horizon_days=7))
+    assert set(views) >= {"kpi_overview", "projected_stock", "batch_drilldown", "risk_heatmap", "production_plan"}
+    assert views["kpi_overview"].count() == 1
+    assert views["projected_stock"].count() <= 7
+    assert all(r.Product.startswith("1 •") for r in views["production_plan"].collect())
