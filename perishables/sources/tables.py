@@ -86,10 +86,10 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite",
 def write_curated_sales(curated: DataFrame, path: str) -> None:
     """Curated sales partitioned by month so date filters prune whole folders.
 
-    Rows are range-partitioned by date first: each task then holds a
-    contiguous date range and writes into one or two month folders, instead of
-    every task writing a file into every month (tasks x months small files).
-    Files come out date-clustered, so parquet min/max statistics also prune.
+    A ``rebalance`` by month routes each month to its own tasks, so a task
+    writes one month folder (not tasks x months small files); AQE splits months
+    larger than the advisory partition size and merges small ones.  Unlike a
+    range repartition it needs no sampling pass over the input.
     """
-    by_date = curated.repartitionByRange("date", "batch_id").withColumn("month", F.date_format("date", "yyyy-MM"))
-    write_table(by_date, path, partition_by=["month"])
+    monthly = curated.withColumn("month", F.date_format("date", "yyyy-MM")).hint("rebalance", "month")
+    write_table(monthly, path, partition_by=["month"])
