@@ -93,3 +93,22 @@ def write_curated_sales(curated: DataFrame, path: str) -> None:
     """
     monthly = curated.withColumn("month", F.date_format("date", "yyyy-MM")).hint("rebalance", "month")
     write_table(monthly, path, partition_by=["month"])
+
+
+class OperationalTables:
+    """Stored operational tables under ``root/<name>`` (parquet), each conformed on read.
+
+    Same attributes as the fixture views (``production``, ``quality``, ...); an
+    absent table is a typed empty frame, so every operator still runs.
+    """
+
+    NAMES = ("production", "quality", "inventory", "sales", "factory", "logistics", "product_catalog")
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        for name in self.NAMES:
+            setattr(self, name, load_table(spark, f"{self.root}/{name}", name, optional=True))
+
+    def as_dict(self) -> dict[str, DataFrame]:
+        return {k: getattr(self, k) for k in self.NAMES}

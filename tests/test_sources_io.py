@@ -74,3 +74,15 @@ def test_compact_step_mode_matches_reference_phasing(spark):
     assert all(a[d] == f[d] for d in a)          # calendar: same step as a fresh run
     first_left = min(b)
     assert b[first_left] == f[min(f)]            # compact: remaining dates restart at step 1
+
+
+def test_cli_pipeline_over_stored_tables(spark):
+    from perishables.plans import cli
+    root = scratch_path(spark, "operational")
+    d = load_domain(spark, SF_SMALL)
+    for name, df in d.as_dict().items():
+        df.write.parquet(f"{root}/{name}")
+    out = scratch_path(spark, "cli-out")
+    assert cli.main(["pipeline", "--tables", root, "--out", out, "--model", "baseline", "--horizon", "3"]) == 0
+    assert spark.read.json(f"{out}/dashboard_output").count() > 0
+    assert cli.main(["inspect", "--tables", root, "--show", "5"]) == 0
