@@ -10,6 +10,8 @@ side, so totals do not depend on summation order.
 
 from __future__ import annotations
 
+from perishables.functions.scalars import PRODUCT_TYPES
+
 EXACT = "DECIMAL(38,12)"
 
 
@@ -512,7 +514,7 @@ UNION ALL SELECT batch_id, product_id, product_type, production_date, production
 FROM new_rows""", [("loaded", LOADED), ("new_rows", NEW_BY_DATE)])
     q["last_date"] = with_ctes(["production"], "SELECT coalesce(max(production_date), DATE '2025-01-01') AS last_date FROM production")
     seed = " UNION ALL ".join(f"SELECT CAST({i + 1} AS BIGINT) AS product_id, '{t}' AS product_type"
-                              for i, t in enumerate(["whole milk", "skimmed milk", "yogurt", "cheese", "cream"]))
+                              for i, t in enumerate(PRODUCT_TYPES))
     q["ensure_dimension"] = with_ctes(["product_catalog"], """SELECT * FROM product_catalog
 UNION ALL SELECT * FROM seed s WHERE NOT EXISTS (SELECT 1 FROM product_catalog c WHERE c.product_id = s.product_id)""",
                                       [("seed", seed)])

@@ -19,6 +19,7 @@ from perishables.functions.scalars import (NEAR_EXPIRY_DAYS, iso_date_text, prod
                                            risk_score, store_sort_number, store_sort_prefix)
 from perishables.settings import ReportFilters
 
+# --- fixed values (drill-down report headings, in display order) ---
 DRILLDOWN_COLUMNS = {
     "batch_id": "Batch ID",
     "product_id": "Product",
@@ -33,6 +34,7 @@ DRILLDOWN_COLUMNS = {
     "transport_temperature_c": "Transport Temp (ºC)",
     "energy_consumption_kwh": "Energy (kWh)",
 }
+# --------------------------------------------------------------------
 
 
 # ---------------------------------------------------------------- filters

@@ -16,8 +16,10 @@ from perishables import schemas
 from perishables.functions.coerce import conform, normalize_column_names
 from perishables.functions.nulls import clip_range
 
+# --- fixed values (the quality CSV's expected header and its known misspelling) ---
 QUALITY_CSV_COLUMNS = ["pH", "Temperature", "Taste", "Odor", "Fat", "Turbidity", "Colour", "Grade"]
 QUALITY_CSV_RENAMES = {"Temprature": "Temperature"}
+# ----------------------------------------------------------------------------------
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
