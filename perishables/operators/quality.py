@@ -198,32 +198,68 @@ def constraint_checks(quality: DataFrame, production: DataFrame) -> DataFrame:
     return stacked.unionByName(fk)
 
 
+VALUE_TYPES = ("null", "integer", "real", "text", "blob")
+
+
+def table_profile(df: DataFrame, name: str, type_columns: list[str], date_column: str | None) -> DataFrame:
+    """L3-L5 for one table in a single aggregation pass, as long rows (check, table, column, item, value).
+
+    Row count, per-column value-type counts, date min/max and the non-ISO count
+    are all conditional aggregates over one scan (partial aggregation per task).
+    """
+    cols = [c for c in type_columns if c in df.columns]
+    # classify each value once in a projection, then count labels (no per-aggregate re-evaluation)
+    proj = [_value_type(F.col(c), df.schema[c].dataType).alias(f"k{i}") for i, c in enumerate(cols)]
+    has_date = bool(date_column) and date_column in df.columns
+    if has_date:
+        txt = _date_text(F.col(date_column), df.schema[date_column].dataType)
+        proj += [F.col(date_column).alias("d"), (txt.isNotNull() & ~txt.rlike(ISO_DATE_FULL)).alias("bad")]
+    df = df.select(*proj) if proj else df.select(F.lit(1).alias("_one"))
+    aggs, rows = [F.count(F.lit(1)).alias("rows")], [("row_count", None, None, "rows")]
+    for i, c in enumerate(cols):
+        for t in VALUE_TYPES:
+            alias = f"t{i}_{t}"
+            aggs.append(F.count_if(F.col(f"k{i}") == t).alias(alias))
+            rows.append(("value_type", c, t, alias))
+    if has_date:
+        aggs += [F.min("d").cast("string").alias("dmin"), F.max("d").cast("string").alias("dmax"),
+                 F.count_if(F.col("bad")).alias("non_iso")]
+        rows += [("date_min", date_column, "min", "dmin"), ("date_max", date_column, "max", "dmax"),
+                 ("non_iso_dates", date_column, None, "non_iso")]
+    one = df.agg(*aggs)
+    entries = [F.struct(F.lit(check).alias("check_name"), F.lit(col).cast("string").alias("column_name"),
+                        F.lit(item).cast("string").alias("item"), F.col(alias).cast("string").alias("value"))
+               for check, col, item, alias in rows]
+    out = one.select(F.explode(F.array(*entries)).alias("e")).select(
+        "e.check_name", F.lit(name).alias("table_name"), "e.column_name", "e.item", "e.value")
+    # value types that do not occur are not reported (as in the histogram)
+    return out.filter((F.col("check_name") != "value_type") | (F.col("value") != "0"))
+
+
 def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every check in one long table (check, table, column, item, value as text)."""
-    def long(df: DataFrame, check: str, table: str, column: str, item: str, value: str) -> DataFrame:
-        def c(x: str) -> Column:
-            return F.col(x).cast("string") if x in df.columns else F.lit(x if x else None).cast("string")
-        return df.select(F.lit(check).alias("check_name"), c(table).alias("table_name"),
-                         c(column).alias("column_name"), c(item).alias("item"), c(value).alias("value"))
+    """Every check in one long table (check, table, column, item, value as text).
+
+    Profiling is one aggregation per table (see ``table_profile``); key
+    duplicates, join health, orphans and constraints follow.
+    """
+    def long(df: DataFrame, check: str, item: str, value: str) -> DataFrame:
+        return df.select(F.lit(check).alias("check_name"),
+                         (F.col("table_name") if "table_name" in df.columns else F.lit(None)).cast("string")
+                         .alias("table_name"),
+                         F.lit(None).cast("string").alias("column_name"),
+                         (F.col(item).cast("string") if item else F.lit(None).cast("string")).alias("item"),
+                         F.col(value).cast("string").alias("value"))
 
     t = dict(tables)
     ops = {k: v for k, v in t.items() if k in schemas.TABLES}
-    parts = [
-        long(row_counts(ops), "row_count", "table_name", "", "", "n_rows"),
-        long(type_histogram(ops), "value_type", "table_name", "column_name", "value_type", "n"),
-        long(date_ranges(ops).withColumn("item", F.lit("min")), "date_min", "table_name", "column_name", "item",
-             "min_date"),
-        long(date_ranges(ops).withColumn("item", F.lit("max")), "date_max", "table_name", "column_name", "item",
-             "max_date"),
-        long(non_iso_dates(ops), "non_iso_dates", "table_name", "column_name", "", "n_non_iso"),
-        long(pk_duplicate_summary(ops), "duplicate_keys", "table_name", "", "", "duplicate_keys"),
-    ]
+    parts = [table_profile(df, name, schemas.TYPE_CHECK_COLUMNS.get(name, []), schemas.DATE_COLUMNS.get(name))
+             for name, df in ops.items()]
+    parts.append(long(pk_duplicate_summary(ops), "duplicate_keys", "", "duplicate_keys"))
     if {"inventory", "sales", "factory", "logistics"} <= set(t):
         parts.append(long(join_health(t["inventory"], t["sales"], t["factory"], t["logistics"]),
-                          "join_rows", "", "", "check_name", "n"))
+                          "join_rows", "check_name", "n"))
         parts.append(long(orphan_checks(t["inventory"], t["sales"], t["factory"], t["logistics"]),
-                          "orphan_rows", "", "", "check_name", "n"))
+                          "orphan_rows", "check_name", "n"))
     if {"quality", "production"} <= set(t):
-        parts.append(long(constraint_checks(t["quality"], t["production"]), "constraint", "", "", "rule",
-                          "n_violations"))
+        parts.append(long(constraint_checks(t["quality"], t["production"]), "constraint", "rule", "n_violations"))
     return _union(parts)
