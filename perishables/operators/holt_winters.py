@@ -14,7 +14,9 @@ Recursion (period m = 7, one-step error e = v - (l + b + s0)):
     s0' = g (v - l - b) + (1 - g) s0      (stored back at the same season slot)
 Start: l = mean of the first 7 values, b = 0, s_i = y_i - l.  Series shorter
 than 14 values fit the trend only (g = 0, s = 0, l = first value).
-The grid point with the smallest one-step SSE wins (ties: smaller a, B, g).
+The grid point with the smallest one-step SSE wins (ties: smaller a, B, g); a
+few rounds of local search around it (3x3x3 neighbourhood, halving steps)
+refine the parameters, keeping a point only when it lowers the SSE.
 Forecast h steps ahead: l + h b + s[(h - 1) mod 7], with s rotated so that
 s[0] is the season of the first day after the history.
 """
@@ -40,15 +42,12 @@ BETAS = [0.001, 0.01, 0.05, 0.1, 0.3]
 GAMMAS = [0.01, 0.05, 0.1, 0.3, 0.5]
 
 
-def fit_series(y: np.ndarray) -> dict:
-    """Grid-search fit of one series (numpy, vectorised over the grid)."""
-    y = np.nan_to_num(np.asarray(y, dtype=float), nan=0.0, posinf=0.0, neginf=0.0)
-    n = len(y)
-    seasonal = n >= MIN_SEASONAL_POINTS
-    gammas = GAMMAS if seasonal else [0.0]
-    grid = np.array(list(itertools.product(ALPHAS, BETAS, gammas)), dtype=float)
-    a, be, g = grid[:, 0], grid[:, 1], grid[:, 2]
-    size = len(grid)
+REFINE_ROUNDS = 4          # local search after the grid: 3x3x3 neighbourhood, step halves each round
+
+
+def _run(y: np.ndarray, a: np.ndarray, be: np.ndarray, g: np.ndarray, seasonal: bool):
+    """The recursion for many parameter points at once; returns sse, level, trend, season arrays."""
+    n, size = len(y), len(a)
     if seasonal:
         level0 = float(np.mean(y[:PERIOD]))
         season = np.tile(y[:PERIOD] - level0, (size, 1))
@@ -69,10 +68,38 @@ def fit_series(y: np.ndarray) -> dict:
         season[:, j] = g * (v - base) + (1.0 - g) * s0
         trend = be * (new_level - level) + (1.0 - be) * trend
         level = new_level
-    k = int(np.lexsort((g, be, a, sse))[0])
-    rotated = [float(season[k, (n + i) % PERIOD]) for i in range(PERIOD)]
-    return {"l": float(level[k]), "b": float(trend[k]), "s": rotated, "alpha": float(a[k]),
-            "beta": float(be[k]), "gamma": float(g[k]), "sse": float(sse[k]), "seasonal": bool(seasonal)}
+    return sse, level, trend, season
+
+
+def _best(sse: np.ndarray, a: np.ndarray, be: np.ndarray, g: np.ndarray) -> int:
+    return int(np.lexsort((g, be, a, sse))[0])
+
+
+def fit_series(y: np.ndarray) -> dict:
+    """Fit one series: grid search, then local refinement (numpy, vectorised over candidates)."""
+    y = np.nan_to_num(np.asarray(y, dtype=float), nan=0.0, posinf=0.0, neginf=0.0)
+    n = len(y)
+    seasonal = n >= MIN_SEASONAL_POINTS
+    gammas = GAMMAS if seasonal else [0.0]
+    grid = np.array(list(itertools.product(ALPHAS, BETAS, gammas)), dtype=float)
+    a, be, g = grid[:, 0], grid[:, 1], grid[:, 2]
+    sse, level, trend, season = _run(y, a, be, g, seasonal)
+    k = _best(sse, a, be, g)
+    point, best_sse = np.array([a[k], be[k], g[k]]), sse[k]
+    state = (level[k], trend[k], season[k].copy())
+    step = np.array([0.05, 0.02, 0.05 if seasonal else 0.0])
+    offsets = np.array(list(itertools.product((-1.0, 0.0, 1.0), repeat=3)))
+    for _ in range(REFINE_ROUNDS):
+        cand = np.clip(point + offsets * step, 0.0, 1.0)
+        c_sse, c_level, c_trend, c_season = _run(y, cand[:, 0], cand[:, 1], cand[:, 2], seasonal)
+        j = _best(c_sse, cand[:, 0], cand[:, 1], cand[:, 2])
+        if c_sse[j] < best_sse:
+            point, best_sse = cand[j], c_sse[j]
+            state = (c_level[j], c_trend[j], c_season[j].copy())
+        step = step / 2.0
+    rotated = [float(state[2][(n + i) % PERIOD]) for i in range(PERIOD)]
+    return {"l": float(state[0]), "b": float(state[1]), "s": rotated, "alpha": float(point[0]),
+            "beta": float(point[1]), "gamma": float(point[2]), "sse": float(best_sse), "seasonal": bool(seasonal)}
 
 
 STATE_TYPE = T.StructType([
