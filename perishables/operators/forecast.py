@@ -139,7 +139,11 @@ def forecast_from_profile(profile: DataFrame, existing: DataFrame | None,
     prof = profile
     if settings.model.lower() == "ets":
         threshold = max(3, settings.min_history_days)
-        prof = holt_winters.attach_state(prof.withColumn("use_ets", F.col("n_days") >= threshold), "use_ets")
+        # The fit is CPU-bound per series while the profile is small in bytes, so
+        # AQE would coalesce it into a few partitions and serialise the fits.  An
+        # explicit partition count (which AQE keeps) spreads series over all cores.
+        spread = prof.repartition(prof.sparkSession.sparkContext.defaultParallelism, *SERIES)
+        prof = holt_winters.attach_state(spread.withColumn("use_ets", F.col("n_days") >= threshold), "use_ets")
     else:
         prof = prof.withColumn("model_state", F.lit(None))
     rows = prof.select(*SERIES, "last_stock", "cap_sum", "expiration_risk", "avg_energy", "baseline",
