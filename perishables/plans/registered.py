@@ -283,7 +283,8 @@ def q_curated_sales(spark, sf):
 
 # ------------------------------------------------------------ forecasting
 def q_product_store_daily(spark, sf):
-    return forecast.product_store_daily(_curated(spark, sf))
+    """E3 + G1: sorted by product, store, date at output (series x days rows; a range-partitioned sort)."""
+    return forecast.product_store_daily(_curated(spark, sf)).orderBy("product_id", "store_id", "date")
 
 
 def q_history_length(spark, sf):
