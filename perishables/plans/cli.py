@@ -1,6 +1,7 @@
 """Command line: run the pipeline or the data-quality inspection.
 
     python -m perishables pipeline --views /data/sf0.1 --out /shared/run1 [--model ets|baseline] [--horizon 30]
+                                   [--cores 8000]   # size partitions from the input size
     python -m perishables pipeline --tables /shared/operational --out /shared/run1
     python -m perishables inspect  --views /data/sf0.1 [--show 50]
 
@@ -18,7 +19,7 @@ from pyspark.sql import SparkSession
 
 from perishables.operators import quality
 from perishables.plans import pipeline
-from perishables.session import tune
+from perishables.session import size_for_input, tune
 from perishables.settings import ForecastSettings
 from perishables.sources.domain_views import load_domain
 from perishables.sources.tables import OperationalTables
@@ -36,6 +37,8 @@ def main(argv: list[str] | None = None) -> int:
         src = p.add_mutually_exclusive_group(required=True)
         src.add_argument("--views", help="folder with orders/lineitem parquet tables")
         src.add_argument("--tables", help="folder with stored operational tables")
+        p.add_argument("--cores", type=int, default=None,
+                       help="total executor cores; sizes shuffle partitions and scan splits from the input size")
         if name == "pipeline":
             p.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
             p.add_argument("--model", default="ets", choices=["ets", "baseline"])
@@ -46,6 +49,9 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--show", type=int, default=100, help="rows of the report to print")
     args = ap.parse_args(argv)
     spark = tune(SparkSession.builder.appName("perishables").getOrCreate())
+    if args.cores:
+        conf = size_for_input(spark, args.views or args.tables, args.cores)
+        print(f"partition sizing: {conf}")
     tables = _tables(spark, args)
     if args.command == "pipeline":
         settings = ForecastSettings(model=args.model, horizon_days=args.horizon, min_history_days=args.min_history)

@@ -41,6 +41,21 @@ def scale_conf(input_bytes: int, total_cores: int) -> dict[str, str]:
     }
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total bytes under ``path`` on the session's file system (for ``scale_conf``)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
+
+def size_for_input(spark: SparkSession, path: str, total_cores: int) -> dict[str, str]:
+    """Apply ``scale_conf`` for the data under ``path`` to the running session; returns the settings."""
+    conf = scale_conf(input_bytes(spark, path), total_cores)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply ``RECOMMENDED_CONF`` to a running session."""
     for key, value in RECOMMENDED_CONF.items():

@@ -86,3 +86,11 @@ def test_cli_pipeline_over_stored_tables(spark):
     assert cli.main(["pipeline", "--tables", root, "--out", out, "--model", "baseline", "--horizon", "3"]) == 0
     assert spark.read.json(f"{out}/dashboard_output").count() > 0
     assert cli.main(["inspect", "--tables", root, "--show", "5"]) == 0
+
+
+def test_scale_conf_from_input(spark):
+    from perishables.session import input_bytes, scale_conf
+    assert input_bytes(spark, SF_SMALL) > 0
+    conf = scale_conf(100 * 2**40, 8000)
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (256 * 2**20))
+    assert scale_conf(10, 8)["spark.sql.shuffle.partitions"] == "24"
