@@ -73,6 +73,8 @@ def build_session(master: str | None = None, app: str = "perishables",
     conf.update({
         "spark.ui.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
+        # remove reliable-checkpoint files once no DataFrame references them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("PERISHABLES_DRIVER_MEMORY", "8g"),
     })
