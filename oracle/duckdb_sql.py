@@ -291,7 +291,8 @@ def _value_type(col: str, label: str | None) -> str:
     t = f"trim({col})"
     return (f"CASE WHEN {col} IS NULL THEN 'null' WHEN regexp_full_match({t}, '[+-]?[0-9]+') "
             f"AND TRY_CAST({t} AS BIGINT) IS NOT NULL THEN 'integer' "
-            f"WHEN TRY_CAST({t} AS DOUBLE) IS NOT NULL THEN 'real' ELSE 'text' END")
+            f"WHEN regexp_full_match({t}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') THEN 'real' "
+            f"ELSE 'text' END")
 
 
 def _ops_views() -> list[str]:

@@ -42,12 +42,20 @@ def _type_label(dtype: T.DataType) -> str:
     return "text"
 
 
+INTEGER_TEXT = r"^[+-]?\d+$"
+REAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def _value_type(c: Column, dtype: T.DataType) -> Column:
-    """Storage class of one value: null, or integer/real/text (text content is classified)."""
+    """Storage class of one value: null, or integer/real/text (text content is classified).
+
+    Text is classified by pattern first and only numeric-looking text is cast:
+    a failed string-to-double cast costs an exception per value.
+    """
     if isinstance(dtype, T.StringType):
         t = F.trim(c)
-        kind = (F.when(t.try_cast("bigint").isNotNull() & t.rlike(r"^[+-]?\d+$"), F.lit("integer"))
-                .when(t.try_cast("double").isNotNull(), F.lit("real")).otherwise(F.lit("text")))
+        kind = (F.when(t.rlike(INTEGER_TEXT) & t.try_cast("bigint").isNotNull(), F.lit("integer"))
+                .when(t.rlike(REAL_TEXT), F.lit("real")).otherwise(F.lit("text")))
         return F.when(c.isNull(), F.lit("null")).otherwise(kind)
     return F.when(c.isNull(), F.lit("null")).otherwise(F.lit(_type_label(dtype)))
 
