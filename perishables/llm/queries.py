@@ -6,10 +6,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perishables.llm import decontaminate, simhash
+from perishables.llm import decontaminate, language, pieces, simhash, warc
 from perishables.llm.common import table
 
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary, read where it is
+
+
+def held_out(modulus: int, left_out: int):
+    """Whether crc32 of the id as text leaves this remainder; rows without id are learned from."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == left_out, F.lit(False))
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, PIECE_MODEL), PIECE_MODEL)
+    return coded.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_ids"),
+                        F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out(4, 2))
+    model = language.train(docs.filter(~F.col("held_out")))
+    return docs.select("doc_id", "held_out", language.predict(docs, model).alias("guess")) \
+        .select("doc_id", "held_out", "guess.*")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.match_items(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                      table(spark, sf_dir, "benchmark"), window=10)
@@ -18,13 +40,21 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return warc.read_warc(spark, manifest, payloads=False).select(
+        F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, limit=2)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op7_benchmark_decontamination, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_sentencepiece, op4_language_id, op7_benchmark_decontamination, op8_warc,
+                                   op10_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -52,5 +82,10 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hit.n, 0) AS n_hi
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
-_SHINGLES = """CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-  ELSE list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k + 2], ' ')) END"""
+ORACLE_SQL["op8_warc"] = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+q AS (SELECT page_id, CAST(octet_length(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM q)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM f
+"""
