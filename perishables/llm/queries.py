@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perishables.llm import decontaminate, language, pieces, simhash, warc
+from perishables.llm import decontaminate, language, licenses, pieces, quality_crf, simhash, warc
 from perishables.llm.common import table
+from perishables.llm.license_rules import rules
 
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"  # a public vocabulary, read where it is
@@ -25,6 +26,13 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality_crf.train(docs, table(spark, sf_dir, "labels").filter(~held_out(3, 1)))
+    scored = docs.select("doc_id", held_out(3, 1).alias("held_out"), quality_crf.score(docs, field).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("held_out", held_out(4, 2))
     model = language.train(docs.filter(~F.col("held_out")))
@@ -47,14 +55,25 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("refers_to").cast("bigint").alias("refers_to"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    starts = F.transform("places", lambda d: d["first"])
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("bigint").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), licenses.labels(F.col("places")).alias("base_labels"),
+        licenses.labels(F.concat("places", "detections")).alias("labels"),
+        licenses.confidence(F.concat("places", "detections")).alias("score"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, limit=2)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sentencepiece, op4_language_id, op7_benchmark_decontamination, op8_warc,
-                                   op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op2_sentencepiece, op3_quality_crf, op4_language_id, op7_benchmark_decontamination, op8_warc, op9_license_scan,
+    op10_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -89,3 +108,35 @@ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first THEN first END AS refers_to FROM f
 """
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_RULES = ", ".join(f"({r.number}, {_quoted(f' {r.keyword} ')}, {_quoted(r.pattern)}, {_quoted(r.label)}, {r.priority}, {r.confidence}, {r.base})"
+                   for r in rules())
+# blanks of a padded piece, two for each word
+_BLANKS = "(length({0}) - length(replace({0}, ' ', ''))) // 2"
+
+ORACLE_SQL["op9_license_scan"] = f"""
+WITH rules(rule, keyword, pattern, label, priority, confidence, base) AS (VALUES {_RULES}),
+d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+p AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, ' ' || array_to_string(w, '  ') || ' ' AS padded FROM d),
+m AS (SELECT doc_id, rule, label, priority, confidence, base, regexp_extract_all(padded, pattern) AS hits,
+        string_split_regex(padded, pattern) AS gaps
+      FROM p JOIN rules ON contains(padded, keyword) WHERE regexp_matches(padded, pattern)),
+e AS (SELECT * EXCLUDE (hits, gaps), {_BLANKS.format("array_to_string(gaps[1:i], '')")} + {_BLANKS.format("array_to_string(hits[1:i - 1], '')")} AS first,
+        {_BLANKS.format("hits[i]")} AS size
+      FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m)),
+x AS (SELECT *, first + size AS stop FROM e),
+kept AS (SELECT * FROM x WHERE NOT EXISTS (
+  SELECT 1 FROM x AS o WHERE o.doc_id = x.doc_id AND o.first <= x.first AND o.stop >= x.stop AND o.priority >= x.priority
+    AND (o.size > x.size OR o.priority > x.priority OR o.rule < x.rule))),
+b AS (SELECT doc_id, count(*) AS n_base, min(first) AS first_word, max(first) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM x WHERE base GROUP BY doc_id),
+l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(confidence) AS score
+      FROM (SELECT doc_id, label, confidence FROM kept UNION ALL SELECT doc_id, label, confidence FROM x WHERE base) GROUP BY doc_id)
+SELECT p.doc_id, n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM p LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)
+"""
