@@ -208,10 +208,13 @@ def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BY
     payload: measured for responses, as their heads say for revisits.  ``payload`` is null for revisits,
     and everywhere without ``payloads``."""
     small_batches(spark)
+    # a number of its own, as ranges of few bytes of plan each hold much work
+    total = files.agg(F.sum("bytes")).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + total // split_bytes)
     ranges = files.filter(F.col("bytes") > 0).select("file", "bytes", F.explode(
         F.sequence(F.lit(0).cast("bigint"), F.col("bytes") - 1, F.lit(split_bytes).cast("bigint"))).alias("start"))
     dealt = ranges.select("file", "start", F.least(F.col("start") + split_bytes, F.col("bytes")).alias("stop")) \
-        .repartition("file", "start")
+        .repartition(parts, "file", "start")
 
     def row(file: str, start: int, record: Record) -> dict:
         revisit = record.head["warc-type"] == "revisit"
