@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perishables.llm import decontaminate, language, licenses, pieces, quality_crf, simhash, warc
+from perishables.llm import decontaminate, language, licenses, pieces, quality_crf, quality_rules, simhash, warc
 from perishables.llm.common import table
 from perishables.llm.license_rules import rules
 
@@ -40,6 +40,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "held_out", "guess.*")
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    judged = quality_rules.assess(docs, carry=["doc_id"])
+    return judged.select("doc.doc_id", *quality_rules.BASE_COLUMNS, "base_failed", "kept", "distance")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.match_items(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                      table(spark, sf_dir, "benchmark"), window=10)
@@ -72,7 +78,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op3_quality_crf, op4_language_id, op7_benchmark_decontamination, op8_warc, op9_license_scan,
+    op2_sentencepiece, op3_quality_crf, op4_language_id, op5_quality_rules, op7_benchmark_decontamination, op8_warc, op9_license_scan,
     op10_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
