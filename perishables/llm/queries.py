@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perishables.llm import decontaminate, language, licenses, pieces, quality_crf, quality_rules, simhash, warc
+from perishables.llm import decontaminate, language, licenses, line_runs, pieces, quality_crf, quality_rules, simhash, warc
 from perishables.llm.common import table
 from perishables.llm.license_rules import rules
 
@@ -46,6 +46,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc.doc_id", *quality_rules.BASE_COLUMNS, "base_failed", "kept", "distance")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs.drop_later_copies(table(spark, sf_dir, "documents").select("doc_id", "text"), min_words=6)
+    return found.select("doc.doc_id", "n_lines", F.size("deleted").cast("bigint").alias("n_deleted"),
+                        F.array_join("deleted", ",").alias("deleted_lines"), F.col("body").alias("text"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.match_items(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                      table(spark, sf_dir, "benchmark"), window=10)
@@ -78,7 +84,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op3_quality_crf, op4_language_id, op5_quality_rules, op7_benchmark_decontamination, op8_warc, op9_license_scan,
+    op2_sentencepiece, op3_quality_crf, op4_language_id, op5_quality_rules, op6_line_dedup, op7_benchmark_decontamination, op8_warc, op9_license_scan,
     op10_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
@@ -146,3 +152,26 @@ SELECT p.doc_id, n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
   coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM p LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id)
 """
+
+_TRIMMED = r"regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '')"
+
+ORACLE_SQL["op6_line_dedup"] = f"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, place, line, len(string_split_regex({_TRIMMED}, '[\\x20\\x09-\\x0D]+')) AS words
+      FROM (SELECT doc_id, unnest(range(0, len(lines))) AS place, unnest(lines) AS line FROM d) WHERE {_TRIMMED} <> ''),
+s AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS p FROM l),
+r AS (SELECT a.doc_id, a.p, n.n, string_agg(b.line, chr(10) ORDER BY b.p) AS run, sum(b.words) AS words,
+        max(b.words) FILTER (b.p = a.p OR b.p = a.p + n.n - 1) AS longest, count(*) AS c
+      FROM s AS a CROSS JOIN range(1, 7) AS n(n) JOIN s AS b ON b.doc_id = a.doc_id AND b.p BETWEEN a.p AND a.p + n.n - 1
+      GROUP BY a.doc_id, a.p, n.n),
+q AS (SELECT *, row_number() OVER (PARTITION BY n, run ORDER BY doc_id, p) AS copy FROM r WHERE c = n AND words >= 6 AND words - longest < 6),
+x AS (SELECT DISTINCT q.doc_id, s.place FROM q JOIN s ON s.doc_id = q.doc_id AND s.p BETWEEN q.p AND q.p + q.n - 1 WHERE copy > 1),
+g AS (SELECT doc_id, count(*) AS n, string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) AS gone FROM x GROUP BY doc_id),
+k AS (SELECT u.doc_id, string_agg(u.line, chr(10) ORDER BY u.place) AS text
+      FROM (SELECT doc_id, unnest(range(0, len(lines))) AS place, unnest(lines) AS line FROM d) AS u
+      LEFT JOIN x ON x.doc_id = u.doc_id AND x.place = u.place WHERE x.place IS NULL GROUP BY u.doc_id),
+c AS (SELECT doc_id, count(*) AS n_lines FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(g.n, 0) AS n_deleted, coalesce(g.gone, '') AS deleted_lines,
+  CASE WHEN g.n IS NULL THEN d.text ELSE coalesce(k.text, '') END AS text
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
