@@ -100,6 +100,7 @@ class PieceModel:
         self.unknown_score = float(min((self.scores[i] for i in spelled.values()), default=0.0)) - UNKNOWN_PENALTY
         self.longest = max(map(len, spelled), default=1)
         self.splits_at_marks = not any(MARK in _unmarked(p) for p in spelled)
+        self.splits_at_breaks = not any(b"\n" in p for p in spelled)
         self._build(sorted(spelled.items()))
         self.surface = [self._surface(i) for i in range(len(self.pieces))]
 
@@ -149,25 +150,24 @@ class PieceModel:
     # ---------------------------------------------------------------- Viterbi
     def solve(self, words: list[bytes]) -> list[bytes]:
         """The ids (little-endian int32) of the best path of each marked word."""
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
         out: list[bytes] = [b""] * len(words)
         at = 0
         while at < len(order):
-            stop = at + 1
-            while stop < len(order) and (stop - at + 1) * (len(words[order[stop]]) + 1) <= BLOCK_CELLS:
-                stop += 1
-            block = order[at:stop]
-            for i, ids in zip(block, self._solve_block([words[i] for i in block])):
-                out[i] = np.array(ids, np.int32).tobytes()
+            # the block's cells are its rows times its longest word
+            cells = (np.arange(len(order) - at) + 1) * (sizes[order[at:]] + 1)
+            stop = at + max(1, int(np.searchsorted(cells, BLOCK_CELLS, "right")))
+            block = order[at:stop].tolist()
+            for i, ids in zip(block, self._solve_block([words[i] for i in block], sizes[order[at:stop]])):
+                out[i] = ids
             at = stop
         return out
 
-    def _solve_block(self, words: list[bytes]) -> Iterator[list[int]]:
-        sizes = np.array([len(w) for w in words])
+    def _solve_block(self, words: list[bytes], sizes: np.ndarray) -> list[bytes]:
         width = int(sizes[-1])
         cells = np.zeros((len(words), width + 1), np.int32)
-        for row, word in enumerate(words):
-            cells[row, :len(word)] = np.frombuffer(word, np.uint8)
+        cells[np.arange(width + 1) < sizes[:, None]] = np.frombuffer(b"".join(words), np.uint8)
         lead = np.where(cells < 0x80, 1, np.where(cells < 0xE0, 2, np.where(cells < 0xF0, 3, 4)))
         best = np.full((len(words), width + 5), -np.inf)
         best[:, 0] = 0
@@ -198,20 +198,42 @@ class PieceModel:
                 if len(who):
                     self._better(best, came, piece, rows[who], start, start + length,
                                  begin[who] + self.unknown_score, np.full(len(who), -1, np.int32))
-        came_list, piece_list = came.tolist(), piece.tolist()
-        for row, word in enumerate(words):
-            ids: list[int] = []
-            at = len(word)
-            while at:
-                start, i = came_list[row][at], piece_list[row][at]
-                if i >= 0:
-                    ids.append(i)
-                elif self.byte_fallback:
-                    ids.extend(self.byte_ids[b] for b in reversed(word[start:at]))
-                elif not ids or ids[-1] != self.unknown:
-                    ids.append(self.unknown)
-                at = start
-            yield ids[::-1]
+        return self._paths(words, sizes, came, piece)
+
+    def _paths(self, words: list[bytes], sizes: np.ndarray, came: np.ndarray, piece: np.ndarray) -> list[bytes]:
+        """Each word's ids from the back pointers, all words at once; those with unknown characters one by one."""
+        rows, at = np.arange(len(words)), sizes.copy()
+        steps: list[np.ndarray] = []
+        odd = np.zeros(len(words), bool)
+        while (going := at > 0).any():
+            ids = np.where(going, piece[rows, at], 0)
+            odd |= ids < 0
+            steps.append(np.where(going, ids, -2))
+            at = came[rows, at]  # 0 stays 0
+        if not steps:
+            return [b""] * len(words)
+        table = np.stack(steps[::-1], axis=1)
+        used = table != -2
+        raw = table[used].astype(np.int32).tobytes()
+        ends = (4 * np.cumsum(used.sum(axis=1))).tolist()
+        out = [raw[a:b] for a, b in zip([0, *ends], ends)]
+        for row in np.flatnonzero(odd).tolist():
+            out[row] = self._path_with_unknown(words[row], came[row], piece[row])
+        return out
+
+    def _path_with_unknown(self, word: bytes, came: np.ndarray, piece: np.ndarray) -> bytes:
+        ids: list[int] = []
+        at = len(word)
+        while at:
+            start, i = int(came[at]), int(piece[at])
+            if i >= 0:
+                ids.append(i)
+            elif self.byte_fallback:
+                ids.extend(self.byte_ids[b] for b in reversed(word[start:at]))
+            elif not ids or ids[-1] != self.unknown:
+                ids.append(self.unknown)
+            at = start
+        return np.array(ids[::-1], np.int32).tobytes()
 
     @staticmethod
     def _better(best, came, piece, rows, start, end, score, found) -> None:
@@ -222,25 +244,34 @@ class PieceModel:
     def encode(self, raws: list[bytes | None], cache: dict[bytes, bytes]) -> list[bytes | None]:
         """Ids (little-endian int32) of each text; ``cache`` keeps solved words."""
         split: list[list[bytes] | None] = []
+        whole: dict[int, bytes] = {}  # texts that aren't split, by place
         for raw in raws:
             if not raw:
                 split.append(None if raw is None else [])
                 continue
             raw = raw.replace(MARK, b" ")
-            if not self.splits_at_marks:
-                split.append([raw])
-            elif b"  " in raw or raw[:1] == b" " or raw[-1:] == b" ":
+            if not self.splits_at_marks or b"\x01" in raw:
+                whole[len(split)] = MARK + raw.replace(b" ", MARK)
+                split.append([])
+                continue
+            # a line break that no piece holds starts a word of its own, without a marker
+            broken = raw.replace(b"\n", b" \x01\n") if self.splits_at_breaks else raw
+            if b"  " in broken or broken[:1] == b" " or broken[-1:] == b" ":
                 # further blanks stay in front of their word; the first one is understood
                 split.append([word[1:] for word in SPACED.findall(b" " + raw)])
             else:
-                split.append(raw.split(b" "))
+                split.append(broken.split(b" "))
         if len(cache) > CACHE_WORDS:
             cache.clear()
         new = [word for word in {w for words in split if words for w in words} if word not in cache]
-        solved = dict(zip(new, self.solve([(b" " + word).replace(b" ", MARK) for word in new])))
+        solved = dict(zip(new, self.solve([
+            word[1:] if word[:1] == b"\x01" else MARK + word.replace(b" ", MARK) for word in new])))
         known = {**cache, **solved} if len(new) > CACHE_WORDS else cache
         known.update(solved)
-        return [None if words is None else b"".join(map(known.__getitem__, words)) for words in split]
+        out = [None if words is None else b"".join(map(known.__getitem__, words)) for words in split]
+        for place, ids in zip(whole, self.solve(list(whole.values()))):
+            out[place] = ids
+        return out
 
     def decode(self, ids: list[int]) -> str:
         raw = b"".join(map(self.surface.__getitem__, ids))
