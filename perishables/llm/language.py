@@ -133,7 +133,9 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         F.col(lang_col).alias("lang"), F.xxhash64(id_col, F.lit("language")).alias("h"), F.col(text_col).alias("text"))
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
     by_hash = Window.partitionBy("lang").orderBy("h")
-    picked = rows.select("lang", "h").join(F.broadcast(common.select("lang")), "lang") \
+    # a frequent language's rows are thinned by hash before they are ordered: three times what is picked
+    share = F.pmod(F.col("h"), F.lit(1 << 20)) / F.lit(float(1 << 20)) <= 3.0 * per_language / F.col("count")
+    picked = rows.select("lang", "h").join(F.broadcast(common), "lang").filter(share) \
         .withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= per_language).select("lang", "h")
     # at most per_language * max_languages keys
     sample = rows.join(F.broadcast(picked.distinct()), ["lang", "h"])

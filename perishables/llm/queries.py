@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perishables.llm import decontaminate, language, licenses, line_runs, pieces, quality_crf, quality_rules, simhash, warc
+from perishables.llm import decontaminate, language, licenses, line_runs, passages, pieces, quality_crf, quality_rules, simhash, warc
 from perishables.llm.common import table
 from perishables.llm.license_rules import rules
 
@@ -19,6 +19,10 @@ def held_out(modulus: int, left_out: int):
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == left_out, F.lit(False))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared_passages(table(spark, sf_dir, "documents"), least=40, similarity=0.8)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = pieces.decode(pieces.encode(docs, PIECE_MODEL), PIECE_MODEL)
@@ -84,7 +88,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_sentencepiece, op3_quality_crf, op4_language_id, op5_quality_rules, op6_line_dedup, op7_benchmark_decontamination, op8_warc, op9_license_scan,
+    op1_substring_dedup, op2_sentencepiece, op3_quality_crf, op4_language_id, op5_quality_rules, op6_line_dedup, op7_benchmark_decontamination, op8_warc, op9_license_scan,
     op10_simhash_near_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
