@@ -229,7 +229,7 @@ def _cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
     for text, own in zip(texts, spans):
         if text is not None:
             raw = text.encode()
-            places = [m.span() for m in WORD.finditer(raw)]
+            places = [m.span() for m in WORD.finditer(raw.lower())]
             parts, at = [], 0
             for span in own:
                 parts.append(raw[at:places[span["start"]][0]])

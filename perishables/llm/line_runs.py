@@ -114,8 +114,9 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     place = F.struct(F.col("id").isNull().alias("none"), "id", *DOC, "p")
     found = store(found.withColumn("place", place).select("place", "lines", "rank", "last"), "line-runs")
     interval = ["lines", "rank", "last"]
-    # the first place of each interval, where there are more
-    firsts = found.groupBy(*interval).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # the first place of each interval, where there are more; written, so that the join can split a hot interval
+    firsts = store(found.groupBy(*interval).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"),
+                   "line-firsts")
     return found.join(firsts, interval).filter(F.col("place") > F.col("first")) \
         .select(*(F.col(f"place.{k}").alias(k) for k in DOC), F.col("place.p").alias("first"), "lines")
 

@@ -253,10 +253,11 @@ def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     payload = F.coalesce(F.col(f"`{payload_col}`").cast("string").cast("binary"), F.lit(b""))
     rows = pages.select(F.col(f"`{id_col}`").alias("page"), F.col(f"`{url_col}`").cast("string").alias("url"),
                         payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
-    # only payloads that occur again are looked up: small unless most are copies
-    again = rows.filter(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest") \
+    # only payloads that occur again are looked up: small unless most are copies; written, so that the join
+    # can split a hot payload
+    again = rows.select("page", "digest", "payload").filter(F.octet_length("payload") >= MIN_REVISIT).groupBy("digest") \
         .agg(F.min("page").alias("first"), F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col("first").isNotNull())
-    found = rows.join(again.select("digest", "first"), "digest", "left")
+    found = rows.join(store(again.select("digest", "first"), "warc-again"), "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page").eqNullSafe(F.col("first"))
     return found.select(F.col("page").cast("string").alias("record_id"), "url", "payload", "digest",
                         F.when(revisit, F.col("first").cast("string")).alias("refers_to"), revisit.alias("revisit"))
