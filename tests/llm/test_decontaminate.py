@@ -54,7 +54,7 @@ def test_odd_cases(spark):
 
 def test_spans_are_cut_and_covered_documents_go(spark):
     item = spark.createDataFrame([(1, cases.SENTENCE)], "item_id long, text string")
-    around = "Before it, é words " * 20
+    around = "Before A B it, é words " * 20
     docs = cases.docs(spark, [(1, f"{around}<{cases.SENTENCE}>. After"), (2, cases.SENTENCE), (3, None), (4, "clean")])
     got = {r["doc_id"]: r for r in D.decontaminate(docs, item).collect()}
     assert set(got) == {1, 3, 4} and got[1]["text"] == f"{around}<>. After" and got[1]["n_chars"] == len(got[1]["text"])
