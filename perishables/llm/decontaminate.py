@@ -212,8 +212,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, max_cover
     """``docs`` with the matching spans cut out of the text, without documents of which more than
     ``max_coverage`` of the words match.  A cut reaches from the first to the last matching word; what stands
     around it stays as it is.  Untouched texts (null ones too) come back unchanged."""
-    keep = docs.columns
-    slim = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("doc"),
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    slim = docs.select(F.struct(*others, F.lit(None).cast("string").alias(text_col)).alias("doc"),
                        F.col(f"`{text_col}`").cast("string").alias("body"))
     hits = match_items(slim, items, window, "body", **names)
     rest = hits.filter(hit_words() <= F.col("n_words") * F.lit(max_coverage))

@@ -127,17 +127,18 @@ def drop_later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     copies = later_copies(docs, id_col, text_col, min_words)
     gone = copies.select(*DOC, F.explode(F.sequence(F.col("first"), F.col("first") + F.col("lines") - 1)).alias("p")) \
         .groupBy(*DOC).agg(F.collect_set("p").alias("gone"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), *row_keys(id_col, text_col),
-                       F.col(f"`{text_col}`").cast("string").alias("text")).join(gone, list(DOC), "left")
-    worded = F.when(F.col("gone").isNotNull(), _worded(F.col("text")))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), *row_keys(id_col, text_col)) \
+        .join(gone, list(DOC), "left")
+    text = F.col("doc")[text_col].cast("string")
+    worded = F.when(F.col("gone").isNotNull(), _worded(text))
     none = F.array().cast("array<int>")
     rows = rows.withColumn("worded", worded).withColumn("deleted", F.when(
         F.col("gone").isNotNull(), F.array_sort(F.transform("gone", lambda p: F.get("worded", p)["at"]))).otherwise(none))
-    lines = F.split("text", "\n")
+    lines = F.split(text, "\n")
     rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "deleted")
     body = F.when(F.size("deleted") > 0, F.array_join(F.transform(rest, lambda at: F.get(lines, at)), "\n")) \
-        .otherwise(F.col("text"))
-    n_lines = F.coalesce(F.size(F.coalesce("worded", _worded(F.coalesce("text", F.lit(""))))), F.lit(0))
+        .otherwise(text)
+    n_lines = F.size(F.coalesce(F.col("worded"), _worded(F.coalesce(text, F.lit("")))))
     return rows.select("doc", body.alias("body"), n_lines.cast("bigint").alias("n_lines"), "deleted")
 
 
