@@ -45,7 +45,7 @@ FROM orders""",
   CAST(o_orderkey % 2 AS INTEGER) AS fat, CAST(o_custkey % 2 AS INTEGER) AS turbidity,
   CAST(230 + o_custkey % 40 AS INTEGER) AS colour,
   CASE CAST(o_orderkey % 3 AS INTEGER) WHEN 0 THEN ' High' WHEN 1 THEN 'MEDIUM' ELSE 'low ' END AS grade
-FROM orders WHERE o_orderkey % 17 <> 0""",
+FROM orders""",
     "inventory": f"""SELECT o_orderkey AS batch_id, {PID} AS product_id,
   CAST(o_orderdate AS DATE) AS production_date, CAST(o_custkey % 24 AS INTEGER) AS production_hour,
   CAST(floor(o_totalprice / CAST(5000 AS DOUBLE)) AS BIGINT) + 20 AS initial_stock_liters,
@@ -93,7 +93,8 @@ FROM quality WHERE ph IS NOT NULL AND temperature IS NOT NULL AND grade IS NOT N
     "daily_sales": """SELECT batch_id, product_id, store_id, sale_date AS date,
   CAST(coalesce(sum(coalesce(units_sold, 0)), 0) AS BIGINT) AS units_sold,
   max(promotion_flag) AS promotion_flag, avg(seasonality_factor) AS seasonality_factor
-FROM sales WHERE batch_id IS NOT NULL AND product_id IS NOT NULL AND sale_date IS NOT NULL AND store_id IS NOT NULL
+FROM (SELECT * REPLACE (coalesce(store_id, 'None') AS store_id) FROM sales)
+WHERE batch_id IS NOT NULL AND product_id IS NOT NULL AND sale_date IS NOT NULL
 GROUP BY batch_id, product_id, store_id, sale_date""",
     "daily_logistics": """SELECT batch_id, product_id, transport_date AS date,
   CAST(coalesce(sum(transport_time_hours), 0) AS DOUBLE) AS transport_time_hours,
@@ -155,9 +156,12 @@ WHERE rn <= 7 GROUP BY product_id, store_id""",
        WHEN 1 THEN CAST(l_orderkey AS VARCHAR) WHEN 2 THEN CAST(l_orderkey AS VARCHAR) || '.7'
        ELSE 'b' || CAST(l_orderkey AS VARCHAR) END AS batch_id,
   CASE WHEN l_partkey % 50 <> 0 THEN CAST(l_partkey AS VARCHAR) END AS product_id,
-  CASE CAST(l_suppkey % 5 AS INTEGER) WHEN 0 THEN CAST(CAST(l_shipdate AS DATE) AS VARCHAR)
+  CASE CAST(l_suppkey % 9 AS INTEGER) WHEN 0 THEN CAST(CAST(l_shipdate AS DATE) AS VARCHAR)
        WHEN 1 THEN CAST(CAST(l_shipdate AS DATE) AS VARCHAR) || ' 10:00'
-       WHEN 2 THEN CAST(year(l_shipdate) AS VARCHAR) WHEN 3 THEN 'x' END AS sale_date,
+       WHEN 2 THEN CAST(year(l_shipdate) AS VARCHAR) WHEN 3 THEN 'x'
+       WHEN 5 THEN strftime(l_shipdate, '%Y/%m/%d') WHEN 6 THEN strftime(l_shipdate, '%Y%m%d')
+       WHEN 7 THEN strftime(l_shipdate, '%Y-%m-%d') || 'T23:30:00+02:00'
+       WHEN 8 THEN strftime(l_shipdate, '%Y-%m-%d') || '1' END AS sale_date,
   CASE CAST(l_partkey % 4 AS INTEGER) WHEN 0 THEN CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR) || '.7'
        WHEN 1 THEN '-' || CAST(CAST(trunc(l_quantity) AS BIGINT) AS VARCHAR) || '.9' WHEN 2 THEN 'abc' END AS units
 FROM lineitem""",
@@ -165,8 +169,12 @@ FROM lineitem""",
   CASE WHEN regexp_full_match(trim(batch_id), '[+-]?[0-9]+') THEN TRY_CAST(trim(batch_id) AS BIGINT) END AS batch_id,
   CASE WHEN regexp_full_match(trim(product_id), '[+-]?[0-9]+') THEN TRY_CAST(trim(product_id) AS BIGINT) END
     AS product_id,
-  CASE WHEN regexp_matches(trim(sale_date), '^\d{4}-\d{1,2}-\d{1,2}')
-       THEN TRY_CAST(regexp_extract(trim(sale_date), '^\d{4}-\d{1,2}-\d{1,2}', 0) AS DATE) END AS sale_date,
+  CASE WHEN regexp_matches(trim(sale_date), '^\d{4}-\d{1,2}-\d{1,2}($|[ T])')
+       THEN TRY_CAST(regexp_extract(trim(sale_date), '^\d{4}-\d{1,2}-\d{1,2}', 0) AS DATE)
+       WHEN regexp_matches(trim(sale_date), '^\d{4}/\d{1,2}/\d{1,2}($|[ T])')
+       THEN TRY_CAST(replace(regexp_extract(trim(sale_date), '^\d{4}/\d{1,2}/\d{1,2}', 0), '/', '-') AS DATE)
+       WHEN regexp_full_match(trim(sale_date), '\d{8}')
+       THEN TRY_CAST(strptime(trim(sale_date), '%Y%m%d') AS DATE) END AS sale_date,
   CASE WHEN isnan(TRY_CAST(trim(units) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(units) AS DOUBLE) END AS units_value
 FROM raw_sales_text""",
     "pmap": """SELECT product_id, product_type FROM (
@@ -444,11 +452,8 @@ FROM quality_clean""")
 
 
 def _bytes_to_int() -> str:
-    k = "(l_orderkey % 4294967296)"
-    swapped = (f"((({k} & 255) << 24) | ((({k} >> 8) & 255) << 16) | ((({k} >> 16) & 255) << 8) "
-               f"| (({k} >> 24) & 255))")
-    return f"""SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_linenumber = 7 THEN 0 ELSE {swapped} END AS BIGINT)
-  AS batch_id FROM lineitem"""
+    return """SELECT l_orderkey, l_linenumber, CAST(CASE WHEN l_linenumber = 7 THEN 0 WHEN l_linenumber <> 6 THEN l_orderkey END
+  AS BIGINT) AS batch_id FROM lineitem"""
 
 
 def _heatmap() -> str:
@@ -617,6 +622,9 @@ FROM (SELECT forecast_date, sum(CAST(forecasted_sales AS {EXACT})) AS d FROM fcw
     q["asof_stock"] = with_ctes(["curated"], f"SELECT {CUR_STOCK_ASOF} AS asof_stock")
     # sort / limit / sample
     q["production_plan"] = _plan()
+    q["seeded_sample"] = with_ctes(["quality"], "SELECT * FROM quality ORDER BY md5(concat_ws('-', batch_id, '42')), batch_id LIMIT 100")
+    q["stored_legacy_sales"] = with_ctes(["daily_sales"], "SELECT * FROM daily_sales")
+    q["stored_legacy_logistics"] = with_ctes(["daily_logistics"], "SELECT * FROM daily_logistics")
     q["table_sample"] = with_ctes(["sales"], """SELECT * FROM sales ORDER BY batch_id, product_id, store_id, sale_date,
   sale_hour, units_sold, promotion_flag, seasonality_factor LIMIT 5""")
     # reshaping

@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 
 from perishables.functions.nulls import nan_to_null
 
-ISO_DATE_PREFIX = r"^\d{4}-\d{1,2}-\d{1,2}"
+# a day, then the end, a blank or a time; dashes or slashes
+DAY_TEXT = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})(?:$|[ T].*$)"
+COMPACT_DAY_TEXT = r"^(\d{4})(\d{2})(\d{2})$"
 ISO_DATE_FULL = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -52,10 +54,11 @@ def _dtype(df: DataFrame, name: str) -> T.DataType:
 
 
 def bytes_le_to_long(b: Column) -> Column:
-    """Little-endian unsigned bytes to an integer (empty bytes -> 0)."""
+    """Little-endian unsigned bytes to an integer (empty bytes -> 0; beyond a signed 64-bit number -> null)."""
     hex_le = F.array_join(
         F.reverse(F.transform(F.sequence(F.lit(1), F.length(b)), lambda i: F.hex(F.substring(b, i, 1)))), "")
-    value = F.conv(hex_le, 16, 10).try_cast("bigint")
+    digits = F.regexp_replace(hex_le, "^0+(?=.)", "")
+    value = F.when(F.length(digits) <= 16, F.conv(F.substring(digits, 1, 16), 16, 10).try_cast("bigint"))
     return F.when(b.isNull(), F.lit(None).cast("bigint")).when(F.length(b) == 0, F.lit(0).cast("bigint")) \
         .otherwise(value)
 
@@ -76,7 +79,8 @@ def id_expr(c: Column, dtype: T.DataType) -> Column:
 def date_expr(c: Column, dtype: T.DataType) -> Column:
     """Day-precision date; unparseable -> null, time part dropped.
 
-    Text must start with an ISO day (``yyyy-m-d``); each row is parsed on its own.
+    Text holds a day as ``yyyy-m-d`` or ``yyyy/m/d``, alone or before a blank or ``T`` and a time
+    (an offset does not move the day), or as ``yyyymmdd``; each row is parsed on its own.
     """
     if isinstance(dtype, T.DateType):
         return c
@@ -84,10 +88,19 @@ def date_expr(c: Column, dtype: T.DataType) -> Column:
         return F.to_date(c)
     if isinstance(dtype, T.StringType):
         t = F.trim(c)
-        return F.when(t.rlike(ISO_DATE_PREFIX), F.regexp_extract(t, ISO_DATE_PREFIX, 0).try_cast("date"))
+        day = F.concat_ws("-", *(F.regexp_extract(t, DAY_TEXT, g) for g in (1, 3, 4)))
+        compact = F.concat_ws("-", *(F.regexp_extract(t, COMPACT_DAY_TEXT, g) for g in (1, 2, 3)))
+        return F.when(t.rlike(DAY_TEXT), day.try_cast("date")).when(t.rlike(COMPACT_DAY_TEXT), compact.try_cast("date"))
     return F.lit(None).cast("date")
 
 
+def rejected_dates(df: DataFrame, column: str) -> DataFrame:
+    """How many values of a date column are there, and how many of them no format reads (these become null)."""
+    value = date_expr(F.col(column), _dtype(df, column))
+    return df.agg(F.count(column).alias("n_values"),
+                  F.count_if(F.col(column).isNotNull() & value.isNull()).alias("n_rejected"))
+
+
 def number_expr(c: Column, dtype: T.DataType) -> Column:
     """Numeric parse to double; bad text and NaN -> null."""
     if isinstance(dtype, T.StringType):
@@ -116,7 +129,8 @@ def conform(df: DataFrame, schema: T.StructType, *, null_literal_text: Iterable[
     """Coerce a frame to a canonical schema in one projection.
 
     Columns are matched by normalised name; absent columns become typed nulls
-    (T16: missing data is null, not zero); extra columns are dropped.
+    (T16: missing data is null, not zero); extra columns are dropped.  Litres
+    stored as fractions keep them (as double).
     """
     df = normalize_column_names(df)
     text_literal = set(null_literal_text)
@@ -134,6 +148,8 @@ def conform(df: DataFrame, schema: T.StructType, *, null_literal_text: Iterable[
             expr = id_expr(col, src).cast(target)
         elif isinstance(target, T.DateType):
             expr = date_expr(col, src)
+        elif "liters" in name and isinstance(src, T.FractionalType):
+            expr = number_expr(col, src)
         elif isinstance(target, (T.DoubleType, T.FloatType)):
             expr = number_expr(col, src)
         elif isinstance(target, (T.LongType, T.IntegerType)):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from perishables import schemas
 from perishables.functions.coerce import (add_missing_columns, date_expr, id_expr, number_expr,
-                                          rename_first_present, text_expr, units_expr)
+                                          rename_first_present, require_columns, text_expr, units_expr)
 from perishables.functions.nulls import clip_lower0, flag, min_with_cap, sum0
 from perishables.functions.scalars import NEAR_EXPIRY_DAYS, expiry_date
 
@@ -38,17 +38,18 @@ def catalog(production: DataFrame) -> DataFrame:
     return production.select(*CATALOG_COLUMNS).dropna(how="all").repartition("batch_id").dropDuplicates()
 
 
-def map_sales(sales: DataFrame, *, null_store: str = "drop") -> DataFrame:
+def map_sales(sales: DataFrame, *, null_store: str = "literal") -> DataFrame:
     """Canonical sales rows with ``date`` and ``units_sold``, coerced, no null keys.
 
     Accepts legacy names (``ds`` for the date, ``units`` or ``y`` for units) and
     raw text columns: ids must be integral, dates start with an ISO day, units
     parse as numbers (bad or missing -> 0, truncated).  On typed input every
-    coercion is a no-op.  ``null_store="drop"`` removes rows without a store;
-    ``"literal"`` keeps them under the text "None" as the source pipeline does.
+    coercion is a no-op.  Rows without a store stay under the text "None"
+    (``null_store="drop"`` removes them); a missing needed column is an error.
     """
     df = rename_first_present(sales, "date", ["sale_date", "ds", "date"])
     df = rename_first_present(df, "units_sold", ["units", "y", "units_sold"])
+    df = require_columns(df, ["batch_id", "product_id", "store_id", "date", "units_sold"])
     df = add_missing_columns(df, {"sale_hour": 12, "promotion_flag": 0, "seasonality_factor": 1.0})
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     df = df.withColumns({
@@ -70,7 +71,7 @@ def daily_sales_aggs() -> list:
             F.avg("seasonality_factor").alias("seasonality_factor")]
 
 
-def daily_sales(sales: DataFrame, *, null_store: str = "drop") -> DataFrame:
+def daily_sales(sales: DataFrame, *, null_store: str = "literal") -> DataFrame:
     """Hourly -> daily per (batch, product, store, date): sum units, max promotion, mean seasonality."""
     return map_sales(sales, null_store=null_store).groupBy(*SALES_KEYS).agg(*daily_sales_aggs())
 
@@ -149,7 +150,7 @@ def order_curated(cur: DataFrame) -> DataFrame:
 
 
 def curated_sales(production: DataFrame, inventory: DataFrame, sales: DataFrame, factory: DataFrame,
-                  logistics: DataFrame, *, null_store: str = "drop") -> DataFrame:
+                  logistics: DataFrame, *, null_store: str = "literal") -> DataFrame:
     """The curated sales fact: E1 -> D1 -> D2 -> D3 -> D4 -> J1-J5 -> B13 (30 columns)."""
     cur = join_catalog(daily_sales(sales, null_store=null_store), catalog(production))
     cur = join_inventory(cur, inventory)

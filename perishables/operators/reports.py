@@ -10,15 +10,18 @@ across tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perishables.functions.aggregates import EXACT_SUM_TYPE, exact_avg, exact_sum, exact_sum0
+from perishables.functions.aggregates import EXACT_SUM_TYPE, exact_sum, exact_sum0
 from perishables.functions.nulls import div_or_null, sum0
 from perishables.functions.scalars import (NEAR_EXPIRY_DAYS, iso_date_text, product_label, product_name,
                                            risk_score, store_sort_number, store_sort_prefix)
+from perishables.session import cut_lineage
 from perishables.settings import ReportFilters
 
+MAX_MATRIX_STORES = 2000   # columns of the risk matrix
+
 # --- fixed values (drill-down report headings, in display order) ---
 DRILLDOWN_COLUMNS = {
     "batch_id": "Batch ID",
@@ -134,16 +137,23 @@ def kpi_sustainability(sc: DataFrame) -> DataFrame:
     energy, repeated per store-day); ``avg_daily_logistics_energy_kwh`` is the
     corrected variant over the logistics energy column.
     """
-    per_day = sc.dropna(subset=["date"]).groupBy("date").agg(
-        sum0("energy_consumption_kwh").alias("e"), sum0("energy_consumption_kwh_log").alias("e_log"))
-    daily_mean = per_day.select(F.avg("e")).scalar()
-    daily_log_mean = per_day.select(F.avg("e_log")).scalar()
-    return sc.agg(
-        F.coalesce(exact_avg(div_or_null("energy_consumption_kwh", "quantity_produced_liters")), F.lit(0.0))
-        .alias("factory_kwh_per_liter"),
-        F.coalesce(exact_avg(F.col("transport_temperature_c")), F.lit(0.0)).alias("avg_transport_temperature_c"),
-    ).select("*", F.coalesce(daily_mean, F.lit(0.0)).alias("avg_daily_energy_kwh"),
-             F.coalesce(daily_log_mean, F.lit(0.0)).alias("avg_daily_logistics_energy_kwh"))
+    per_litre = div_or_null("energy_consumption_kwh", "quantity_produced_liters").cast(EXACT_SUM_TYPE)
+    temperature = F.col("transport_temperature_c").cast(EXACT_SUM_TYPE)
+    # one pass: sums and counts per day, then over the days (rows without a date count for the means over rows only)
+    per_day = sc.groupBy("date").agg(
+        F.sum(per_litre).alias("kl"), F.count(per_litre).alias("n_kl"), F.sum(temperature).alias("t"),
+        F.count(temperature).alias("n_t"), sum0("energy_consumption_kwh").alias("e"),
+        sum0("energy_consumption_kwh_log").alias("e_log"))
+
+    def mean(total: str, n: str) -> Column:
+        return F.coalesce(F.sum(total).cast("double") / F.nullif(F.sum(n), F.lit(0)).cast("double"), F.lit(0.0))
+
+    def daily_mean(column: str) -> Column:
+        return F.coalesce(F.avg(F.when(F.col("date").isNotNull(), F.col(column))), F.lit(0.0))
+
+    return per_day.agg(
+        mean("kl", "n_kl").alias("factory_kwh_per_liter"), mean("t", "n_t").alias("avg_transport_temperature_c"),
+        daily_mean("e").alias("avg_daily_energy_kwh"), daily_mean("e_log").alias("avg_daily_logistics_energy_kwh"))
 
 
 # ---------------------------------------------------------------- tables
@@ -185,12 +195,16 @@ def product_options(pmap: DataFrame) -> DataFrame:
 def risk_heatmap(sc: DataFrame, pmap: DataFrame) -> DataFrame:
     """H4: product x store matrix of the worst risk (missing pair -> 0), stores in natural order.
 
-    Pivot values are the distinct stores (one small job, bounded by the number
-    of stores); rows are keyed by product id, so products sharing a name do not clash.
+    The pairs (one row each) are written once; the stores and the matrix come from them.  A matrix of
+    more than ``MAX_MATRIX_STORES`` columns is refused: ``risk_pairs`` has the same content in long form.
+    Rows are keyed by product id, so products sharing a name do not clash.
     """
-    pairs = risk_pairs(sc)
+    pairs = cut_lineage(risk_pairs(sc))
     stores = [r["store_id"] for r in
-              store_order(pairs).orderBy("sort_prefix", "sort_number", "store_id").collect()]
+              store_order(pairs).orderBy("sort_prefix", "sort_number", "store_id")
+              .limit(MAX_MATRIX_STORES + 1).collect()]
+    if len(stores) > MAX_MATRIX_STORES:
+        raise ValueError(f"more than {MAX_MATRIX_STORES} stores: use risk_pairs")
     heat = pairs.groupBy("product_id").pivot("store_id", stores).agg(F.max("risk_score"))
     heat = heat.fillna(0, subset=stores) if stores else heat
     heat = _with_labels(heat, pmap)

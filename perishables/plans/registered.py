@@ -18,7 +18,7 @@ from perishables.functions import coerce
 from perishables.functions.nulls import clip_range
 from perishables.functions.scalars import PRODUCT_TYPES, expiry_date, shelf_life_days, weekday_factor
 from perishables.operators import curate, forecast, quality, reports
-from perishables.session import cut_lineage, scratch_path
+from perishables.session import scratch_path
 from perishables.settings import ForecastSettings, ReportFilters
 from perishables.sources import domain_views, forecast_store, incremental, tables
 from perishables.streaming import incremental_sales
@@ -45,11 +45,6 @@ def _curated(spark: SparkSession, sf: str) -> DataFrame:
     return curate.curated_from(_domain(spark, sf))
 
 
-def _curated_cut(spark: SparkSession, sf: str) -> DataFrame:
-    """Curated fact materialised once for queries that read it more than once."""
-    return cut_lineage(_curated(spark, sf))
-
-
 def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
@@ -63,15 +58,17 @@ def raw_sales_text(spark: SparkSession, sf: str) -> DataFrame:
     qty = F.col("l_quantity").cast("bigint").cast("string")
     day = F.to_date("l_shipdate").cast("string")
     r4 = (F.col("l_linenumber") % 4).cast("int")
-    d5 = (F.col("l_suppkey") % 5).cast("int")
+    d9 = (F.col("l_suppkey") % 9).cast("int")
     u4 = (F.col("l_partkey") % 4).cast("int")
     return li.select(
         "l_orderkey", "l_linenumber",
         F.when(r4 == 0, F.concat(F.lit(" "), key, F.lit(" "))).when(r4 == 1, key)
         .when(r4 == 2, F.concat(key, F.lit(".7"))).otherwise(F.concat(F.lit("b"), key)).alias("batch_id"),
         F.when(F.col("l_partkey") % 50 != 0, F.col("l_partkey").cast("string")).alias("product_id"),
-        F.when(d5 == 0, day).when(d5 == 1, F.concat(day, F.lit(" 10:00")))
-        .when(d5 == 2, F.year("l_shipdate").cast("string")).when(d5 == 3, F.lit("x")).alias("sale_date"),
+        F.when(d9 == 0, day).when(d9 == 1, F.concat(day, F.lit(" 10:00")))
+        .when(d9 == 2, F.year("l_shipdate").cast("string")).when(d9 == 3, F.lit("x"))
+        .when(d9 == 5, F.replace(day, F.lit("-"), F.lit("/"))).when(d9 == 6, F.replace(day, F.lit("-"), F.lit("")))
+        .when(d9 == 7, F.concat(day, F.lit("T23:30:00+02:00"))).when(d9 == 8, F.concat(day, F.lit("1"))).alias("sale_date"),
         F.when(u4 == 0, F.concat(qty, F.lit(".7"))).when(u4 == 1, F.concat(F.lit("-"), qty, F.lit(".9")))
         .when(u4 == 2, F.lit("abc")).alias("units"),
     )
@@ -114,8 +111,12 @@ def q_drop_nulls(spark, sf):
 
 def q_bytes_to_int(spark, sf):
     li = _read(spark, sf, "lineitem")
-    be4 = F.unhex(F.lpad(F.hex(F.col("l_orderkey") % 4294967296), 8, "0"))  # 4 bytes, big-endian
-    raw = F.when(F.col("l_linenumber") == 7, F.unhex(F.lit(""))).otherwise(be4)
+    # the whole key in as few bytes as it takes, lowest first, then n zero bytes; line 7 has none, line 6 nine high ones
+    size = F.ceil(F.length(F.hex("l_orderkey")) / 2).cast("int")
+    low_first = F.array_join(F.transform(F.sequence(F.lit(1), size), lambda i: F.hex(
+        F.substring(F.unhex(F.lpad(F.hex("l_orderkey"), 16, "0")), 9 - i, 1))), "")
+    raw = F.when(F.col("l_linenumber") == 7, F.unhex(F.lit(""))).when(F.col("l_linenumber") == 6, F.unhex(F.lit("FF" * 9))) \
+        .otherwise(F.unhex(F.concat(low_first, F.repeat(F.lit("00"), F.col("l_linenumber").cast("int")))))
     return li.select("l_orderkey", "l_linenumber", coerce.bytes_le_to_long(raw).alias("batch_id"))
 
 
@@ -158,6 +159,24 @@ def q_shelf_life(spark, sf):
                     shelf_life_days(F.col("grade"), F.col("temperature"), F.col("ph")).alias("shelf_life_days"))
 
 
+def q_stored_legacy_sales(spark, sf):
+    """Line items stored as text under legacy names, read back as a stored table, then aggregated."""
+    s = _domain(spark, sf).sales
+    path = scratch_path(spark, "legacy-sales")
+    s.select(F.col("batch_id").cast("string"), F.col("product_id").cast("string"), "store_id",
+             F.date_format("sale_date", "yyyy/MM/dd").alias("ds"), F.col("units_sold").cast("string").alias("y"),
+             "promotion_flag", F.col("seasonality_factor").alias(" Seasonality Factor ")).write.parquet(path)
+    return curate.daily_sales(tables.load_table(spark, path, "sales"))
+
+
+def q_stored_legacy_logistics(spark, sf):
+    """Transports stored with a text ``date`` only, read back as a stored table, then aggregated."""
+    path = scratch_path(spark, "legacy-logistics")
+    moved = _domain(spark, sf).logistics.withColumn("date", F.date_format("transport_date", "yyyyMMdd"))
+    moved.drop("transport_date").write.parquet(path)
+    return curate.daily_logistics(tables.load_table(spark, path, "logistics"))
+
+
 def q_weekday_factor(spark, sf):
     return _domain(spark, sf).sales.select(F.col("sale_date").alias("date")).distinct() \
         .select("date", weekday_factor(F.col("date")).alias("demand_factor"))
@@ -190,7 +209,7 @@ def q_forecast_json_roundtrip(spark, sf):
 
 
 def q_forecast_upsert(spark, sf):
-    cur = _curated_cut(spark, sf)
+    cur = _curated(spark, sf)
     existing = forecast.forecast_rows(cur, None, ForecastSettings(model="baseline", horizon_days=30))
     newer = forecast.forecast_rows(cur, None, ForecastSettings(model="baseline", horizon_days=40))
     newer = newer.join(_done(cur), schemas.FORECAST_KEYS, "left_anti")
@@ -305,7 +324,7 @@ def q_future_dates(spark, sf):
 
 
 def q_incremental_dates(spark, sf):
-    cur = _curated_cut(spark, sf)
+    cur = _curated(spark, sf)
     s = forecast.series_scalars(forecast.product_store_daily(cur))
     return forecast.remaining_dates(forecast.future_dates(s, 30), _done(cur))
 
@@ -320,7 +339,7 @@ def q_baseline_forecast(spark, sf):
 
 
 def q_forecast_rows(spark, sf):
-    cur = _curated_cut(spark, sf)
+    cur = _curated(spark, sf)
     return _forecast(spark, sf, BASELINE, _done(cur), cur)
 
 
@@ -330,8 +349,9 @@ def q_holt_winters(spark, sf):
 
 # ------------------------------------------------------------ reports
 def _views(spark, sf, filters=DASHBOARD_FILTERS):
+    """Lazy views: each report's filters and columns reach the scans, and no job runs while it is built."""
     d = _domain(spark, sf)
-    cur = cut_lineage(curate.curated_from(d))
+    cur = curate.curated_from(d)
     fc = forecast.forecast_rows(cur, None, BASELINE)
     return d, cur, fc, reports.forecast_window(fc, filters), reports.apply_filters(cur, filters)
 
@@ -413,25 +433,17 @@ def q_table_sample(spark, sf):
 
 
 def q_seeded_sample(spark, sf):
-    """Deterministic seeded sample of 100 quality rows (hash order)."""
+    """Deterministic seeded sample of 100 quality rows (order of a digest of key and seed)."""
     q = _domain(spark, sf).quality
-    return q.orderBy(F.xxhash64("batch_id", F.lit(42)), "batch_id").limit(100)
+    return q.orderBy(F.md5(F.concat_ws("-", "batch_id", F.lit("42"))), "batch_id").limit(100)
 
 
 # ------------------------------------------------------------ quality
 def _ops(spark, sf) -> dict[str, DataFrame]:
-    """The operational tables for the profiling checks.
-
-    The two views that join line items to orders are materialised once (as the
-    stored operational tables would be), so the checks and the forecast built
-    on them do not each recompute the join.
-    """
+    """The operational tables for the profiling checks, lazily: each check prunes them to its columns."""
     d = _domain(spark, sf)
-    d.sales = cut_lineage(d.sales)
-    d.logistics = cut_lineage(d.logistics)
-    cur = curate.curated_from(d)
     return {**{k: v for k, v in d.as_dict().items() if k != "product_catalog"},
-            "forecast": cut_lineage(forecast.forecast_rows(cur, None, BASELINE))}
+            "forecast": forecast.forecast_rows(curate.curated_from(d), None, BASELINE)}
 
 
 def q_row_counts(spark, sf):
@@ -489,6 +501,8 @@ def q_stream_daily_sales(spark, sf):
 QUERIES: dict[str, Query] = {
     # sources, sinks, table maintenance
     "scan_sales": q_scan_sales,
+    "stored_legacy_sales": q_stored_legacy_sales,
+    "stored_legacy_logistics": q_stored_legacy_logistics,
     "quality_clean": q_quality_clean,
     "forecast_json_roundtrip": q_forecast_json_roundtrip,
     "forecast_export": q_forecast_export,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -91,13 +92,16 @@ def build_session(master: str | None = None, app: str = "perishables",
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir`` (also the RDD checkpoint folder).
 
-    The session setting is read first; only when nothing is configured (local
-    tests) a private temporary folder is created and registered, so lineage
-    cuts and intermediate tables always land in the folder the cluster names.
+    The session setting is read first, so lineage cuts and intermediate tables
+    land in the folder the cluster names.  Only a local session (tests) gets a private
+    temporary folder when nothing is configured; on a cluster that is an error, as
+    executors would each write to a disk of their own.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="perishables-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():

@@ -109,8 +109,10 @@ def fallback_window(stored: DataFrame, horizon_days: int, as_of: dt.date | str)
     """
     as_of = F.lit(as_of).cast("date")
     rows = stored.dropna(subset=["forecast_date"])
-    first_future = rows.select(F.min(F.when(F.col("forecast_date") >= as_of, F.col("forecast_date")))).scalar()
-    last = rows.select(F.max("forecast_date")).scalar()
+    bounds = rows.agg(F.struct(F.min(F.when(F.col("forecast_date") >= as_of, F.col("forecast_date"))).alias("first"),
+                               F.max("forecast_date").alias("last")).alias("b"))
+    bound = bounds.scalar()
+    first_future, last = bound["first"], bound["last"]
     future_window = F.col("forecast_date").between(first_future, F.date_add(first_future, horizon_days - 1))
     past_window = F.col("forecast_date").between(F.date_sub(last, horizon_days - 1), last)
     return rows.filter(F.when(first_future.isNotNull(), future_window).otherwise(past_window))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perishables import schemas
+from perishables.session import cut_lineage
 
 DEFAULT_START_DATE = dt.date(2025, 1, 1)
 
@@ -53,22 +54,20 @@ def ensure_dimension(existing: DataFrame, seed: DataFrame, keys: list[str]) -> D
 def assign_ids(new: DataFrame, id_col: str, order_by: list[str], start_after: Column | int = 0) -> DataFrame:
     """Consecutive ids after ``start_after`` in ``order_by`` order, without a one-partition window.
 
-    Rows are range-partitioned and sorted; each partition numbers its rows
-    locally, and a per-partition offset (a frame with one row per partition)
-    is added.  The same shuffle feeds both branches (exchange reuse), so the
-    local numbers and the offsets see the same partitioning.
+    Rows are sorted by range and written once with the number of their range (a
+    checkpoint).  The numbers within a range and the counts of the ranges before it
+    are then taken from the same stored rows, so nothing depends on how a second
+    execution would deal or merge partitions.
     """
-    ordered = new.repartitionByRange(*order_by).sortWithinPartitions(*order_by) \
-        .withColumn("_part", F.spark_partition_id())
+    ordered = cut_lineage(new.repartitionByRange(*order_by).withColumn("_part", F.spark_partition_id()))
     local = ordered.withColumn("_local", F.row_number().over(Window.partitionBy("_part").orderBy(*order_by)))
-    counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_offset", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
-                              F.lit(0)))
+    counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))  # one row per range
+    offsets = counts.select("_part", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     base = start_after if isinstance(start_after, Column) else F.lit(start_after)
-    out = local.join(offsets.select("_part", "_offset"), "_part")
-    return out.withColumn(id_col, (base + F.col("_offset") + F.col("_local")).cast("bigint")) \
-        .drop("_part", "_local", "_offset")
+    offset = F.coalesce("_offset", F.raise_error(F.lit("a range of rows has no offset")).cast("bigint"))
+    return local.join(offsets, "_part", "left") \
+        .withColumn(id_col, (base + offset + F.col("_local")).cast("bigint")).drop("_part", "_local", "_offset")
 
 
 def produced_quantity(batches: DataFrame, inventory: DataFrame) -> DataFrame:

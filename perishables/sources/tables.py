@@ -7,27 +7,53 @@ downstream code can rely on one typed contract (absent columns become nulls).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from perishables import schemas
-from perishables.functions.coerce import conform, normalize_column_names
+from perishables.functions.coerce import (add_missing_columns, conform, normalize_column_names,
+                                          rename_first_present, require_columns)
 from perishables.functions.nulls import clip_range
 
 # --- fixed values (the quality CSV's expected header and its known misspelling) ---
 QUALITY_CSV_COLUMNS = ["pH", "Temperature", "Taste", "Odor", "Fat", "Turbidity", "Colour", "Grade"]
 QUALITY_CSV_RENAMES = {"Temprature": "Temperature"}
+# legacy names by table and column, in order of precedence; defaults of columns that are absent; needed columns
+LEGACY_NAMES = {
+    "sales": {"sale_date": ["sale_date", "ds", "date"], "units_sold": ["units", "y", "units_sold"]},
+    "logistics": {"transport_date": ["transport_date", "date"]},
+}
+ABSENT_DEFAULTS = {"sales": {"sale_hour": 12, "promotion_flag": 0, "seasonality_factor": 1.0}}
+NEEDED = {
+    "sales": ["batch_id", "product_id", "store_id", "sale_date", "units_sold"],
+    "logistics": ["batch_id", "product_id", "transport_date"],
+    "production": ["batch_id", "product_id"],
+}
 # ----------------------------------------------------------------------------------
 
 
+def canonical_names(df: DataFrame, table: str) -> DataFrame:
+    """Normalised names, legacy names mapped, absent optional columns with their defaults,
+    and an error that names what is missing when a needed column is absent."""
+    df = normalize_column_names(df)
+    for target, candidates in LEGACY_NAMES.get(table, {}).items():
+        found = next((c for c in candidates if c in df.columns), None)
+        if found not in (None, target) and target in df.columns:
+            df = df.drop(target)  # the legacy name takes precedence
+        df = rename_first_present(df, target, candidates)
+    return add_missing_columns(require_columns(df, NEEDED.get(table, [])), ABSENT_DEFAULTS.get(table, {}))
+
+
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
 def load_table(spark: SparkSession, path: str, table: str, *, optional: bool = False) -> DataFrame:
-    """A1: scan a parquet table, normalise names, conform to its canonical schema.
+    """A1: scan a parquet table, map its names (see ``canonical_names``), conform to its canonical schema.
 
     A missing dataset raises unless ``optional``; then a typed empty frame is returned.
     """
@@ -38,7 +64,7 @@ def load_table(spark: SparkSession, path: str, table: str, *, optional: bool = F
         if not optional:
             raise
         return empty_frame(spark, schema)
-    return conform(raw, schema)
+    return conform(canonical_names(raw, table), schema)
 
 
 def load_quality_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -71,9 +97,19 @@ def clean_quality(quality: DataFrame) -> DataFrame:
     return q.dropna(subset=["ph", "temperature", "grade"])
 
 
-def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    """A3: scan a curated parquet dataset (schema from the files)."""
-    return spark.read.parquet(path)
+def read_curated(spark: SparkSession, path: str, date_from: dt.date | None = None,
+                 date_to: dt.date | None = None) -> DataFrame:
+    """A3: scan a curated parquet dataset (schema from the files), without its month folders' column.
+
+    Bounds on the date (inclusive) also bound the month, so whole folders are pruned.
+    """
+    df = spark.read.parquet(path)
+    for bound, keep in ((date_from, lambda c, v: c >= v), (date_to, lambda c, v: c <= v)):
+        if bound is not None:
+            df = df.filter(keep(F.col("date"), F.lit(bound)))
+            if "month" in df.columns:
+                df = df.filter(keep(F.col("month"), F.lit(f"{bound:%Y-%m}")))
+    return df.drop("month")
 
 
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite",
@@ -86,7 +122,7 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite",
 
 
 def write_curated_sales(curated: DataFrame, path: str) -> None:
-    """Curated sales partitioned by month so date filters prune whole folders.
+    """Curated sales partitioned by month, so that ``read_curated`` with date bounds prunes whole folders.
 
     A ``rebalance`` by month routes each month to its own tasks, so a task
     writes one month folder (not tasks x months small files); AQE splits months
@@ -100,17 +136,20 @@ def write_curated_sales(curated: DataFrame, path: str) -> None:
 class OperationalTables:
     """Stored operational tables under ``root/<name>`` (parquet), each conformed on read.
 
-    Same attributes as the fixture views (``production``, ``quality``, ...); an
-    absent table is a typed empty frame, so every operator still runs.
+    Same attributes as the fixture views (``production``, ``quality``, ...).  An
+    absent core table is an error (as behind a mistyped path); any other absent
+    one is a typed empty frame, so every operator still runs.
     """
 
     NAMES = ("production", "quality", "inventory", "sales", "factory", "logistics", "product_catalog")
+    CORE = ("production", "inventory", "sales")
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         for name in self.NAMES:
-            setattr(self, name, load_table(spark, f"{self.root}/{name}", name, optional=True))
+            setattr(self, name, load_table(spark, f"{self.root}/{name}", name,
+                                          optional=name not in self.CORE))
 
     def as_dict(self) -> dict[str, DataFrame]:
         return {k: getattr(self, k) for k in self.NAMES}

@@ -14,7 +14,8 @@ sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 import __spark_entry__ as E  # noqa: E402
 from perishables.session import build_session  # noqa: E402
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def norm(v):
