@@ -182,6 +182,9 @@ FROM raw_sales_text""",
          row_number() OVER (PARTITION BY product_id ORDER BY count(*) DESC, product_type) AS rn
   FROM catalog WHERE product_id IS NOT NULL AND product_type IS NOT NULL GROUP BY product_id, product_type)
 WHERE rn = 1""",
+    "graded": """SELECT product_id, grade AS product_type FROM (
+  SELECT product_id, grade, row_number() OVER (PARTITION BY product_id ORDER BY count(*) DESC, grade) AS rn
+  FROM production GROUP BY product_id, grade) WHERE rn = 1""",
     "risk": """SELECT product_id, store_id,
   max(CASE WHEN days_to_expiration <= 1 THEN 2 WHEN days_to_expiration <= 3 THEN 1 ELSE 0 END) AS risk_score
 FROM curated WHERE product_id IS NOT NULL AND store_id IS NOT NULL AND days_to_expiration IS NOT NULL
@@ -206,6 +209,7 @@ DEPS: dict[str, list[str]] = {
     "parsed_raw": ["raw_sales_text"],
     "pmap": ["catalog"],
     "risk": ["curated"],
+    "graded": ["production"],
 }
 
 
@@ -456,6 +460,43 @@ def _bytes_to_int() -> str:
   AS BIGINT) AS batch_id FROM lineitem"""
 
 
+def _forecast_stocked() -> str:
+    """The baseline forecast over daily rows with the query's stock, capacity and expiry changes."""
+    stocked = """SELECT * REPLACE (
+  CASE WHEN product_id <= 2 THEN available_stock + 5000 ELSE available_stock END AS available_stock,
+  CASE WHEN product_id = 3 THEN 0 WHEN product_id = 4 THEN CAST(units_sold = 1 AS BIGINT) ELSE max_capacity_per_day_liters END
+    AS max_capacity_per_day_liters,
+  CASE WHEN product_id >= 4 THEN days_to_expiration + 4 ELSE days_to_expiration END AS days_to_expiration) FROM psd"""
+    scalars = VIEWS["ss"].replace("FROM psd", "FROM stocked")
+    return with_ctes(["psd", "base"], "SELECT * FROM fc", [("stocked", stocked), ("ss", scalars), *forecast_ctes("", 30)])
+
+
+def _holt_winters_fixed() -> str:
+    """Additive Holt-Winters recursion (alpha 0.3, beta 0.05, gamma 0.1), weekly season from 14 values on."""
+    a, b = "CAST(0.3 AS DOUBLE)", "CAST(0.05 AS DOUBLE)"
+    one = "CAST(1 AS DOUBLE)"
+    both = """SELECT 'daily' AS kind, product_id, store_id, date, CAST(units_sold AS DOUBLE) AS y FROM psd
+UNION ALL SELECT 'yearly', product_id, store_id, date_trunc('year', date), CAST(sum(units_sold) AS DOUBLE) FROM psd GROUP BY ALL"""
+    hist = """SELECT kind, product_id, store_id, CAST(count(*) AS INTEGER) AS n, list(y ORDER BY date) AS h
+FROM series GROUP BY kind, product_id, store_id"""
+    s0 = "s[t % 7 + 1]"
+    level = f"({a} * (h[t + 1] - {s0}) + ({one} - {a}) * (l + b))"
+    hw = f"""SELECT kind, product_id, store_id, n, h, 0 AS t,
+  CASE WHEN n >= 14 THEN list_sum(h[1:7]) / CAST(7 AS DOUBLE) ELSE h[1] END AS l, CAST(0 AS DOUBLE) AS b,
+  CASE WHEN n >= 14 THEN list_transform(h[1:7], lambda v: v - list_sum(h[1:7]) / CAST(7 AS DOUBLE))
+    ELSE list_transform(range(7), lambda v: CAST(0 AS DOUBLE)) END AS s,
+  CASE WHEN n >= 14 THEN CAST(0.1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS g
+FROM hist
+UNION ALL
+SELECT kind, product_id, store_id, n, h, t + 1, {level}, {b} * ({level} - l) + ({one} - {b}) * b,
+  list_transform(range(7), lambda k: CASE WHEN k = t % 7 THEN g * (h[t + 1] - (l + b)) + ({one} - g) * {s0} ELSE s[k + 1] END), g
+FROM hw WHERE t < n"""
+    body = """SELECT kind, product_id, store_id, n AS n_values, CAST(step AS INTEGER) AS step,
+  round(l + CAST(step AS DOUBLE) * b + s[(n + step - 1) % 7 + 1], 6) AS forecast
+FROM hw, range(1, 11) r(step) WHERE t = n"""
+    return with_ctes(["psd"], body, [("series", both), ("hist", hist), ("hw", hw)]).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _heatmap() -> str:
     cols = ", ".join(f"coalesce(max(CASE WHEN store_id = '{s}' THEN risk_score END), 0) AS \"{s}\"" for s in STORES)
     return with_ctes(["risk", "pmap"], f"""SELECT x.product_id, {LABEL_NAME} AS product, {", ".join(f'x."{s}"' for s in STORES)}
@@ -520,7 +561,7 @@ UNION ALL SELECT batch_id, product_id, product_type, production_date, production
 FROM new_rows""", [("loaded", LOADED), ("new_rows", NEW_BY_DATE)])
     q["last_date"] = with_ctes(["production"], "SELECT coalesce(max(production_date), DATE '2025-01-01') AS last_date FROM production")
     seed = " UNION ALL ".join(f"SELECT CAST({i + 1} AS BIGINT) AS product_id, '{t}' AS product_type"
-                              for i, t in enumerate(PRODUCT_TYPES))
+                              for i, t in enumerate([*PRODUCT_TYPES, *(f"{t} organic" for t in PRODUCT_TYPES)]))
     q["ensure_dimension"] = with_ctes(["product_catalog"], """SELECT * FROM product_catalog
 UNION ALL SELECT * FROM seed s WHERE NOT EXISTS (SELECT 1 FROM product_catalog c WHERE c.product_id = s.product_id)""",
                                       [("seed", seed)])
@@ -622,6 +663,16 @@ FROM (SELECT forecast_date, sum(CAST(forecasted_sales AS {EXACT})) AS d FROM fcw
     q["asof_stock"] = with_ctes(["curated"], f"SELECT {CUR_STOCK_ASOF} AS asof_stock")
     # sort / limit / sample
     q["production_plan"] = _plan()
+    q["quality_csv"] = with_ctes(["quality_clean"], "SELECT * FROM quality_clean")
+    q["curated_by_month"] = with_ctes(["curated"], "SELECT * FROM curated WHERE date BETWEEN DATE '1995-03-10' AND DATE '1996-02-05'")
+    q["product_map_competing"] = with_ctes(["graded"], "SELECT * FROM graded")
+    q["type_histogram_raw"] = with_ctes(["raw_sales_text"], _union([
+        f"SELECT 'raw' AS table_name, '{c}' AS column_name, {_value_type(c, None)} AS value_type, count(*) AS n FROM raw_sales_text GROUP BY ALL"
+        for c in ("batch_id", "product_id", "sale_date", "units")]))
+    q["daily_absent_inputs"] = with_ctes(["psd"], """SELECT * REPLACE (CAST(0 AS BIGINT) AS max_capacity_per_day_liters,
+  CAST(0 AS DOUBLE) AS energy_consumption_kwh, CAST(0 AS DOUBLE) AS transport_time_hours) FROM psd""")
+    q["forecast_stocked"] = _forecast_stocked()
+    q["holt_winters_fixed"] = _holt_winters_fixed()
     q["seeded_sample"] = with_ctes(["quality"], "SELECT * FROM quality ORDER BY md5(concat_ws('-', batch_id, '42')), batch_id LIMIT 100")
     q["stored_legacy_sales"] = with_ctes(["daily_sales"], "SELECT * FROM daily_sales")
     q["stored_legacy_logistics"] = with_ctes(["daily_logistics"], "SELECT * FROM daily_logistics")

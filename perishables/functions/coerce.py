@@ -158,5 +158,6 @@ def conform(df: DataFrame, schema: T.StructType, *, null_literal_text: Iterable[
             expr = text_expr(col, name in text_literal)
         else:
             expr = col.try_cast(target)
-        out.append(expr.alias(name))
+        # every column may be null, whatever the source declares
+        out.append((expr if df.schema[name].nullable else F.when(F.lit(True), expr)).alias(name))
     return df.select(*out)

@@ -30,12 +30,11 @@ FACTORY_COLUMNS = ["line_id", "quantity_produced_liters", "lead_time_days",
 def catalog(production: DataFrame) -> DataFrame:
     """Distinct (batch, product, type, shelf life, production date) rows.
 
-    Hash-partitioned by ``batch_id`` before the distinct: the distinct and the
-    (batch, product) joins downstream then share one shuffle of the production
-    table instead of two (production holds one row per batch, so map-side
-    de-duplication would not shrink it anyway).
+    The distinct and the (batch, product) join downstream each shuffle the production table (one
+    row per batch, narrow columns): a partitioning of our own would save one of the two,
+    but AQE does not split a hot batch of the sales side against it.
     """
-    return production.select(*CATALOG_COLUMNS).dropna(how="all").repartition("batch_id").dropDuplicates()
+    return production.select(*CATALOG_COLUMNS).dropna(how="all").dropDuplicates()
 
 
 def map_sales(sales: DataFrame, *, null_store: str = "literal") -> DataFrame:

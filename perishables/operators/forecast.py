@@ -29,6 +29,7 @@ from perishables.operators import holt_winters
 from perishables.settings import ForecastSettings
 
 SERIES = schemas.SERIES_KEYS
+# --- fixed values (the inputs of the daily series, by name) ---
 DAILY_INPUTS = ["units_sold", "available_stock", "max_capacity_per_day_liters", "energy_consumption_kwh",
                 "transport_time_hours", "transport_temperature_c", "days_to_expiration"]
 
@@ -141,9 +142,12 @@ def forecast_from_profile(profile: DataFrame, existing: DataFrame | None,
         threshold = max(3, settings.min_history_days)
         # The fit is CPU-bound per series while the profile is small in bytes, so
         # AQE would coalesce it into a few partitions and serialise the fits.  An
-        # explicit partition count (which AQE keeps) spreads series over all cores.
-        spread = prof.repartition(prof.sparkSession.sparkContext.defaultParallelism, *SERIES)
-        prof = holt_winters.attach_state(spread.withColumn("use_ets", F.col("n_days") >= threshold), "use_ets")
+        # explicit partition count (which AQE keeps) spreads series over all cores; it
+        # is the session's, which ``session.scale_conf`` sizes for cores and input.
+        parts = int(prof.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spread = prof.repartition(parts, *SERIES)
+        prof = holt_winters.attach_state(spread.withColumn("use_ets", F.col("n_days") >= threshold), "use_ets",
+                                         settings.fitter or holt_winters.fit_series)
     else:
         prof = prof.withColumn("model_state", F.lit(None))
     rows = prof.select(*SERIES, "last_stock", "cap_sum", "expiration_risk", "avg_energy", "baseline",

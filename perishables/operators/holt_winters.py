@@ -24,7 +24,7 @@ s[0] is the season of the first day after the history.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -102,6 +102,8 @@ def fit_series(y: np.ndarray) -> dict:
             "beta": float(point[1]), "gamma": float(point[2]), "sse": float(best_sse), "seasonal": bool(seasonal)}
 
 
+Fitter = Callable[[np.ndarray], dict]
+
 STATE_TYPE = T.StructType([
     T.StructField("l", T.DoubleType()), T.StructField("b", T.DoubleType()),
     T.StructField("s", T.ArrayType(T.DoubleType())), T.StructField("alpha", T.DoubleType()),
@@ -110,29 +112,38 @@ STATE_TYPE = T.StructType([
 ])
 
 
-def _state_batches(batches: Iterator[pd.DataFrame], flag: str) -> Iterator[pd.DataFrame]:
+def smooth_series(y: np.ndarray, alpha: float, beta: float, gamma: float) -> dict:
+    """The state after one series under given parameters (no search)."""
+    n = len(y)
+    seasonal = n >= MIN_SEASONAL_POINTS
+    point = np.array([[alpha, beta, gamma if seasonal else 0.0]])
+    sse, level, trend, season = _run(np.asarray(y, dtype=float), *point.T, seasonal)
+    return {"l": float(level[0]), "b": float(trend[0]), "s": [float(season[0][(n + i) % PERIOD]) for i in range(PERIOD)],
+            "alpha": alpha, "beta": beta, "gamma": float(point[0, 2]), "sse": float(sse[0]), "seasonal": seasonal}
+
+
+def _state_batches(batches: Iterator[pd.DataFrame], flag: str, fitter: Fitter) -> Iterator[pd.DataFrame]:
+    def state(history) -> dict | None:
+        try:
+            return fitter(np.asarray(history, dtype=float))
+        except (ArithmeticError, ValueError, np.linalg.LinAlgError):
+            return None  # this series falls back to its baseline
+
     for pdf in batches:
-        states = [fit_series(np.asarray(h, dtype=float)) if use else None
-                  for h, use in zip(pdf["history"], pdf[flag])]
         pdf = pdf.copy()
-        pdf["model_state"] = states
+        pdf["model_state"] = [state(h) if use else None for h, use in zip(pdf["history"], pdf[flag])]
         yield pdf
 
 
-def attach_state(profile: DataFrame, flag: str = "use_ets") -> DataFrame:
-    """Per-series rows in, the same rows out plus ``model_state`` (null where ``flag`` is false).
+def attach_state(profile: DataFrame, flag: str = "use_ets", fitter: Fitter = fit_series) -> DataFrame:
+    """Per-series rows in, the same rows out plus ``model_state`` (null where ``flag`` is false or the fit fails).
 
-    Rows pass through unchanged, so the plan stays linear: no join back to the
-    profile, and the series partitioning is kept.
+    ``fitter`` turns a history into a state (see ``STATE_TYPE``), so another model of level, trend and
+    weekly season can take the place of the built-in one.  Rows pass through unchanged, so the plan
+    stays linear: no join back to the profile, and the series partitioning is kept.
     """
     schema = T.StructType(profile.schema.fields + [T.StructField("model_state", STATE_TYPE, True)])
-    return profile.mapInPandas(lambda it: _state_batches(it, flag), schema)
-
-
-def fit(profile: DataFrame) -> DataFrame:
-    """Best grid point for every series row (product_id, store_id, history): adds ``model_state``."""
-    return attach_state(profile.select(*SERIES, "history", F.lit(True).alias("_fit")), "_fit") \
-        .select(*SERIES, "model_state")
+    return profile.mapInPandas(lambda it: _state_batches(it, flag, fitter), schema)
 
 
 def forecast_expr(step: Column, state: str = "model_state") -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from perishables import schemas
 from perishables.functions import coerce
 from perishables.functions.nulls import clip_range
 from perishables.functions.scalars import PRODUCT_TYPES, expiry_date, shelf_life_days, weekday_factor
-from perishables.operators import curate, forecast, quality, reports
+from perishables.operators import curate, forecast, holt_winters, quality, reports
 from perishables.session import scratch_path
 from perishables.settings import ForecastSettings, ReportFilters
 from perishables.sources import domain_views, forecast_store, incremental, tables
@@ -243,7 +244,8 @@ def q_last_date(spark, sf):
 
 def q_ensure_dimension(spark, sf):
     existing = _domain(spark, sf).product_catalog
-    seed = spark.createDataFrame([(i + 1, t) for i, t in enumerate(PRODUCT_TYPES)], schemas.PRODUCT_CATALOG)
+    kinds = [*PRODUCT_TYPES, *(f"{t} organic" for t in PRODUCT_TYPES)]  # the second half is not in the table yet
+    seed = spark.createDataFrame([(i + 1, t) for i, t in enumerate(kinds)], schemas.PRODUCT_CATALOG)
     return incremental.ensure_dimension(existing, seed, ["product_id"])
 
 
@@ -347,6 +349,65 @@ def q_holt_winters(spark, sf):
     return _forecast(spark, sf, ETS)
 
 
+def q_holt_winters_fixed(spark, sf):
+    """K2 under fixed parameters: daily histories (with a weekly season) and yearly ones (trend only)."""
+    daily = forecast.product_store_daily(_curated(spark, sf)).select("product_id", "store_id", "date", "units_sold")
+    yearly = daily.groupBy("product_id", "store_id", F.trunc("date", "year").alias("date")).agg(F.sum("units_sold").alias("units_sold"))
+    both = daily.select(F.lit("daily").alias("kind"), "*").unionByName(yearly.select(F.lit("yearly").alias("kind"), "*"))
+    history = F.transform(F.array_sort(F.collect_list(F.struct("date", F.col("units_sold").cast("double").alias("y")))), lambda x: x["y"])
+    rows = both.groupBy("kind", "product_id", "store_id").agg(history.alias("history")).withColumn("use", F.lit(True))
+    states = holt_winters.attach_state(rows, "use", partial(holt_winters.smooth_series, alpha=0.3, beta=0.05, gamma=0.1))
+    step = F.explode(F.sequence(F.lit(1), F.lit(10))).alias("step")
+    return states.select("kind", "product_id", "store_id", F.size("history").alias("n_values"), "model_state", step) \
+        .select("kind", "product_id", "store_id", "n_values", "step", F.round(holt_winters.forecast_expr(F.col("step")), 6).alias("forecast"))
+
+
+def q_forecast_stocked(spark, sf):
+    """E6/J7/J8 where every branch occurs: large stock (waste), small capacity (a binding cap), distant expiry (no risk)."""
+    daily = forecast.product_store_daily(_curated(spark, sf)).withColumns({
+        "available_stock": F.when(F.col("product_id") <= 2, F.col("available_stock") + 5000).otherwise(F.col("available_stock")),
+        "max_capacity_per_day_liters": F.when(F.col("product_id") == 3, F.lit(0)).when(F.col("product_id") == 4, (F.col("units_sold") == 1).cast("bigint"))
+        .otherwise(F.col("max_capacity_per_day_liters")),
+        "days_to_expiration": F.when(F.col("product_id") >= 4, F.col("days_to_expiration") + 4).otherwise(F.col("days_to_expiration"))})
+    return forecast.forecast_from_daily(daily, None, BASELINE)
+
+
+def q_product_map_competing(spark, sf):
+    """E7/T14 with several types for one product: the grades of its batches."""
+    made = _domain(spark, sf).production.select("product_id", F.col("grade").alias("product_type"))
+    return reports.product_map(made)
+
+
+def q_daily_absent_inputs(spark, sf):
+    """The daily series of a curated table without energy, transport and capacity columns."""
+    cur = _curated(spark, sf).drop("energy_consumption_kwh", "transport_time_hours", "max_capacity_per_day_liters")
+    return forecast.product_store_daily(cur)
+
+
+def q_quality_csv(spark, sf):
+    """A2: quality rows written as CSV under the known misspelt header, read back and cleaned."""
+    path = scratch_path(spark, "quality-csv")
+    q = _domain(spark, sf).quality
+    named = {"ph": "pH", "temperature": "Temprature", "taste": "Taste", "odor": "Odor", "fat": "Fat ", "turbidity": "Turbidity",
+             "colour": "Colour", "grade": "Grade"}
+    q.select("batch_id", *(F.col(c).alias(n.strip()) for c, n in named.items())).write.option("header", True) \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return tables.clean_quality(tables.load_quality_csv(spark, path))
+
+
+def q_curated_by_month(spark, sf):
+    """Curated sales written by month and read back between two days (whole folders pruned)."""
+    path = scratch_path(spark, "curated-by-month")
+    tables.write_curated_sales(_curated(spark, sf), path)
+    return tables.read_curated(spark, path, dt.date(1995, 3, 10), dt.date(1996, 2, 5))
+
+
+def q_type_histogram_raw(spark, sf):
+    """E17 over text columns: nulls, whole numbers, fractions and other text."""
+    raw = raw_sales_text(spark, sf)
+    return quality.type_histogram({"raw": raw}, {"raw": ["batch_id", "product_id", "sale_date", "units"]})
+
+
 # ------------------------------------------------------------ reports
 def _views(spark, sf, filters=DASHBOARD_FILTERS):
     """Lazy views: each report's filters and columns reach the scans, and no job runs while it is built."""
@@ -577,6 +638,13 @@ QUERIES: dict[str, Query] = {
     # forecasting
     "baseline_forecast": q_baseline_forecast,
     "holt_winters": q_holt_winters,
+    "holt_winters_fixed": q_holt_winters_fixed,
+    "forecast_stocked": q_forecast_stocked,
+    "daily_absent_inputs": q_daily_absent_inputs,
+    "product_map_competing": q_product_map_competing,
+    "quality_csv": q_quality_csv,
+    "curated_by_month": q_curated_by_month,
+    "type_histogram_raw": q_type_histogram_raw,
     "model_choice": q_model_choice,
     "forecast_rows": q_forecast_rows,
     # streaming

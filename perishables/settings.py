@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 
@@ -17,6 +18,8 @@ class ForecastSettings:
                       "compact": steps 1..n over the remaining (not yet forecast) dates,
                       which is how the reference phases incremental runs
     baseline_window   number of last observed days averaged by the baseline
+    fitter            another model for "ets": history -> state of level, trend and season
+                      (``holt_winters.STATE_TYPE``); a fit that fails falls back to the baseline
     """
 
     horizon_days: int = 30
@@ -24,6 +27,7 @@ class ForecastSettings:
     model: str = "ets"
     step_mode: str = "calendar"
     baseline_window: int = 7
+    fitter: Callable | None = None
 
     def __post_init__(self) -> None:
         if self.horizon_days < 1:

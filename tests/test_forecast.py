@@ -132,3 +132,40 @@ def test_upsert_replaces_keys(spark):
     got = sorted((r.forecast_date, r.forecasted_sales) for r in out.collect())
     assert got == [(START, 1.0), (START + dt.timedelta(1), 9.0), (START + dt.timedelta(2), 9.0)]
     assert out.groupBy(*schemas.FORECAST_KEYS).count().filter(F.col("count") > 1).count() == 0
+
+
+def test_stocked_forecast_reaches_every_branch(spark):
+    from perishables.plans.registered import q_forecast_stocked
+    from tests.conftest import SF_ORACLE
+
+    rows = q_forecast_stocked(spark, SF_ORACLE).collect()
+    assert {r["predicted_waste"] > 0 for r in rows} == {True, False}
+    assert {r["expiration_risk"] for r in rows} == {0, 1}
+    assert {r["suggested_production"] > 0 for r in rows} == {True, False}
+    need = {}
+    for r in rows:  # product 4's capacity binds somewhere: less is suggested than demand lacks
+        need.setdefault((r["product_id"], r["store_id"]), []).append(r)
+    assert any(k[0] == 4 and 0 < v[0]["suggested_production"] < v[0]["forecasted_sales"] - 1 for k, v in need.items())
+
+
+def test_a_failing_fit_falls_back_to_the_baseline(spark):
+    import datetime as dt
+
+    from perishables.settings import ForecastSettings
+
+    days = [(1, "S1", dt.date(2025, 1, 1) + dt.timedelta(i), 5 + i % 3, 9) for i in range(40)]
+    days += [(2, "S1", d, 4, 9) for _, _, d, _, _ in days]
+    daily = forecast.product_store_daily(spark.createDataFrame(
+        days, "product_id long, store_id string, date date, units_sold long, available_stock long"))
+
+    def fitter(history):
+        if history[0] == 4.0:
+            raise ValueError("no fit")
+        return holt_winters.smooth_series(history, 0.3, 0.05, 0.1)
+
+    own = {(r["product_id"], r["forecast_date"]): r["forecasted_sales"]
+           for r in forecast.forecast_from_daily(daily, None, ForecastSettings(model="ets", fitter=fitter)).collect()}
+    base = {(r["product_id"], r["forecast_date"]): r["forecasted_sales"]
+            for r in forecast.forecast_from_daily(daily, None, ForecastSettings(model="baseline")).collect()}
+    assert own.keys() == base.keys()
+    assert all(own[k] == base[k] for k in own if k[0] == 2) and any(own[k] != base[k] for k in own if k[0] == 1)

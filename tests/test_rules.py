@@ -148,7 +148,7 @@ def test_map_sales_accepts_raw_legacy_text(spark):
          ("1.5", "2", "S1", "2025-01-03", "4"), ("1", "2", None, "2025-01-03", "4"), ("1", "2", "S2", "x", "1"),
          ("1", "2", "S2", "2025-01-04", "abc")],
         "batch_id string, product_id string, store_id string, ds string, y string")
-    got = sorted(tuple(r) for r in daily_sales(raw).select("batch_id", "store_id", "date", "units_sold").collect())
+    got = sorted(tuple(r) for r in daily_sales(raw, null_store="drop").select("batch_id", "store_id", "date", "units_sold").collect())
     assert got == [(1, "S1", dt.date(2025, 1, 3), 1), (1, "S2", dt.date(2025, 1, 4), 0)]
-    lit = sorted(tuple(r) for r in daily_sales(raw, null_store="literal").select("store_id", "units_sold").collect())
+    lit = sorted(tuple(r) for r in daily_sales(raw).select("store_id", "units_sold").collect())
     assert ("None", 4) in lit
