@@ -159,5 +159,5 @@ def conform(df: DataFrame, schema: T.StructType, *, null_literal_text: Iterable[
         else:
             expr = col.try_cast(target)
         # every column may be null, whatever the source declares
-        out.append((expr if df.schema[name].nullable else F.when(F.lit(True), expr)).alias(name))
+        out.append((expr if df.schema[name].nullable else F.nullif(expr, F.lit(None).cast(target))).alias(name))
     return df.select(*out)

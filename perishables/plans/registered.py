@@ -418,7 +418,7 @@ def _views(spark, sf, filters=DASHBOARD_FILTERS):
 
 
 def q_filtered_view(spark, sf):
-    _, cur, fc, fcw, sc = _views(spark, sf, FILTERED)
+    sc = _views(spark, sf, FILTERED)[4]
     return sc.select("batch_id", "product_id", "store_id", "date", "units_sold", "available_stock")
 
 
