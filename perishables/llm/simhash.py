@@ -97,7 +97,6 @@ def _mask(bits: list[int]) -> int:
 
 def block_masks(depth: int) -> dict[int, list[tuple[int, int]]]:
     """For each node number of the level above, its (number, mask of the bits it holds) at this level."""
-    level = {0: [[]]}
     out: dict[int, list[tuple[int, int]]] = {}
     held: dict[int, list[int]] = {0: []}
     for _ in range(depth):
@@ -166,7 +165,7 @@ def index_links(group: np.ndarray, fps: np.ndarray, limit: int) -> tuple[np.ndar
     """
     full = np.full(len(fps), np.uint64(2**64 - 1))
     levels = [(full, fps, None, None)]  # mask, pattern, first child, end of children
-    owner_group, last = group, np.arange(len(fps))
+    owner_group = group
     while True:
         mask, pattern = levels[-1][:2]
         new = np.flatnonzero(np.diff(owner_group, prepend=owner_group[:1] - 1))
@@ -177,7 +176,7 @@ def index_links(group: np.ndarray, fps: np.ndarray, limit: int) -> tuple[np.ndar
         ends = np.append(starts[1:], len(owner_group))
         owner = np.repeat(np.arange(len(starts)), ends - starts)
         levels.append((*_level(starts, owner, mask, pattern), starts, ends))
-        owner_group, last = owner_group[starts], last[ends - 1]
+        owner_group = owner_group[starts]
     lasts = [np.arange(len(fps))]  # the last fingerprint below each node
     for _, _, _, ends in levels[1:]:
         lasts.append(lasts[-1][ends - 1])

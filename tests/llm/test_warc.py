@@ -8,7 +8,6 @@ import zlib
 import pytest
 
 from perishables.llm import warc as W
-from tests.llm import cases
 
 PAGES = "page_id long, url string, html string, payload string, digest string, first string"
 BIG = "<p>" + "same " * 40 + "</p>"
