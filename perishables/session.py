@@ -19,6 +19,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # joins on (batch, product[, date]) may reuse a partitioning on a key subset
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # streaming state on local disk instead of the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 

@@ -3,10 +3,9 @@
 M1: new sales rows arrive as files; a stateful streaming aggregation keeps the
 daily per-(batch, product, store, date) aggregate (sum, max and the running
 (sum, count) of the mean), and every micro-batch emits the updated groups
-("update" mode).  ``foreachBatch`` upserts them by key into a versioned parquet
-sink: the version folder is named after the epoch, so a replayed epoch
-rewrites the same folder (idempotent).  The final sink equals the batch E1
-result.  Late rows for an old day update that day's aggregate; with a
+("update" mode).  ``foreachBatch`` writes them to a parquet change log: one folder
+per epoch, so a replayed epoch rewrites the same folder (idempotent) and a micro-batch
+costs what it changed.  The sink read back equals the batch E1 result.  Late rows for an old day update that day's aggregate; with a
 watermark, state older than the watermark is dropped and rows arriving later
 than it are ignored (bounded state at scale).
 
@@ -16,6 +15,7 @@ M2: after a load, the forecast is rerun for the series the batch touched.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,39 +25,73 @@ from perishables.session import scratch_path
 
 
 class VersionedSink:
-    """Parquet folder of versions ``epoch=<n>``; the highest complete one is current."""
+    """Parquet change log: ``epoch=<n>`` holds the groups that micro-batch n changed, with their new values.
 
-    def __init__(self, spark: SparkSession, root: str):
+    A micro-batch writes what it changed, not the table.  Readers take each key's row of the highest epoch.
+    ``compact`` merges everything up to now into ``base=<n>``, after which readers start there, and
+    ``expire`` removes what lies before it.  Only complete folders (``_SUCCESS``) count.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys: list[str] = SALES_KEYS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keys = list(keys)
 
-    def versions(self) -> list[int]:
+    def _folders(self, kind: str) -> list[int]:
         jvm = self.spark.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         if not fs.exists(path):
             return []
-        out = []
+        found = []
         for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if name.startswith("epoch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
+            name, _, number = st.getPath().getName().partition("=")
+            if name == kind and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                found.append(int(number))
+        return sorted(found)
+
+    def _path(self, kind: str, number: int) -> str:
+        return f"{self.root}/{kind}={number:012d}"
+
+    def versions(self) -> list[int]:
+        """Epochs that readers still merge."""
+        base = max(self._folders("base"), default=-1)
+        return [n for n in self._folders("epoch") if n > base]
 
     def read(self, schema=None) -> DataFrame | None:
-        versions = self.versions()
-        if not versions:
+        bases, epochs = self._folders("base"), self.versions()
+        parts = [("base", bases[-1])] if bases else []
+        parts += [("epoch", n) for n in epochs]
+        if not parts:
             return None if schema is None else self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(f"{self.root}/epoch={versions[-1]:012d}")
-
-    def upsert_batch(self, batch: DataFrame, epoch_id: int, keys: list[str]) -> None:
-        prior = [v for v in self.versions() if v < epoch_id]
-        if prior:
-            current = self.spark.read.parquet(f"{self.root}/epoch={prior[-1]:012d}")
-            merged = current.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
-        else:
-            merged = batch
-        merged.write.mode("overwrite").parquet(f"{self.root}/epoch={epoch_id:012d}")
+        frames = [self.spark.read.parquet(self._path(*part)) for part in parts]
+        if len(frames) == 1:
+            return frames[0]
+        columns = frames[0].columns
+        rest = F.struct(*(F.col(c) for c in columns if c not in self.keys))
+        every = reduce(DataFrame.unionByName, [f.withColumn("_order", F.lit(i)) for i, f in enumerate(frames)])
+        last = every.groupBy(*self.keys).agg(F.max_by(rest, "_order").alias("_row"))
+        return last.select(*(F.col(c) if c in self.keys else F.col(f"_row.{c}").alias(c) for c in columns))
+
+    def upsert_batch(self, batch: DataFrame, epoch_id: int) -> None:
+        """A replayed epoch overwrites its own folder."""
+        batch.write.mode("overwrite").parquet(self._path("epoch", epoch_id))
+
+    def compact(self) -> None:
+        """Write the current table as a new base."""
+        epochs = self.versions()
+        if epochs:
+            self.read().write.mode("overwrite").parquet(self._path("base", epochs[-1]))
+
+    def expire(self) -> None:
+        """Remove epochs and bases that the newest base has replaced (no reader may still be on them)."""
+        jvm = self.spark.sparkContext._jvm
+        base = max(self._folders("base"), default=-1)
+        for kind, limit in (("epoch", base + 1), ("base", base)):
+            for number in self._folders(kind):
+                if number < limit:
+                    path = jvm.org.apache.hadoop.fs.Path(self._path(kind, number))
+                    path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def daily_sales_updates(sales_stream: DataFrame, watermark_delay: str | None = None) -> DataFrame:
@@ -78,14 +112,16 @@ def daily_sales_updates(sales_stream: DataFrame, watermark_delay: str | None = N
 def run_daily_sales_stream(spark: SparkSession, sales_stream: DataFrame, sink_root: str,
                            checkpoint: str | None = None, *, watermark_delay: str | None = None,
                            on_batch: Callable[[DataFrame, int], None] | None = None) -> VersionedSink:
-    """Start M1 with ``availableNow`` (process what is there, then stop) and wait for it."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """Start M1 with ``availableNow`` (process what is there, then stop) and wait for it.
+
+    Without ``watermark_delay`` the state keeps every group for ever, so that rows of any age still count; set it
+    where late rows of that age may be ignored.  ``session.tune`` chooses the state store on local disk.
+    """
     sink = VersionedSink(spark, sink_root)
     updates = daily_sales_updates(sales_stream, watermark_delay)
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        sink.upsert_batch(batch, epoch_id, SALES_KEYS)
+        sink.upsert_batch(batch, epoch_id)
         if on_batch is not None:
             on_batch(batch, epoch_id)
 
