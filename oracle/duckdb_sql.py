@@ -663,6 +663,17 @@ FROM (SELECT forecast_date, sum(CAST(forecasted_sales AS {EXACT})) AS d FROM fcw
     q["asof_stock"] = with_ctes(["curated"], f"SELECT {CUR_STOCK_ASOF} AS asof_stock")
     # sort / limit / sample
     q["production_plan"] = _plan()
+    q["non_iso_samples"] = with_ctes(["raw_sales_text"], r"""SELECT sale_date FROM raw_sales_text
+WHERE sale_date IS NOT NULL AND NOT regexp_full_match(sale_date, '\d{4}-\d{2}-\d{2}') ORDER BY sale_date LIMIT 5""")
+    q["key_range"] = with_ctes(["production"], "SELECT * FROM production WHERE batch_id BETWEEN 1000 AND 9000")
+    filled = """SELECT * REPLACE (coalesce(initial_stock_liters, 0) AS initial_stock_liters, coalesce(current_stock_liters, 0) AS current_stock_liters)
+FROM j_inventory"""
+    chain = [("j_filled", filled), ("z_factory", VIEWS["j_factory"].replace("j_inventory", "j_filled")),
+             ("z_logistics", VIEWS["j_logistics"].replace("j_factory", "z_factory")),
+             ("z1", VIEWS["cur1"].replace("j_logistics", "z_logistics")), ("z2", VIEWS["cur2"].replace("cur1", "z1")),
+             ("z", VIEWS["curated"].replace("cur2", "z2"))]
+    q["curated_zero_stock"] = with_ctes(["j_inventory", "factory", "daily_logistics"], """SELECT batch_id, product_id, store_id, date,
+  units_sold, initial_stock_liters, available_stock, suggested_production, expiration_risk FROM z""", chain)
     q["quality_csv"] = with_ctes(["quality_clean"], "SELECT * FROM quality_clean")
     q["curated_by_month"] = with_ctes(["curated"], "SELECT * FROM curated WHERE date BETWEEN DATE '1995-03-10' AND DATE '1996-02-05'")
     q["product_map_competing"] = with_ctes(["graded"], "SELECT * FROM graded")

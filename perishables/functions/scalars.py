@@ -23,9 +23,9 @@ HIGH_RISK_DAYS = 1                 # risk score 2 if days <= 1, 1 if <= 3, else
 PRODUCT_TYPES = ["whole milk", "skimmed milk", "yogurt", "cheese", "cream"]
 QUALITY_GRADES = ["high", "medium", "low"]
 DATE_FORMAT = "yyyy-MM-dd"
-# -----------------------------------------------------------------------------
-
+# a store's natural order: letters, then digits
 STORE_PATTERN = r"^([A-Za-z]*)(\d+)$"
+# -----------------------------------------------------------------------------
 
 
 def iso_date_text(d: Column) -> Column:

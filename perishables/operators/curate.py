@@ -19,6 +19,7 @@ from perishables.functions.nulls import clip_lower0, flag, min_with_cap, sum0
 from perishables.functions.scalars import NEAR_EXPIRY_DAYS, expiry_date
 
 SALES_KEYS = ["batch_id", "product_id", "store_id", "date"]
+# --- fixed values: the columns that each join brings into the curated table ---
 CATALOG_COLUMNS = ["batch_id", "product_id", "product_type", "shelf_life_days", "production_date"]
 INVENTORY_COLUMNS = ["initial_stock_liters", "current_stock_liters", "reorder_level_liters",
                      "reorder_quantity_liters", "warehouse_location", "storage_temperature_c",
@@ -106,12 +107,17 @@ def join_catalog(daily: DataFrame, cat: DataFrame) -> DataFrame:
     return daily.join(cat, schemas.BATCH_KEYS, "left")
 
 
-def join_inventory(cur: DataFrame, inventory: DataFrame) -> DataFrame:
-    """Left join inventory; a clashing ``production_date`` arrives as ``production_date_inv``."""
+def join_inventory(cur: DataFrame, inventory: DataFrame, *, missing: str = "null") -> DataFrame:
+    """Left join inventory; a clashing ``production_date`` arrives as ``production_date_inv``.
+
+    A batch without an inventory row has unknown stock; ``missing="zero"`` makes its litres 0 (T16: what a
+    run without any inventory table amounts to in the source pipeline).
+    """
     inv = inventory.select(*schemas.BATCH_KEYS, *INVENTORY_COLUMNS)
     clash = [c for c in INVENTORY_COLUMNS if c in cur.columns]
     inv = inv.withColumnsRenamed({c: f"{c}_inv" for c in clash})
-    return cur.join(inv, schemas.BATCH_KEYS, "left")
+    joined = cur.join(inv, schemas.BATCH_KEYS, "left")
+    return joined.fillna(0, subset=[c for c in INVENTORY_COLUMNS if "liters" in c]) if missing == "zero" else joined
 
 
 def join_factory(cur: DataFrame, factory: DataFrame) -> DataFrame:
@@ -149,10 +155,11 @@ def order_curated(cur: DataFrame) -> DataFrame:
 
 
 def curated_sales(production: DataFrame, inventory: DataFrame, sales: DataFrame, factory: DataFrame,
-                  logistics: DataFrame, *, null_store: str = "literal") -> DataFrame:
+                  logistics: DataFrame, *, null_store: str = "literal",
+                  missing_inventory: str = "null") -> DataFrame:
     """The curated sales fact: E1 -> D1 -> D2 -> D3 -> D4 -> J1-J5 -> B13 (30 columns)."""
     cur = join_catalog(daily_sales(sales, null_store=null_store), catalog(production))
-    cur = join_inventory(cur, inventory)
+    cur = join_inventory(cur, inventory, missing=missing_inventory)
     cur = join_factory(cur, factory)
     cur = join_logistics(cur, daily_logistics(logistics))
     return order_curated(derive(cur))

@@ -402,6 +402,24 @@ def q_curated_by_month(spark, sf):
     return tables.read_curated(spark, path, dt.date(1995, 3, 10), dt.date(1996, 2, 5))
 
 
+def q_non_iso_samples(spark, sf):
+    """The first few raw date texts that are no ISO days (the sample size is the feature)."""
+    return quality.non_iso_samples(raw_sales_text(spark, sf), "sale_date", SAMPLE_ROWS)
+
+
+def q_key_range(spark, sf):
+    """The batches whose ids lie between two marks."""
+    return incremental.rows_between(_domain(spark, sf).production, "batch_id", 1000, 9000)
+
+
+def q_curated_zero_stock(spark, sf):
+    """The curated table where a batch without an inventory row counts as empty."""
+    d = _domain(spark, sf)
+    cur = curate.curated_sales(d.production, d.inventory, d.sales, d.factory, d.logistics, missing_inventory="zero")
+    return cur.select("batch_id", "product_id", "store_id", "date", "units_sold", "initial_stock_liters", "available_stock",
+                      "suggested_production", "expiration_risk")
+
+
 def q_type_histogram_raw(spark, sf):
     """E17 over text columns: nulls, whole numbers, fractions and other text."""
     raw = raw_sales_text(spark, sf)
@@ -646,6 +664,9 @@ QUERIES: dict[str, Query] = {
     "product_map_competing": q_product_map_competing,
     "quality_csv": q_quality_csv,
     "curated_by_month": q_curated_by_month,
+    "non_iso_samples": q_non_iso_samples,
+    "key_range": q_key_range,
+    "curated_zero_stock": q_curated_zero_stock,
     "type_histogram_raw": q_type_histogram_raw,
     "model_choice": q_model_choice,
     "forecast_rows": q_forecast_rows,

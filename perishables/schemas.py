@@ -44,11 +44,6 @@ FORECAST = _schema(
     ("predicted_waste", D), ("suggested_production", D), ("expiration_risk", I),
     ("predicted_logistics_cost", D),
 )
-CATALOG_CURATED = _schema(
-    ("batch_id", L), ("product_id", L), ("product_type", S), ("shelf_life_days", I),
-    ("production_date", DT),
-)
-
 TABLES: dict[str, T.StructType] = {
     "production": PRODUCTION,
     "quality": QUALITY,
@@ -60,6 +55,7 @@ TABLES: dict[str, T.StructType] = {
     "forecast": FORECAST,
 }
 
+# --- fixed values: keys, date columns and profiled columns by table, and the curated column order ---
 # Composite keys checked for duplicates; the forecast key is the real one
 # (product, store, date), not a batch id.
 PRIMARY_KEYS: dict[str, list[str]] = {

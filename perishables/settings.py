@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -43,4 +42,3 @@ class ReportFilters:
     product_id: int | None = None
     store_id: str | None = None
     horizon_days: int | None = 14
-    as_of: dt.date | None = None

@@ -69,6 +69,14 @@ class ForecastStore:
             .write.mode("overwrite").parquet(self._path(nxt))
         return nxt
 
+    def expire(self, keep: int = 2) -> list[int]:
+        """Remove all but the newest ``keep`` versions (at least one stays); returns what was removed."""
+        gone = self.versions()[:-max(1, keep)]
+        for version in gone:
+            fs, path, _ = _fs(self.spark, self._path(version))
+            fs.delete(path, True)
+        return gone
+
 
 def export_rows(forecast: DataFrame) -> DataFrame:
     """The eight dashboard fields, ISO date text, null numbers -> 0."""
