@@ -3,6 +3,8 @@ and the DuckDB texts of those that SQL can express."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +49,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     judged = quality_rules.assess(docs, carry=["doc_id"])
-    return judged.select("doc.doc_id", *quality_rules.BASE_COLUMNS, "base_failed", "kept", "distance")
+    return judged.select("doc.doc_id", *quality_rules.BASE_COLUMNS, "base_failed", "kept",
+                         F.round("distance", 6).alias("distance"))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,3 +182,60 @@ SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(g.n, 0) AS n_delete
   CASE WHEN g.n IS NULL THEN d.text ELSE coalesce(k.text, '') END AS text
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN g USING (doc_id) LEFT JOIN k USING (doc_id)
 """
+
+
+def _quality_rules_sql(settings: quality_rules.RobustSettings = quality_rules.RobustSettings()) -> str:
+    """The same statistics, starts and concentration steps as the operator, step by step."""
+    q = quality_rules
+    x = q.X
+
+    def formulas(levels: list[dict[str, str]]) -> str:
+        plain = [{name: re.sub(r"(\d)D\b", r"\1", text) for name, text in level.items()} for level in levels]
+        return ", ".join(f"{text} AS {name}" for level in plain for name, text in level.items())
+
+    sums = ", ".join(["count(*) AS n", *(f"sum({v}) AS s{i}" for i, v in enumerate(x)),
+                      *(f"sum({x[i]} * {x[j]}) AS s{i}_{j}" for i, j in q.PAIRS)])
+    estimate = ", ".join(q.ESTIMATE)
+    vector = ", ".join(f"CAST(round(1000 * {formula}) AS BIGINT) AS {name}" for name, formula in q.VECTOR.items())
+    ctes = [rf"""t AS (SELECT doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda v: v <> '') AS words,
+  list_filter(string_split(text, chr(10)), lambda v: regexp_matches(v, '[^\x20\x09-\x0D]')) AS lines FROM t),
+places AS (SELECT doc_id, p, array_to_string(words[p:p + 2], ' ') AS three
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS p FROM w)),
+again AS (SELECT doc_id, p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, three) AS c FROM places) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT k) AS c FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS k FROM again) GROUP BY doc_id),
+counts AS MATERIALIZED (SELECT w.doc_id, lang, source, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(c, 0) AS n_repeat_words,
+  CAST(length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS BIGINT) AS n_upper
+  FROM w LEFT JOIN covered USING (doc_id)),
+v AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {vector} FROM counts),
+sizes AS (SELECT lang, source, count(*) AS n FROM v WHERE NOT base_failed GROUP BY ALL),
+pools AS (SELECT lang, sum(n) AS pool FROM sizes WHERE n < {settings.min_group} GROUP BY lang),
+named AS (SELECT s.lang, s.source, CASE WHEN n >= {settings.min_group} THEN [coalesce(s.lang, '<none>'), coalesce(s.source, '<none>')]
+  WHEN pool >= {settings.min_group} THEN [coalesce(s.lang, '<none>')] ELSE [] END AS grp
+  FROM sizes s LEFT JOIN pools p ON s.lang IS NOT DISTINCT FROM p.lang),
+x0 AS MATERIALIZED (SELECT doc_id, grp, {', '.join(x)} FROM v JOIN named ON v.lang IS NOT DISTINCT FROM named.lang
+  AND v.source IS NOT DISTINCT FROM named.source WHERE NOT base_failed),
+med AS (SELECT grp, {', '.join(f'quantile_cont({c}, 0.5) AS med{i}' for i, c in enumerate(x))} FROM x0 GROUP BY grp),
+mad AS (SELECT grp, {', '.join(f'quantile_cont(abs({c} - med{i}), 0.5) AS mad{i}' for i, c in enumerate(x))}
+  FROM x0 JOIN med USING (grp) GROUP BY grp),
+scale AS (SELECT * FROM med JOIN mad USING (grp), (VALUES (0), (1)) AS starts(start)),
+d0 AS MATERIALIZED (SELECT doc_id, grp, start, {', '.join(x)}, {q.RANK} AS rank
+  FROM (SELECT *, {formulas(q.start_levels(settings))} FROM x0 JOIN scale USING (grp)))"""]
+    for k in range(1, settings.steps + 1):
+        ctes.append(f"""e{k} AS MATERIALIZED (SELECT *, {formulas(q.cholesky(settings))} FROM (
+  SELECT grp, start, {sums} FROM d{k - 1} JOIN (SELECT grp, start, quantile_cont(rank, {settings.half}) AS bound FROM d{k - 1} GROUP BY grp, start)
+  USING (grp, start) WHERE rank <= bound GROUP BY grp, start))""")
+        ctes.append(f"""d{k} AS MATERIALIZED (SELECT doc_id, grp, start, {', '.join(x)}, {q.RANK} AS rank
+  FROM (SELECT *, {formulas(q.distance_levels())} FROM x0 JOIN (SELECT grp, start, {estimate} FROM e{k}) USING (grp)))""")
+    return "WITH " + ",\n".join(ctes) + f""",
+best AS (SELECT grp, {estimate} FROM (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY logdet, start) AS r FROM e{settings.steps}) WHERE r = 1),
+found AS (SELECT doc_id, d FROM (SELECT *, {formulas(q.distance_levels())} FROM x0 JOIN best USING (grp)))
+SELECT v.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(d, 0) <= {settings.cut} AS kept, round(d, 6) AS distance
+FROM v LEFT JOIN found USING (doc_id)"""
+
+
+ORACLE_SQL["op5_quality_rules"] = _quality_rules_sql()
