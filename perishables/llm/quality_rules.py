@@ -48,10 +48,10 @@ PAIRS = tuple((i, j) for i in range(len(X)) for j in range(i + 1))
 class RobustSettings:
     """``floors`` are the standard deviations added to each statistic, in its own unit."""
 
-    half: float = 0.75
+    half: float = 0.5
     steps: int = 4
     cut: float = 30.856        # the 0.99999 quantile of chi-square with five degrees of freedom
-    consistency: float = 1.41  # of the covariance of the nearest 0.75 of normal rows in five dimensions
+    consistency: float = 1.91  # of the covariance of the nearest half of normal rows in five dimensions
     min_group: int = 30
     floors: tuple[float, ...] = (0.075, 0.15, 0.3, 0.3, 0.375)
 

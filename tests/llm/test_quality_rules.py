@@ -104,3 +104,14 @@ def test_odd_cases(spark):
 def test_main_path_runs_no_python(spark):
     plan = Q.assess(cases.docs(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan.split("== Physical Plan ==")[1])
+
+
+def test_a_third_of_far_off_copies_is_rejected(spark):
+    rng = np.random.default_rng(9)
+    rows = [(f"{' '.join('w' * int(rng.integers(3, 8)) + str(rng.integers(10**6)) for _ in range(120))}", "en", "web") for _ in range(200)]
+    junk = "#$% " + " ".join("LONGUPPERCASEWORD" + str(i) + "#$%&*" for i in range(60)) + "\nX # Y $ Z" * 8
+    rows += [(junk, "en", "web")] * 100
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in Q.assess(docs, carry=["doc_id"]).select("doc.doc_id", "base_failed", "kept").collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert not any(got[i]["kept"] for i in range(200, 300)) and np.mean([got[i]["kept"] for i in range(200)]) > 0.98
