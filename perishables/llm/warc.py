@@ -41,7 +41,7 @@ FILE_BYTES = 1 << 30     # a task goes on in a new file beyond this
 SPLIT_BYTES = 16 << 20   # bytes of a reading task's range
 READ_BYTES = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
-HEAD_BYTES = 1 << 16     # of a record's inflated start that must hold its header
+HEAD_BYTES = 1 << 16     # read and inflated at a time while looking for a header's end
 DATE = "2025-01-01T00:00:00Z"  # records are equal for equal input
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "file string, bytes bigint, records bigint"
@@ -169,14 +169,26 @@ class RangeReader:
         return None
 
     def _is_record(self, at: int) -> bool:
-        """Whether what inflates from here begins with a WARC header."""
-        head, inflate = b"", zlib.decompressobj(31)
-        data = self._read(at, HEAD_BYTES)
-        try:
-            head = inflate.decompress(data, HEAD_BYTES)
-        except zlib.error:
-            return False
-        return b"\r\n\r\n" in head and _header(head.partition(b"\r\n\r\n")[0]) is not None
+        """Whether what inflates from here begins with a WARC header, however long."""
+        head, inflate, data = bytearray(), zlib.decompressobj(31), b""
+        while not inflate.eof:
+            if not data:
+                data = self._read(at, HEAD_BYTES)
+                at += len(data)
+                if not data:
+                    return False
+            try:
+                piece = inflate.decompress(data, HEAD_BYTES)
+            except zlib.error:
+                return False
+            data, seen = inflate.unconsumed_tail, max(0, len(head) - 3)
+            head += piece
+            if not b"WARC/1.".startswith(head[:7]):
+                return False
+            end = head.find(b"\r\n\r\n", seen)
+            if end >= 0:
+                return _header(bytes(head[:end])) is not None
+        return False
 
     def _member(self, at: int) -> tuple[bytes | None, int]:
         """The inflated member (None if damaged) and where it ends."""

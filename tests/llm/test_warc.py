@@ -3,6 +3,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import random
 import zlib
 
 import pytest
@@ -81,3 +82,14 @@ def test_magic_that_is_no_record_and_damage_are_passed_over():
     raw = b"".join(parts)
     ids = [W._from_urn(r.head["warc-record-id"]) for _, r in W.RangeReader(io.BytesIO(raw), 0, len(raw))]
     assert ids == [str(i) for i in range(12) if i != 3]
+
+
+def test_headers_of_any_length(spark):
+    rng = random.Random(2)
+    urls = ["data:text/plain," + "a b" * 70_000, "http://d.example/?" + "".join(rng.choices("abcdefghij0123456789", k=200_000))]
+    rows = [(i, urls[i % 2] if i < 4 else "u", BIG if i < 3 else f"page {i}") for i in range(8)]
+    manifest = W.archive_pages(pages(spark, rows))
+    got = W.read_warc(spark, manifest, 1000).collect()
+    assert len(got) == sum(r["records"] for r in manifest.collect()) == len(rows)
+    assert {(r["record_id"], r["url"]) for r in got} == {(str(i), u.replace(" ", "%20")) for i, u, _ in rows}
+    assert {r["record_id"] for r in got if r["record_type"] == "response"} >= {r["refers_to"] for r in got if r["refers_to"]} == {"0"}
