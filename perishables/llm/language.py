@@ -5,8 +5,9 @@ hashed byte trigrams of the lower-cased letters) predicts that bit for a text.
 bit's logistic loss by how well its classifier does on the language, and takes the
 codeword of least loss; a text whose two best codewords lie close is flagged as ambiguous.
 
-Training takes a bounded sample: of each language the ``per_language`` labelled texts of
-least hash, ``max_languages`` languages at most (the most frequent).  Prediction covers all rows and whole texts.
+Training takes a bounded sample: of each language the ``per_language`` labelled documents of
+least hash, fewer where all languages together would have more than ``max_rows`` (but one of each).  Rows of equal id and
+text are one document.  Prediction covers all rows and whole texts.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and so is every text where
 nothing was learned; with one language every other text is of that language; rows without language or
@@ -26,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from perishables.llm.common import small_batches
+from perishables.llm.common import small_batches, store
 
 BUCKETS_LOG2 = 13
+LOSSES = 1 << 22         # of texts, languages and bits that are held at once
 UNDETERMINED = "und"
 ASCII_LETTERS = b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BLANKS = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(256))
@@ -83,7 +85,8 @@ class CodeModel:
     def fit(cls, counts: np.ndarray, names: list[str], steps: int = 150, rate: float = 0.5, decay: float = 1e-5) -> CodeModel:
         languages = sorted(set(names))
         words = codewords(len(languages))
-        which = np.array([languages.index(name) for name in names], int)
+        place = {name: k for k, name in enumerate(languages)}
+        which = np.array([place[name] for name in names], int)
         x = _features(counts)
         y = (words[which] > 0).astype(np.float32)
         share = np.bincount(which, minlength=len(languages))
@@ -111,7 +114,9 @@ class CodeModel:
         at = np.flatnonzero(known)
         if len(at):
             bits = np.array([_features(trigrams(texts[i])) @ self.weights + self.bias for i in at])
-            loss = (self.trust * np.logaddexp(0, -self.words[None] * bits[:, None, :])).sum(axis=2)
+            few = max(1, LOSSES // max(1, self.words.size))  # texts at a time
+            loss = np.concatenate([(self.trust * np.logaddexp(0, -self.words[None] * bits[i:i + few, None, :])).sum(axis=2)
+                                   for i in range(0, len(bits), few)])
             share = np.exp(loss.min(axis=1, keepdims=True) - loss)
             share /= share.sum(axis=1, keepdims=True)
             best = loss.argmin(axis=1)
@@ -125,20 +130,22 @@ class CodeModel:
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = 500, max_languages: int = 200) -> CodeModel:
+          per_language: int = 500, max_rows: int = 100_000) -> CodeModel:
     """A model from the bounded sample of ``labelled``; trigram counts are taken in the tasks."""
     spark = labelled.sparkSession
     small_batches(spark)
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.xxhash64(id_col, F.lit("language")).alias("h"), F.col(text_col).alias("text"))
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages)
+        F.col(lang_col).alias("lang"), F.xxhash64(id_col, text_col, F.lit("language")).alias("h"), F.col(text_col).alias("text"))
+    keys = store(rows.select("lang", "h").distinct(), "language-keys")
+    sizes = store(keys.groupBy("lang").count(), "language-sizes")
+    each = min(per_language, max(1, max_rows // max(1, sizes.count())))
     by_hash = Window.partitionBy("lang").orderBy("h")
-    # a frequent language's rows are thinned by hash before they are ordered: three times what is picked
-    share = F.pmod(F.col("h"), F.lit(1 << 20)) / F.lit(float(1 << 20)) <= 3.0 * per_language / F.col("count")
-    picked = rows.select("lang", "h").join(F.broadcast(common), "lang").filter(share) \
-        .withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= per_language).select("lang", "h")
-    # at most per_language * max_languages keys
-    sample = rows.join(F.broadcast(picked.distinct()), ["lang", "h"])
+    # a frequent language's documents are thinned by hash before they are ordered: about twenty more than three times what is picked
+    share = F.pmod(F.col("h"), F.lit(1 << 30)) / F.lit(float(1 << 30)) <= (3.0 * each + 20) / F.col("count")
+    picked = keys.join(F.broadcast(sizes), "lang").filter(share) \
+        .withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= each).select("lang", "h")
+    # one row of each key: at most max_rows, or one of each language
+    sample = rows.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "h").agg(F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

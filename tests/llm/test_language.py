@@ -55,3 +55,24 @@ def test_mixed_text_is_ambiguous(spark):
     got = model.predict(["the and of that " * 20, "der die und von " * 20, "the and of to in der die und in den " * 20, "Ж"], margin=2.0)
     print(got)
     assert got["lang_pred"].tolist()[:2] == ["en", "de"] and got["ambiguous"].tolist() == [False, False, True, True]
+
+
+def test_no_language_is_left_out(spark):
+    rng = np.random.default_rng(6)
+    own = {f"l{k:03d}": ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(3)] for k in range(230)}
+    rows = [(1000 * j + i, " ".join(words * 4), lang) for j in range(3) for i, (lang, words) in enumerate(own.items())]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.train(table, max_rows=460)
+    assert model.languages == sorted(own)
+    got = model.predict([" ".join(words * 3) for words in own.values()], 1.0)["lang_pred"]
+    assert np.mean(got == list(own)) > 0.95
+
+
+def test_rows_without_ids_are_learned_from_and_bounded(spark, monkeypatch):
+    rows = [(None, f"the and of to in that it is was for {i} " * 4, "en") for i in range(900)] + \
+        [(5, "der die und in den von zu das mit sich " * 4, "de")] * 900 + [(i, f"le la et les des en un une {i} " * 4, "fr") for i in range(9)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = []
+    monkeypatch.setattr(L.CodeModel, "fit", classmethod(lambda cls, counts, names: learned.append(names)))
+    L.train(table, per_language=20)
+    assert {lang: learned[0].count(lang) for lang in set(learned[0])} == {"en": 20, "de": 1, "fr": 9}
