@@ -8,7 +8,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perishables.llm import decontaminate, language, licenses, line_runs, passages, pieces, quality_crf, quality_rules, simhash, warc
+from perishables.llm import (decontaminate, language, licenses, line_runs, negatives, passages, pieces, quality_crf, quality_rules, simhash,
+                             sketches, variants, warc)
 from perishables.llm.common import table
 from perishables.llm.license_rules import rules
 
@@ -90,9 +91,32 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sketches.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return found.select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"), sketches.as_text(own).alias("fingerprint"),
+        sketches.as_text(edited).alias("edited_fingerprint"), sketches.resemblance(own, edited).alias("near_edited"),
+        sketches.resemblance(own, following).alias("near_next"), sketches.containment(edited, own).alias("edited_held"),
+        sketches.distinct_shingles(own).alias("distinct_shingles"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("bigint") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=moved, scale=256.0, positives=5,
+                                     negatives=10, window=(30, 90))
+    return found.select(F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank",
+                        F.col("negative").alias("negative_id"), "positive_score", "negative_score")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = variants.words(table(spark, sf_dir, "documents"), min_chars=6, min_count=5, edit=variants.drop_by_checksum(199))
+    return variants.group_variants(counted, ratio=5)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_sentencepiece, op3_quality_crf, op4_language_id, op5_quality_rules, op6_line_dedup, op7_benchmark_decontamination, op8_warc, op9_license_scan,
-    op10_simhash_near_dedup)}
+    op10_simhash_near_dedup, op11_document_fingerprints, op12_hard_negatives, op13_spelling_variants)}
 
 ORACLE_SQL: dict[str, str] = {}
 
@@ -239,3 +263,76 @@ FROM v LEFT JOIN found USING (doc_id)"""
 
 
 ORACLE_SQL["op5_quality_rules"] = _quality_rules_sql()
+
+
+def _document_fingerprints_sql(k: int = sketches.K, size: int = sketches.WORDS) -> str:
+    def sketch(text: str) -> str:
+        return rf"""(SELECT CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) ELSE list_sort(list_distinct(list_transform(
+  range(1, greatest(len(w) - {size - 1}, 1) + 1), lambda i: substring(md5(array_to_string(w[i:i + {size - 1}], ' ')), 1, 16))))[1:{k}] END
+  FROM (SELECT list_filter(string_split_regex({text}, '[\x20\x09-\x0D]+'), lambda v: v <> '') AS w))"""
+
+    def likeness(a: str, b: str) -> str:
+        union = f"list_sort(list_distinct(list_concat({a}, {b})))[1:{k}]"
+        return f"CASE WHEN len({union}) = 0 THEN 1.0::DOUBLE ELSE len(list_intersect(list_intersect({union}, {a}), {b})) / len({union})::DOUBLE END"
+
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id) AS place, count(*) OVER () AS docs FROM documents),
+n AS (SELECT a.doc_id, a.text, length(a.text) AS n_chars, b.doc_id AS next_id,
+        left(a.text, length(a.text) - length(a.text) // 2) || left(b.text, length(a.text) // 2) AS edited
+      FROM d a JOIN d b ON b.place = a.place % a.docs + 1),
+s AS MATERIALIZED (SELECT *, {sketch("text")} AS own, {sketch("edited")} AS other FROM n),
+p AS (SELECT s.*, x.own AS following,
+        least(CASE WHEN len(s.own) < {k} THEN 'g' ELSE s.own[-1] END, CASE WHEN len(s.other) < {k} THEN 'g' ELSE s.other[-1] END) AS top
+      FROM s JOIN s AS x ON x.doc_id = s.next_id),
+h AS (SELECT *, list_filter(other, lambda v: v <= top) AS held FROM p)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, array_to_string(own, '') AS fingerprint, array_to_string(other, '') AS edited_fingerprint,
+  {likeness("own", "other")} AS near_edited, {likeness("own", "following")} AS near_next,
+  CASE WHEN len(held) = 0 THEN (len(other) = 0)::INT::DOUBLE ELSE len(list_intersect(held, own)) / len(held)::DOUBLE END AS edited_held,
+  CASE WHEN len(own) < {k} THEN len(own) ELSE CAST(floor({(k - 1) * sketches.HASHES!r}::DOUBLE / greatest(CAST(CAST('0x' || own[{k}] AS UBIGINT) AS DOUBLE), 1.0)) AS BIGINT) END
+    AS distinct_shingles
+FROM h
+"""
+
+
+ORACLE_SQL["op11_document_fingerprints"] = _document_fingerprints_sql()
+
+ORACLE_SQL["op12_hard_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM e AS a JOIN e AS b ON a.vec_id % 100 = 0 AND b.vec_id <> a.vec_id),
+p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM s WHERE same) WHERE place <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+# crc32 byte by byte over a table that its polynomial gives; letters above ASCII are two bytes in UTF-8
+ORACLE_SQL["op13_spelling_variants"] = r"""
+WITH RECURSIVE t AS (SELECT list(list_reduce(list_concat([i], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    ORDER BY i) AS crcs FROM (SELECT unnest(range(256)) AS i)),
+r AS (SELECT id, run, count(*) AS n FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+b AS (SELECT run, n, flatten(list_transform(string_split(id || ':' || run, ''),
+    lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, unicode(c) - 64] END)) AS bytes FROM r),
+h AS (SELECT run, n, xor(list_reduce(list_concat([4294967295], bytes), lambda c, x: xor(c >> 8, crcs[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM b, t),
+v AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+gone AS MATERIALIZED (SELECT word, i, left(word, i) || substring(word, i + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS i FROM v)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other FROM gone a JOIN gone b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT g.word, v.word FROM gone g JOIN v ON g.rest = v.word
+  UNION SELECT v.word, g.word FROM gone g JOIN v ON g.rest = v.word),
+best AS MATERIALIZED (SELECT near.word, v.n, count(*) AS n_near, first(near.other ORDER BY o.n DESC, near.other) AS form, max(o.n) AS form_n
+  FROM near JOIN v ON v.word = near.word JOIN v AS o ON o.word = near.other GROUP BY near.word, v.n),
+f AS MATERIALIZED (SELECT word, form, form_n FROM best WHERE form_n >= 5 * n),
+walk AS (SELECT word, form AS root FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root),
+roots AS (SELECT word, root FROM walk WHERE root NOT IN (SELECT word FROM f))
+SELECT v.word, f.form, coalesce(roots.root, v.word) AS root, v.n, coalesce(best.n_near, 0) AS n_near, f.form_n
+FROM v LEFT JOIN best USING (word) LEFT JOIN f USING (word) LEFT JOIN roots USING (word)
+"""
