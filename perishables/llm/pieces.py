@@ -7,7 +7,8 @@ as the marker U+2581, with one in front of the text; decoding turns them back an
 
 No piece of such a vocabulary holds a marker behind another character, so the best path splits
 exactly where a word's marker stands: words are solved once, many at a time, and kept in a cache of bounded
-size.  The vocabulary is checked for this; a model with such pieces is solved text by text.
+size.  The vocabulary is checked for this; a model with such pieces is solved text by text.  Long words (and such
+texts) are split further, wherever two characters meet that stand side by side in no piece: every path passes there too.
 
 Defined cases: a null text has null ids; an empty one none.  A text that itself holds U+2581 decodes it
 as a blank (the format's own rule).  Other columns are carried along or not looked at.
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +36,7 @@ UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 CACHE_WORDS = 200_000   # solved words that a Python worker keeps
 BLOCK_CELLS = 1 << 19   # cells of a block of words that is solved together
+LONG_WORD = 64          # bytes of a word that is split between characters
 SPACED = re.compile(rb" +[^ ]*")
 
 
@@ -101,8 +104,12 @@ class PieceModel:
         self.longest = max(map(len, spelled), default=1)
         self.splits_at_marks = not any(MARK in _unmarked(p) for p in spelled)
         self.splits_at_breaks = not any(b"\n" in p for p in spelled)
+        #: characters that stand side by side in some piece
+        self.joined = {pair for p in spelled for chars in [p.decode("utf-8", "surrogateescape")] for pair in map("".join, zip(chars, chars[1:]))}
         self._build(sorted(spelled.items()))
         self.surface = [self._surface(i) for i in range(len(self.pieces))]
+        self.surfaces = pa.array(self.surface + [s[1:] if s[:1] == b" " else s for s in self.surface], pa.binary())
+        self.silent = np.array([not s for s in self.surface])
 
     def _surface(self, i: int) -> bytes:
         if self.kinds[i] == BYTE:
@@ -241,17 +248,25 @@ class PieceModel:
         rows = rows[up]
         best[rows, end], came[rows, end], piece[rows, end] = score[up], start, found[up]
 
+    def parts(self, marked: bytes) -> list[bytes]:
+        """A marked word in stretches that no piece spans; without byte pieces unknown characters would join, so it stays whole."""
+        if len(marked) <= LONG_WORD or not self.byte_fallback:
+            return [marked]
+        chars = marked.decode("utf-8", "surrogateescape")
+        cuts = [0, *(i for i, pair in enumerate(map("".join, zip(chars, chars[1:])), 1) if pair not in self.joined), len(chars)]
+        return [chars[a:b].encode("utf-8", "surrogateescape") for a, b in zip(cuts, cuts[1:])]
+
     def encode(self, raws: list[bytes | None], cache: dict[bytes, bytes]) -> list[bytes | None]:
         """Ids (little-endian int32) of each text; ``cache`` keeps solved words."""
         split: list[list[bytes] | None] = []
-        whole: dict[int, bytes] = {}  # texts that aren't split, by place
+        whole: dict[int, list[bytes]] = {}  # stretches of texts that aren't split at markers, by place
         for raw in raws:
             if not raw:
                 split.append(None if raw is None else [])
                 continue
             raw = raw.replace(MARK, b" ")
             if not self.splits_at_marks or b"\x01" in raw:
-                whole[len(split)] = MARK + raw.replace(b" ", MARK)
+                whole[len(split)] = self.parts(MARK + raw.replace(b" ", MARK))
                 split.append([])
                 continue
             # a line break that no piece holds starts a word of its own, without a marker
@@ -261,21 +276,48 @@ class PieceModel:
                 split.append([word[1:] for word in SPACED.findall(b" " + raw)])
             else:
                 split.append(broken.split(b" "))
+            if max(map(len, split[-1]), default=0) > LONG_WORD:
+                split[-1] = [part for word in split[-1] for part in (
+                    [word] if len(word) <= LONG_WORD else [b"\x01" + p for p in self.parts(_marked(word))])]
         if len(cache) > CACHE_WORDS:
             cache.clear()
         new = [word for word in {w for words in split if words for w in words} if word not in cache]
-        solved = dict(zip(new, self.solve([
-            word[1:] if word[:1] == b"\x01" else MARK + word.replace(b" ", MARK) for word in new])))
+        solved = dict(zip(new, self.solve([_marked(word) for word in new])))
         known = {**cache, **solved} if len(new) > CACHE_WORDS else cache
         known.update(solved)
         out = [None if words is None else b"".join(map(known.__getitem__, words)) for words in split]
-        for place, ids in zip(whole, self.solve(list(whole.values()))):
-            out[place] = ids
+        ids = iter(self.solve([part for parts in whole.values() for part in parts]))
+        for place, parts in whole.items():
+            out[place] = b"".join(next(ids) for _ in parts)
         return out
 
     def decode(self, ids: list[int]) -> str:
-        raw = b"".join(map(self.surface.__getitem__, ids))
-        return (raw[1:] if raw[:1] == b" " else raw).decode("utf-8", "replace")
+        return self.decode_all(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
+
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The text of each list of ids (null: null); bytes that are no UTF-8 become U+FFFD."""
+        offsets = ids.offsets.to_numpy()
+        values = ids.values.to_numpy(zero_copy_only=False).astype(np.int64)
+        first = offsets[:-1][offsets[:-1] < offsets[1:]]
+        if self.silent[values[first]].any():   # the blank to drop may stand in a later piece
+            joined = [b"".join(map(self.surface.__getitem__, values[a:b].tolist())) for a, b in zip(offsets, offsets[1:])]
+            raw = pa.array([r[1:] if r[:1] == b" " else r for r in joined], pa.binary())
+        else:
+            values[first] += len(self.surface)   # without the blank in front
+            spelled = self.surfaces.take(pa.array(values))
+            # the pieces of a list follow each other, so their bytes are its text
+            ends = np.frombuffer(spelled.buffers()[1], np.int32)[:len(values) + 1][offsets]
+            raw = pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(ends.astype(np.int32)), spelled.buffers()[2]])
+        valid = ids.is_valid()
+        try:
+            return pc.if_else(valid, raw.cast(pa.string()), pa.scalar(None, pa.string()))
+        except pa.ArrowInvalid:
+            return pa.array([r.decode("utf-8", "replace") if v else None for r, v in zip(raw.to_pylist(), valid.to_pylist())], pa.string())
+
+
+def _marked(word: bytes) -> bytes:
+    """A word of ``encode`` as it is solved: \x01 says that no marker stands in front."""
+    return word[1:] if word[:1] == b"\x01" else MARK + word.replace(b" ", MARK)
 
 
 def _unmarked(piece: bytes) -> bytes:
@@ -323,7 +365,6 @@ def decode(docs: DataFrame, model_path: str, ids_col: str = "ids", text_col: str
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [None if ids is None else model.value.decode(ids) for ids in batch.column(ids_col).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*kept, text_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, model.value.decode_all(batch.column(ids_col))], names=[*kept, text_col])
 
     return out.mapInArrow(step, T.StructType([*out.schema.fields, T.StructField(text_col, T.StringType())]))

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import base64
 import random
+import time
 
 import numpy as np
 import pytest
@@ -106,3 +108,25 @@ def test_query_round_trips_every_text(spark):
     rows = E.queries()["op2_sentencepiece"](spark, SF_SMALL).collect()
     assert len(rows) == table(spark, SF_SMALL, "documents").count()
     assert all(r["round_trip"] and r["n_ids"] == len(r["ids"]) for r in rows)
+
+
+@pytest.mark.parametrize("kind", ["japanese", "base64", "one letter", "marked"])
+def test_unbroken_texts_are_cut_where_no_piece_spans(model, kind, monkeypatch):
+    rng = random.Random(8)
+    text = {"japanese": lambda n: "".join(chr(rng.choice([rng.randrange(0x3041, 0x3097), rng.randrange(0x4E00, 0x5E00)])) for _ in range(n)),
+            "base64": lambda n: base64.b64encode(rng.randbytes(n)).decode(), "one letter": lambda n: "x" * n,
+            "marked": lambda n: "\x01 " + "é日x" * n}[kind]
+    short = text(300)
+    assert ids(model, short) == plain(model, short)
+    if kind != "one letter":   # nothing to cut: every stretch of that letter is in pieces
+        began = time.monotonic()
+        long = text(300_000)
+        assert model.decode(ids(model, long)) == long
+        assert time.monotonic() - began < 30
+    monkeypatch.setattr(pieces, "LONG_WORD", 1 << 30)
+    assert ids(model, short) == plain(model, short)
+
+
+def test_bytes_that_are_no_text(model):
+    broken = [model.byte_ids[0xE3], model.byte_ids[0x81]]
+    assert model.decode(broken) == "\ufffd" and model.decode([]) == ""
