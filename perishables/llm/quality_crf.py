@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from perishables.llm.common import small_batches
@@ -213,16 +213,19 @@ def fit(texts: list[str | None], labels: list[int], rounds: int = 3, steps: int
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           max_docs: int = 3000, max_chars: int = 40_000) -> LineField:
     """A field from at most ``max_docs`` labelled documents of at most ``max_chars`` characters each (longer ones are not
-    learned from, but scored like any other)."""
+    learned from, but scored like any other).  The bound holds for ids and for rows; an id with both labels, or of several
+    texts, is learned from as that many documents."""
     marks = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()) \
         .select(F.col(id_col).alias("id"), (F.col(label_col) > 0).cast("int").alias("label")).distinct()
     known = None
     for value in (0, 1):
         one = marks.filter(F.col("label") == value).orderBy(F.xxhash64("id", F.lit("quality")), "id").limit(max_docs // 2)
         known = one if known is None else known.unionAll(one)
-    # at most max_docs ids
+    # at most max_docs ids, and at most that many rows of them: each task hands on no more than the bound
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id", "text", F.lit("row")), "id", "text"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")) \
-        .filter(F.coalesce(F.char_length("text"), F.lit(0)) <= max_chars).join(F.broadcast(known), "id")
+        .filter(F.coalesce(F.char_length("text"), F.lit(0)) <= max_chars).join(F.broadcast(known), "id") \
+        .withColumn("place", place).filter(F.col("place") <= max_docs // 2)
     got = sorted((r["id"], r["label"], r["text"] or "") for r in rows.collect())
     return fit([text for _, _, text in got], [label for _, label, _ in got])
 

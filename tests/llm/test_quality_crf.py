@@ -74,3 +74,14 @@ def test_odd_cases(spark):
         assert len({r["s"] for r in rows if not r["text"]}) == 1
     assert {r["s"] for r in rows} == {0.5}
     assert cases.empty(spark).select(C.score(docs, field)).count() == 0
+
+
+def test_the_bound_holds_for_rows(spark, monkeypatch):
+    """Many rows under one id, or under both labels of it, do not reach the driver."""
+    docs = cases.docs(spark, [(1, "one text"), (2, "another text")] * 500 + [(3, "third")])
+    marks = spark.createDataFrame([(1, 1), (2, 0), (2, 1), (3, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(C, "fit", lambda texts, labels: seen.append((texts, labels)))
+    C.train(docs, marks, max_docs=10)
+    texts, labels = seen[0]
+    assert len(texts) == 10 and labels.count(0) == labels.count(1) == 5
