@@ -26,10 +26,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perishables.llm.common import store
+
 K, WORDS = 128, 5
 STEP = 4096            # shingles whose hashes are held at once
-BUCKETS = 4            # buckets of the order per shuffle partition
-CUTS = 4               # sampled order keys per bucket
+BUCKETS = 8            # buckets of the order per shuffle partition, so that tasks get about the same
+CUTS = 2               # sampled order keys per bucket
 BLANKS = r"[\x20\x09-\x0D]+"
 HASHES = 18446744073709551616.0   # 2**64, how many hashes there are
 
@@ -137,8 +139,7 @@ def with_next(rows: DataFrame, id_col: str, text_col: str, prepare: dict[str, Co
     sampled = F.col("key").isNotNull() & (F.pmod(F.xxhash64("key"), F.lit(rate)) == 0)
     sample = slim.agg(F.min("key").alias("least"), F.sort_array(F.collect_list(F.when(sampled, F.col("key")))).alias("keys"))
     found = sample.select(F.concat(F.array("least"), F.filter("keys", lambda k, i: ((i + 1) % CUTS == 0) & (k > F.col("least")))).alias("cuts"))
-    # as many keys as buckets go through the driver, as they do in Spark's own ranging
-    cuts = rows.sparkSession.createDataFrame(found.collect(), found.schema).scalar()
+    cuts = store(found, "order-cuts").scalar()   # written once, as the sample would be read again for every use
     placed = _placed(slim, cuts, (4 * buckets).bit_length())
     # the first row of a bucket is also the last of the one before
     first = F.col("key") == F.get(cuts, F.col("bucket"))
