@@ -123,16 +123,21 @@ def intervals(asked: Queries, codes: Codes, dim: int) -> tuple[np.ndarray, np.nd
     """Least and greatest possible inner product of every anchor with every row."""
     shape = (len(asked.length), len(codes.rest))
     centre, width = np.zeros(shape), asked.length[:, None] * codes.rest[None, :]
+    planes = asked.planes.shape[2]
+    kind = next(k for k in (np.uint16, np.uint32, np.uint64) if dim * ((1 << planes) - 1) <= np.iinfo(k).max)
+    both, ones = np.empty(shape, np.uint64), np.empty(shape, np.uint8)
     for level in range(codes.along.shape[1]):
         bits = codes.bits[:, level]
-        inside = np.zeros(shape, np.int64)    # sum of the quanta where the code has a one
-        ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-        for p in range(asked.planes.shape[2]):
+        inside = np.zeros(shape, kind)    # sum of the quanta where the code has a one, from the highest plane down
+        for p in reversed(range(planes)):
+            inside <<= 1
             for w in range(bits.shape[1]):
-                inside += np.bitwise_count(asked.planes[:, level, p, w, None] & bits[None, :, w]).astype(np.int64) << p
-        positive = asked.base[:, level, None] * ones[None, :] + asked.step[:, level, None] * inside
+                np.bitwise_count(np.bitwise_and(asked.planes[:, level, p, w, None], bits[None, :, w], out=both), out=ones)
+                inside += ones
+        # <query, code> = 2 * (sum over the ones) - (sum over all)
+        constant = 2.0 * asked.base[:, level, None] * np.bitwise_count(bits).sum(axis=1, dtype=np.int64)[None, :] - asked.total[:, level, None]
         along = codes.along[:, level][None, :]
-        centre += (2.0 * positive - asked.total[:, level, None]) * (along / math.sqrt(dim))
+        centre += (constant + (2.0 * asked.step[:, level, None]) * inside) * (along / math.sqrt(dim))
         width += asked.error[:, level, None] * along
     width += SLACK * (asked.length[:, None] * (codes.rest + codes.along.sum(axis=1))[None, :] + 1.0)
     return centre - width, centre + width
