@@ -10,7 +10,11 @@ side, so totals do not depend on summation order.
 
 from __future__ import annotations
 
+import itertools
+import re
+
 from perishables.functions.scalars import PRODUCT_TYPES
+from perishables.operators import holt_winters
 
 EXACT = "DECIMAL(38,12)"
 
@@ -497,6 +501,83 @@ FROM hw, range(1, 11) r(step) WHERE t = n"""
     return with_ctes(["psd"], body, [("series", both), ("hist", hist), ("hw", hw)]).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
+def holt_winters_ctes(p: str, daily: str, least_days: int = 30, grid: list | None = None, rounds: int = holt_winters.ROUNDS) -> list[tuple[str, str]]:
+    """The fit of every series of ``daily``: a recursion over its days for each point, first of the grid, then of the rounds.
+
+    ``{p}fit`` holds the best point's state; a series has at least ``least_days`` (14 or more) days.
+    """
+    def num(x: float) -> str:
+        return f"CAST('{x!r}' AS DOUBLE)"
+
+    key, ring = "product_id, store_id", [f"s{i}" for i in range(1, 8)]
+    state = f"l, tr, {', '.join(ring)}, sse"
+    mean = "list_sum(h[1:7]) / CAST(7 AS DOUBLE)"
+    out = [
+        (f"{p}hist", f"SELECT {key}, CAST(count(*) AS INTEGER) AS n, list(CAST(units_sold AS DOUBLE) ORDER BY date) AS h FROM {daily} "
+                     f"GROUP BY {key} HAVING count(*) >= {least_days}"),
+        (f"{p}ys", f"SELECT {key}, n, CAST(unnest(range(n)) AS INTEGER) AS t, unnest(h) AS v FROM {p}hist"),
+        (f"{p}start", f"SELECT {key}, n, {mean} AS l, CAST(0 AS DOUBLE) AS tr, {', '.join(f'h[{i + 1}] - {mean} AS {s}' for i, s in enumerate(ring))}, "
+                      f"CAST(0 AS DOUBLE) AS sse FROM {p}hist"),
+        (f"{p}p0", "SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(num, point)) + ")" for point in grid or itertools.product(
+            holt_winters.ALPHA_GRID, holt_winters.BETA_GRID, holt_winters.GAMMA_GRID)) + ") g(a, b, g)"),
+    ]
+    for k in range(rounds + 1):
+        if k:
+            def moved(x: str, by: str, step: float) -> str:
+                return f"least(greatest({x} + CAST({by} AS DOUBLE) * {num(step / 2 ** (k - 1))}, CAST(0 AS DOUBLE)), CAST(1 AS DOUBLE)) AS {x}"
+
+            moves = ", ".join(moved(x, by, step) for x, by, step in zip("abg", ("i", "j", "m"), holt_winters.STEPS))
+            out.append((f"{p}p{k}", f"SELECT DISTINCT {key}, {moves} FROM {p}b{k - 1}, range(-1, 2) x(i), range(-1, 2) y(j), range(-1, 2) z(m)"))
+        on = f"{p}start" + (f" JOIN {p}p{k} USING ({key})" if k else f", {p}p0")
+        out.append((f"{p}f{k}", f"""SELECT {key}, n, a, b, g, 0 AS t, {state} FROM {on}
+UNION ALL
+SELECT {key}, n, a, b, g, t + 1, (l + tr) + a * e, tr + (a * b) * e, {', '.join(ring[1:])}, s1 + g * e, sse + e * e
+FROM (SELECT f.*, y.v - ((f.l + f.tr) + f.s1) AS e FROM {p}f{k} f JOIN {p}ys y ON y.product_id = f.product_id AND y.store_id = f.store_id AND y.t = f.t)"""))
+        before = f" UNION ALL SELECT * FROM {p}b{k - 1}" if k else ""
+        out.append((f"{p}b{k}", f"""SELECT {key}, a, b, g, {state} FROM (
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY sse, a, b, g) AS place
+  FROM (SELECT {key}, a, b, g, {state} FROM {p}f{k} WHERE t = n{before})) WHERE place = 1"""))
+    out.append((f"{p}fit", f"SELECT * FROM {p}b{rounds}"))
+    return out
+
+
+def ets_value(step: str) -> str:
+    """The forecast ``step`` days ahead from ``{p}fit``'s columns, clipped at 0."""
+    return f"greatest((l + CAST({step} AS DOUBLE) * tr) + [s1, s2, s3, s4, s5, s6, s7][({step} - 1) % 7 + 1], CAST(0 AS DOUBLE))"
+
+
+def _holt_winters() -> str:
+    """K4 with the fitted model: as the baseline forecast, but for the values."""
+    chain = dict(forecast_ctes("", 30))
+    chain["vals"] = f"""SELECT r.product_id, r.store_id, r.forecast_date, r.step,
+  CASE WHEN x.l IS NULL THEN coalesce(b.baseline, CAST(0 AS DOUBLE)) ELSE {ets_value("r.step")} END AS forecasted_sales
+FROM rem r LEFT JOIN base b ON r.product_id = b.product_id AND r.store_id = b.store_id
+LEFT JOIN fit x ON r.product_id = x.product_id AND r.store_id = x.store_id"""
+    return with_ctes(FORECAST_VIEWS, "SELECT * FROM fc", [*holt_winters_ctes("", "psd"), *chain.items()]).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _stream_forecast(cuts: tuple[str, ...] = ("1996-01-01", "1996-01-11", "9999-01-01"), horizon: int = 30) -> str:
+    """After each load, the forecast of the series it touched, over all days so far, for days not forecast before."""
+    extra, found = [], []
+    for k, cut in enumerate(cuts):
+        extra.append((f"psd{k}", f"SELECT * FROM psd WHERE date < DATE '{cut}'"))
+        extra += [(f"{name}{k}", re.sub(r"\bpsd\b", f"psd{k}", VIEWS[name])) for name in ("ss", "base")]
+        extra += holt_winters_ctes(f"w{k}", f"psd{k}", grid=[(0.3, 0.05, 0.1)], rounds=0)
+        chain = dict(forecast_ctes(f"k{k}", horizon))
+        chain[f"k{k}rem"] = f"SELECT * FROM k{k}fut" if not k else f"""SELECT f.* FROM k{k}fut f LEFT JOIN ss{k - 1} x USING (product_id, store_id)
+WHERE (x.last_date IS NULL OR f.forecast_date > x.last_date + {horizon})
+  AND EXISTS (SELECT 1 FROM psd{k} n WHERE n.product_id = f.product_id AND n.store_id = f.store_id AND n.date >= DATE '{cuts[k - 1]}')"""
+        chain[f"k{k}vals"] = f"""SELECT r.product_id, r.store_id, r.forecast_date, r.step,
+  CASE WHEN x.l IS NULL THEN coalesce(b.baseline, CAST(0 AS DOUBLE)) ELSE {ets_value("r.step")} END AS forecasted_sales
+FROM k{k}rem r LEFT JOIN base b ON r.product_id = b.product_id AND r.store_id = b.store_id
+LEFT JOIN w{k}fit x ON r.product_id = x.product_id AND r.store_id = x.store_id"""
+        extra += [(name, re.sub(r"\bbase\b", f"base{k}", re.sub(r"\bss\b", f"ss{k}", sql))) for name, sql in chain.items()]
+        found.append(f"""SELECT product_id, store_id, forecast_date, expiration_risk, round(forecasted_sales, 6) AS forecasted_sales,
+  round(predicted_waste, 6) AS predicted_waste, round(suggested_production, 6) AS suggested_production,
+  round(predicted_logistics_cost, 6) AS predicted_logistics_cost FROM k{k}fc""")
+    return with_ctes(["psd"], "\nUNION ALL ".join(found), extra).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _heatmap() -> str:
     cols = ", ".join(f"coalesce(max(CASE WHEN store_id = '{s}' THEN risk_score END), 0) AS \"{s}\"" for s in STORES)
     return with_ctes(["risk", "pmap"], f"""SELECT x.product_id, {LABEL_NAME} AS product, {", ".join(f'x."{s}"' for s in STORES)}
@@ -683,6 +764,7 @@ FROM j_inventory"""
     q["daily_absent_inputs"] = with_ctes(["psd"], """SELECT * REPLACE (CAST(0 AS BIGINT) AS max_capacity_per_day_liters,
   CAST(0 AS DOUBLE) AS energy_consumption_kwh, CAST(0 AS DOUBLE) AS transport_time_hours) FROM psd""")
     q["forecast_stocked"] = _forecast_stocked()
+    q["holt_winters"] = _holt_winters()
     q["holt_winters_fixed"] = _holt_winters_fixed()
     q["seeded_sample"] = with_ctes(["quality"], "SELECT * FROM quality ORDER BY md5(concat_ws('-', batch_id, '42')), batch_id LIMIT 100")
     q["stored_legacy_sales"] = with_ctes(["daily_sales"], "SELECT * FROM daily_sales")
@@ -701,6 +783,7 @@ FROM j_inventory"""
   CASE WHEN n_days >= 950 THEN 'ets' ELSE 'baseline' END AS model FROM ss""")
     q["forecast_rows"] = fc_sql("SELECT * FROM fc", done=20)
     # streaming (final state equals the batch daily aggregation)
+    q["stream_forecast"] = _stream_forecast()
     q["stream_daily_sales"] = with_ctes(["daily_sales"], "SELECT * FROM daily_sales")
     # data quality
     q["constraint_checks"] = _constraints()

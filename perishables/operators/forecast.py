@@ -4,7 +4,7 @@ Data flow (one Spark plan, the curated fact is scanned once):
 
     curated --E3 groupBy(product, store, date)--------> daily series
             --profile groupBy(product, store)---------> scalars, baseline, date-ordered history
-            --K2 mapInPandas on profile rows----------> Holt-Winters state (chosen series only)
+            --K2 fold of the history, in the row-------> Holt-Winters state (chosen series only)
             --H5 explode(sequence(1, horizon))--------> future dates
             --C6 left_anti existing keys--------------> dates still to forecast
             --J7-J9 per-series totals, joined back----> forecast rows
@@ -133,27 +133,40 @@ def forecast_from_profile(profile: DataFrame, existing: DataFrame | None,
                           settings: ForecastSettings) -> DataFrame:
     """H5 -> C6 -> F6 -> K1/K2/K3 -> J7-J9 as one linear plan over per-series rows.
 
-    The fitted state travels with the series row (``mapInPandas`` pass-through)
+    The fitted state travels with the series row
     and the per-series totals are a window partitioned by series, so the
     profile is consumed once and nothing joins back to it.
     """
     prof = profile
     if settings.model.lower() == "ets":
         threshold = max(3, settings.min_history_days)
-        # The fit is CPU-bound per series while the profile is small in bytes, so
-        # AQE would coalesce it into a few partitions and serialise the fits.  An
-        # explicit partition count (which AQE keeps) spreads series over all cores; it
-        # is the session's, which ``session.scale_conf`` sizes for cores and input.
-        parts = int(prof.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # The fit is CPU-bound per series while the profile is small in bytes, so AQE would coalesce it into a few
+        # partitions and run the fits one after another.  An explicit partition count keeps them apart; it is not the
+        # session's own, as an exchange to the partitioning that the rows already have is dropped.
+        parts = 2 * int(prof.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1
         spread = prof.repartition(parts, *SERIES)
-        prof = holt_winters.attach_state(spread.withColumn("use_ets", F.col("n_days") >= threshold), "use_ets",
-                                         settings.fitter or holt_winters.fit_series)
+        use_ets = F.col("n_days") >= threshold
+        if settings.fitter is None:
+            prof = spread.withColumn("model_state", F.when(use_ets, holt_winters.fitted_state(F.col("history"))))
+        else:
+            prof = holt_winters.attach_state(spread.withColumn("use_ets", use_ets), "use_ets", settings.fitter)
     else:
         prof = prof.withColumn("model_state", F.lit(None))
-    rows = prof.select(*SERIES, "last_stock", "cap_sum", "expiration_risk", "avg_energy", "baseline",
+    return rows_from_states(prof, existing, settings)
+
+
+def rows_from_states(states: DataFrame, existing: DataFrame | None, settings: ForecastSettings) -> DataFrame:
+    """H5 -> C6 -> J7-J9 over per-series rows that carry their ``model_state`` (null: the baseline).
+
+    Dates in ``existing``, or up to the row's ``done_until`` where there is such a column, are not forecast again.
+    """
+    done = [F.col("done_until")] if "done_until" in states.columns else []
+    rows = states.select(*SERIES, "last_stock", "cap_sum", "expiration_risk", "avg_energy", "baseline",
                        "model_state", F.explode(F.sequence(F.lit(1), F.lit(settings.horizon_days))).alias("step"),
-                       F.col("last_date"))
+                       F.col("last_date"), *done)
     rows = rows.withColumn("forecast_date", F.date_add("last_date", F.col("step")))
+    if done:
+        rows = rows.filter(F.col("done_until").isNull() | (F.col("forecast_date") > F.col("done_until")))
     rows = remaining_dates(rows, existing)
     series = Window.partitionBy(*SERIES)
     if settings.step_mode == "compact":

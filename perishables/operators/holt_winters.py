@@ -1,24 +1,19 @@
 """K2: additive Holt-Winters (additive trend, additive weekly season) fitted per series.
 
-The smoothing recursion is sequential in time, so Spark's interpreted
-higher-order functions are a poor fit for it (a grid search over them ran at
-minutes per thousand series-days).  Instead each per-series row, which already
-carries its date-ordered history as ``array<double>`` (one value per observed
-day, bounded by the calendar), is fitted inside ``mapInPandas`` with numpy,
-vectorised over the whole parameter grid.  Spark still partitions the series;
-rows keep their partitioning, so the fit adds no shuffle.
-
-Recursion (period m = 7, one-step error e = v - (l + b + s0)):
-    l' = a (v - s0) + (1 - a)(l + b)
-    b' = B (l' - l) + (1 - B) b
-    s0' = g (v - l - b) + (1 - g) s0      (stored back at the same season slot)
-Start: l = mean of the first 7 values, b = 0, s_i = y_i - l.  Series shorter
-than 14 values fit the trend only (g = 0, s = 0, l = first value).
-The grid point with the smallest one-step SSE wins (ties: smaller a, B, g); a
-few rounds of local search around it (3x3x3 neighbourhood, halving steps)
-refine the parameters, keeping a point only when it lowers the SSE.
-Forecast h steps ahead: l + h b + s[(h - 1) mod 7], with s rotated so that
-s[0] is the season of the first day after the history.
+The fit is one expression over a series' date-ordered history (``array<double>``, one value per observed day, bounded by the
+calendar): ``aggregate`` folds the history into a state of level, trend and season for a point of parameters, ``transform`` does so for
+every point of a grid, and the least of the resulting structs, which begin with the squared error, is the fit.  So the rows neither
+leave the JVM nor multiply, and the fit adds no shuffle.
+
+Recursion (period m = 7, one-step error e = v - (l + b + s)):
+    l' = (l + b) + a e,   b' = b + (a B) e,   s' = s + g e
+The season is a ring of seven: a step uses its first value and puts the new one behind the last, so the ring always begins with the next day.
+Start: l = mean of the first 7 values, b = 0, s_i = y_i - l.  Series shorter than 14 values fit the trend only (g = 0, s = 0, l = first
+value).  The grid point with the least squared error wins (ties: smaller a, B, g); rounds of local search around it (3x3x3
+neighbours, halving steps) refine the parameters.
+Forecast h steps ahead: l + h b + s[(h - 1) mod 7].
+
+``attach_state`` is the hook for another model: a Python function per history, run in ``mapInPandas``.
 """
 
 from __future__ import annotations
@@ -44,6 +39,85 @@ GAMMAS = [0.01, 0.05, 0.1, 0.3, 0.5]
 
 REFINE_ROUNDS = 4          # local search after the grid: 3x3x3 neighbourhood, step halves each round
 
+# the native fit: fewer points than the Python one, as every step of a fold is interpreted; its errors are as small
+ALPHA_GRID, BETA_GRID, GAMMA_GRID = [0.02, 0.1, 0.3, 0.7], [0.001, 0.02, 0.1], [0.01, 0.1, 0.4]
+ROUNDS = 3
+STEPS = (0.05, 0.02, 0.05)   # of alpha, beta and gamma in the first round
+RING = [f"s{i}" for i in range(1, PERIOD + 1)]
+
+
+# ---------------------------------------------------------------- native fit
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _points(points: list[tuple[float, float, float]]) -> Column:
+    return F.array(*(F.struct(*(F.lit(float(v)).alias(n) for n, v in zip("abg", p))) for p in points))
+
+
+def start_state(y: Column, seasonal: Column) -> Column:
+    """The state before the first value: ``l``, ``b``, the ring and ``sse``."""
+    mean = F.aggregate(F.slice(y, 1, PERIOD), F.lit(0.0), lambda acc, v: acc + v) / F.lit(float(PERIOD))
+    level = F.when(seasonal, mean).otherwise(F.coalesce(F.get(y, F.lit(0)), F.lit(0.0)))
+    return _let(level, lambda l0: F.struct(
+        l0.alias("l"), F.lit(0.0).alias("b"),
+        *(F.when(seasonal, F.get(y, F.lit(i)) - l0).otherwise(F.lit(0.0)).alias(s) for i, s in enumerate(RING)), F.lit(0.0).alias("sse")))
+
+
+def fold(y: Column, start: Column, a: Column, b: Column, g: Column) -> Column:
+    """The state after the values ``y`` under one point of parameters."""
+    def step(state: Column, v: Column) -> Column:
+        base = state["l"] + state["b"]
+        return _let(v - (base + state["s1"]), lambda e: F.struct(
+            (base + a * e).alias("l"), (state["b"] + (a * b) * e).alias("b"),
+            *(state[later].alias(s) for s, later in zip(RING, RING[1:])), (state["s1"] + g * e).alias(RING[-1]),
+            (state["sse"] + e * e).alias("sse")))
+
+    return F.aggregate(y, start, step)
+
+
+def fitted_state(history: Column, rounds: int = ROUNDS) -> Column:
+    """The fitted state of a history (``STATE_TYPE``); null for a null or empty one.  Null, NaN and infinite values count as 0."""
+    clean = F.transform(history.cast("array<double>"), lambda v: F.when(
+        v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")), F.lit(0.0)).otherwise(v))
+
+    def of(y: Column) -> Column:
+        seasonal = F.size(y) >= MIN_SEASONAL_POINTS
+
+        def with_start(start: Column) -> Column:
+            def tried(a: Column, b: Column, g: Column) -> Column:
+                # the squared error comes first, then the parameters: the least struct is the fit
+                return _let(fold(y, start, a, b, g), lambda st: F.struct(
+                    st["sse"].alias("sse"), a.alias("a"), b.alias("b"), g.alias("g"), st["l"].alias("level"), st["b"].alias("trend"),
+                    F.array(*(st[s] for s in RING)).alias("season")))
+
+            def refined(best: Column, left: int, scale: float) -> Column:
+                if not left:
+                    return best
+
+                def moved(value: Column, by: Column, step: float) -> Column:
+                    return F.least(F.greatest(value + by * F.lit(step * scale), F.lit(0.0)), F.lit(1.0))
+
+                near = _points([o for o in itertools.product((-1.0, 0.0, 1.0), repeat=3) if any(o)])
+                return _let(F.array_min(F.concat(F.array(best), F.transform(near, lambda o: tried(
+                    moved(best["a"], o["a"], STEPS[0]), moved(best["b"], o["b"], STEPS[1]),
+                    F.when(seasonal, moved(best["g"], o["g"], STEPS[2])).otherwise(F.lit(0.0)))))),
+                    lambda better: refined(better, left - 1, scale / 2))
+
+            grid = F.when(seasonal, _points(list(itertools.product(ALPHA_GRID, BETA_GRID, GAMMA_GRID)))) \
+                .otherwise(_points(list(itertools.product(ALPHA_GRID, BETA_GRID, [0.0]))))
+            return _let(F.array_min(F.transform(grid, lambda p: tried(p["a"], p["b"], p["g"]))), lambda best: refined(best, rounds, 1.0))
+
+        return _let(start_state(y, seasonal), with_start)
+
+    return F.when(F.size(history) > 0, _let(_let(clean, of), lambda best: F.struct(
+        best["level"].alias("l"), best["trend"].alias("b"), best["season"].alias("s"), best["a"].alias("alpha"), best["b"].alias("beta"),
+        best["g"].alias("gamma"), best["sse"].alias("sse"), (F.size(history) >= MIN_SEASONAL_POINTS).alias("seasonal"))))
+
+
+# ---------------------------------------------------------------- Python fit
+
 
 def _run(y: np.ndarray, a: np.ndarray, be: np.ndarray, g: np.ndarray, seasonal: bool):
     """The recursion for many parameter points at once; returns sse, level, trend, season arrays."""

@@ -22,7 +22,7 @@ from perishables.operators import curate, forecast, holt_winters, quality, repor
 from perishables.session import scratch_path
 from perishables.settings import ForecastSettings, ReportFilters
 from perishables.sources import domain_views, forecast_store, incremental, tables
-from perishables.streaming import incremental_sales
+from perishables.streaming import forecast_stream, incremental_sales
 
 # --- fixed query parameters ---
 DASHBOARD_FILTERS = ReportFilters(product_id=None, store_id=None, horizon_days=14)
@@ -34,6 +34,8 @@ FALLBACK_AS_OF = dt.date(2001, 8, 20)
 NEW_BATCH_CUTOFF = dt.date(1998, 1, 1)   # batches produced before it count as loaded
 DONE_STEPS = 20                          # forecast steps already stored in the incremental queries
 SAMPLE_ROWS = 5
+# days on which the second and third load of the forecast stream begin; the second is shorter than the horizon
+LOAD_STARTS = [dt.date(1996, 1, 1), dt.date(1996, 1, 11)]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -579,6 +581,20 @@ def q_stream_daily_sales(spark, sf):
     return sink.read()
 
 
+def q_stream_forecast(spark, sf):
+    """M2: the daily series arrive in three loads; after each, the touched series are forecast from their kept state."""
+    arrived, state, out = (scratch_path(spark, f"forecast-stream-{n}") for n in ("arrived", "state", "sink"))
+    path = scratch_path(spark, "forecast-stream-daily")
+    forecast.product_store_daily(_curated(spark, sf)).write.parquet(path)
+    daily = spark.read.parquet(path)
+    day = F.col("date")
+    for load in (day < LOAD_STARTS[0], (day >= LOAD_STARTS[0]) & (day < LOAD_STARTS[1]), day >= LOAD_STARTS[1]):
+        daily.filter(load).write.mode("append").parquet(arrived)
+        sink = forecast_stream.run_forecast_stream(spark, spark.readStream.schema(daily.schema).parquet(arrived), out, state, settings=ETS)
+    kept = sink.read()
+    return kept.select(*(F.round(c, 6).alias(c) if kind == "double" else F.col(c) for c, kind in kept.dtypes))
+
+
 QUERIES: dict[str, Query] = {
     # sources, sinks, table maintenance
     "scan_sales": q_scan_sales,
@@ -672,6 +688,7 @@ QUERIES: dict[str, Query] = {
     "forecast_rows": q_forecast_rows,
     # streaming
     "stream_daily_sales": q_stream_daily_sales,
+    "stream_forecast": q_stream_forecast,
     # data quality
     "constraint_checks": q_constraint_checks,
     "quality_report": q_quality_report,

@@ -169,3 +169,41 @@ def test_a_failing_fit_falls_back_to_the_baseline(spark):
             for r in forecast.forecast_from_daily(daily, None, ForecastSettings(model="baseline")).collect()}
     assert own.keys() == base.keys()
     assert all(own[k] == base[k] for k in own if k[0] == 2) and any(own[k] != base[k] for k in own if k[0] == 1)
+
+
+def test_native_fit_is_the_best_of_its_points(spark):
+    rng = np.random.default_rng(11)
+    histories = [(20 + 0.2 * t + 4 * np.sin(2 * math.pi * t / 7) + rng.normal(0, 1, len(t))).tolist() for t in map(np.arange, (14, 15, 40, 100))]
+    histories += [[5.0, 6.0, 7.0, 8.0, 9.0, 10.0], [3.0], [0.0] * 20, [7.0] * 13]
+    rows = spark.createDataFrame([(i, h) for i, h in enumerate(histories)], "i int, h array<double>")
+    for r in rows.select("i", holt_winters.fitted_state(F.col("h")).alias("fit")).collect():
+        y, fit = histories[r["i"]], r["fit"]
+        seasonal = len(y) >= 14
+        sse, level, trend, season = _recursion(y, fit["alpha"], fit["beta"], fit["gamma"], seasonal)
+        assert fit["seasonal"] == seasonal and math.isclose(fit["sse"], sse, rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(fit["l"], level, rel_tol=1e-9) and math.isclose(fit["b"], trend, rel_tol=1e-9, abs_tol=1e-9)
+        assert all(math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-9) for a, b in zip(fit["s"], season))
+        points = itertools.product(holt_winters.ALPHA_GRID, holt_winters.BETA_GRID, holt_winters.GAMMA_GRID if seasonal else [0.0])
+        assert fit["sse"] <= min(_recursion(y, *p, seasonal)[0] for p in points) * (1 + 1e-9) + 1e-9
+        # the Python fitter tries more than twice as many points; its errors are hardly smaller
+        assert fit["sse"] <= holt_winters.fit_series(np.array(y))["sse"] * 1.1 + 1e-9
+
+
+def test_native_fit_of_odd_histories(spark):
+    nan, inf = float("nan"), float("inf")
+    cases = {0: None, 1: [], 2: [None], 3: [nan, inf, -inf, 4.0], 4: [0.0, 0.0, 0.0, 4.0], 5: [1e308] * 20}
+    rows = spark.createDataFrame(list(cases.items()), "i int, h array<double>").select("i", holt_winters.fitted_state(F.col("h")).alias("fit"))
+    fits = {r["i"]: r["fit"] for r in rows.collect()}
+    assert fits[0] is None and fits[1] is None and fits[2]["l"] == 0.0 and fits[3] == fits[4] and fits[5] is not None
+
+
+def test_native_fit_keeps_rows_in_the_jvm_and_apart(spark):
+    from perishables.plans.registered import QUERIES
+    from tests.conftest import SF_SMALL
+
+    df = QUERIES["holt_winters"](spark, SF_SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Pandas" not in plan and "Python" not in plan and "Arrow" not in plan
+    # the fits' own exchange is there, and not the one that the rows come with
+    assert f"{2 * int(spark.conf.get('spark.sql.shuffle.partitions')) + 1}), REPARTITION_BY_NUM" in plan
