@@ -783,6 +783,7 @@ FROM j_inventory"""
   CASE WHEN n_days >= 950 THEN 'ets' ELSE 'baseline' END AS model FROM ss""")
     q["forecast_rows"] = fc_sql("SELECT * FROM fc", done=20)
     # streaming (final state equals the batch daily aggregation)
+    q["stream_late_orders"] = with_ctes(["daily_sales"], "SELECT * FROM daily_sales")
     q["stream_forecast"] = _stream_forecast()
     q["stream_daily_sales"] = with_ctes(["daily_sales"], "SELECT * FROM daily_sales")
     # data quality

@@ -22,7 +22,7 @@ from perishables.operators import curate, forecast, holt_winters, quality, repor
 from perishables.session import scratch_path
 from perishables.settings import ForecastSettings, ReportFilters
 from perishables.sources import domain_views, forecast_store, incremental, tables
-from perishables.streaming import forecast_stream, incremental_sales
+from perishables.streaming import forecast_stream, incremental_sales, late_orders
 
 # --- fixed query parameters ---
 DASHBOARD_FILTERS = ReportFilters(product_id=None, store_id=None, horizon_days=14)
@@ -35,6 +35,7 @@ NEW_BATCH_CUTOFF = dt.date(1998, 1, 1)   # batches produced before it count as l
 DONE_STEPS = 20                          # forecast steps already stored in the incremental queries
 SAMPLE_ROWS = 5
 # days on which the second and third load of the forecast stream begin; the second is shorter than the horizon
+JOIN_LOADS = [dt.datetime(1997, 3, 4), dt.datetime(1999, 6, 20)]   # where the second and third load of the two streams begin
 LOAD_STARTS = [dt.date(1996, 1, 1), dt.date(1996, 1, 11)]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -581,6 +582,26 @@ def q_stream_daily_sales(spark, sf):
     return sink.read()
 
 
+def q_stream_late_orders(spark, sf):
+    """M1 where both sides are streams: lines are recorded 1-7 days after their order's day, every ninth order ten days after it,
+    so that orders follow their lines, also into the next load; the sales that the streams' join resolves, aggregated by day."""
+    items, orders = _read(spark, sf, "lineitem"), _read(spark, sf, "orders")
+    late = F.when(F.col("o_orderkey") % 9 == 0, 10).otherwise(0)
+    noted = orders.withColumn("recorded", F.col("o_orderdate") + F.make_dt_interval(late))
+    day = orders.select("o_orderkey", "o_orderdate")
+    sold = items.join(day, F.col("l_orderkey") == F.col("o_orderkey")).drop("o_orderkey") \
+        .withColumn("recorded", F.col("o_orderdate") + F.make_dt_interval("l_linenumber")).drop("o_orderdate")
+    at = {n: scratch_path(spark, f"late-orders-{n}") for n in ("lines", "orders", "state", "sink")}
+    for start, end in zip((None, *JOIN_LOADS), (*JOIN_LOADS, None)):
+        load = F.lit(True) if start is None else F.col("recorded") >= F.lit(start)
+        load = load if end is None else load & (F.col("recorded") < F.lit(end))
+        sold.filter(load).write.mode("append").parquet(at["lines"])
+        noted.filter(load).write.mode("append").parquet(at["orders"])
+        late_orders.run_sales_join(spark, spark.readStream.schema(sold.schema).parquet(at["lines"]),
+                                   spark.readStream.schema(noted.schema).parquet(at["orders"]), at["sink"], at["state"])
+    return curate.daily_sales(domain_views.sales_of(spark.read.parquet(at["sink"])))
+
+
 def q_stream_forecast(spark, sf):
     """M2: the daily series arrive in three loads; after each, the touched series are forecast from their kept state."""
     arrived, state, out = (scratch_path(spark, f"forecast-stream-{n}") for n in ("arrived", "state", "sink"))
@@ -688,6 +709,7 @@ QUERIES: dict[str, Query] = {
     "forecast_rows": q_forecast_rows,
     # streaming
     "stream_daily_sales": q_stream_daily_sales,
+    "stream_late_orders": q_stream_late_orders,
     "stream_forecast": q_stream_forecast,
     # data quality
     "constraint_checks": q_constraint_checks,

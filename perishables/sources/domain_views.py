@@ -107,8 +107,13 @@ def _line_orders(lineitem: DataFrame, orders: DataFrame, line_filter: str | None
     return li.join(orders.select(*ORDER_COLUMNS), F.col("l_orderkey") == F.col("o_orderkey"), "inner")
 
 
+def sales_of(joined: DataFrame) -> DataFrame:
+    """Sales of line items that already carry their order's columns (null where they have none)."""
+    return _typed(joined.selectExpr(*SALES), schemas.SALES)
+
+
 def sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    return _typed(_line_orders(lineitem, orders).selectExpr(*SALES), schemas.SALES)
+    return sales_of(_line_orders(lineitem, orders))
 
 
 def logistics(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
