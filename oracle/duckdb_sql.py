@@ -434,6 +434,47 @@ def _quality_report() -> str:
     return _ops_sql(body)
 
 
+HEAD_COLUMNS = {
+    "production": "batch_id product_id product_type production_date production_hour grade shelf_life_days",
+    "quality": "batch_id ph temperature taste odor fat turbidity colour grade",
+    "inventory": "batch_id product_id production_date production_hour initial_stock_liters current_stock_liters reorder_level_liters "
+                 "reorder_quantity_liters warehouse_location storage_temperature_c",
+    "sales": "batch_id product_id store_id sale_date sale_hour units_sold promotion_flag seasonality_factor",
+    "factory": "batch_id product_id production_date production_hour line_id quantity_produced_liters lead_time_days "
+               "max_capacity_per_day_liters energy_consumption_kwh",
+    "logistics": "batch_id product_id transport_date transport_hour transport_time_hours transport_temperature_c energy_consumption_kwh "
+                 "warehouse_location",
+}
+
+
+def _inspection_samples(n: int = 5) -> str:
+    def first(check: str, table: str, column: str, value: str, order: list[str], source: str) -> str:
+        return f"""SELECT '{check}' AS check_name, '{table}' AS table_name, {column} AS column_name, CAST(place AS VARCHAR) AS item, value FROM (
+  SELECT {value} AS value, row_number() OVER (ORDER BY {', '.join([*(f'{c} NULLS FIRST' for c in order), 'value'])}) AS place FROM {source}) WHERE place <= {n}"""
+
+    sel = []
+    for t, cols in HEAD_COLUMNS.items():
+        order = PK.get(t) or [c for c, _ in TYPE_CHECK[t]]
+        sel.append(first("head_row", t, "CAST(NULL AS VARCHAR)", _key_text(cols.split()), order, t))
+        if t in PK:
+            keys = ", ".join(PK[t])
+            sel.append(first("duplicate_key", t, f"'{','.join(PK[t])}'", f"{_key_text(PK[t])} || ' x ' || CAST(n AS VARCHAR)", PK[t],
+                             f"(SELECT {keys}, count(*) AS n FROM {t} GROUP BY {keys} HAVING count(*) > 1)"))
+    raw = "(SELECT l_orderkey AS batch_id, sale_date, units FROM raw_sales_text)"
+    sel.append(first("head_row", "raw_sales_text", "CAST(NULL AS VARCHAR)", _key_text(["batch_id", "sale_date", "units"]), ["batch_id", "sale_date"], raw))
+    sel.append(first("non_iso_sample", "raw_sales_text", "'sale_date'", "sale_date", [],
+                     f"(SELECT * FROM {raw} WHERE NOT regexp_full_match(sale_date, '\\d{{4}}-\\d{{2}}-\\d{{2}}'))"))
+    return with_ctes(["raw_sales_text", *HEAD_COLUMNS], _union(sel))
+
+
+def _stored_statistics() -> str:
+    sel = []
+    for t in (*HEAD_COLUMNS, "product_catalog"):
+        day, key = DATE_COLS.get(t, "CAST(NULL AS DATE)"), "CAST(NULL AS BIGINT)" if t == "product_catalog" else "batch_id"
+        sel.append(f"SELECT '{t}' AS table_name, count(*) AS n_rows, min({day}) AS min_date, max({day}) AS max_date, max({key}) AS max_key FROM {t}")
+    return with_ctes([*HEAD_COLUMNS, "product_catalog"], _union(sel))
+
+
 def _row_counts() -> str:
     return _ops_sql(_union([f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in OPS]))
 
@@ -556,6 +597,16 @@ LEFT JOIN fit x ON r.product_id = x.product_id AND r.store_id = x.store_id"""
     return with_ctes(FORECAST_VIEWS, "SELECT * FROM fc", [*holt_winters_ctes("", "psd"), *chain.items()]).replace("WITH ", "WITH RECURSIVE ", 1)
 
 
+def _forecast_compact(done: int = 20) -> str:
+    """The fitted model over the days after ``done``, whose steps are counted from 1 again."""
+    chain = dict(forecast_ctes("", 30, done))
+    chain["vals"] = f"""SELECT r.product_id, r.store_id, r.forecast_date, r.step,
+  CASE WHEN x.l IS NULL THEN coalesce(b.baseline, CAST(0 AS DOUBLE)) ELSE {ets_value(f"(r.step - {done})")} END AS forecasted_sales
+FROM rem r LEFT JOIN base b ON r.product_id = b.product_id AND r.store_id = b.store_id
+LEFT JOIN fit x ON r.product_id = x.product_id AND r.store_id = x.store_id"""
+    return with_ctes(FORECAST_VIEWS, "SELECT * FROM fc", [*holt_winters_ctes("", "psd"), *chain.items()]).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 def _stream_forecast(cuts: tuple[str, ...] = ("1996-01-01", "1996-01-11", "9999-01-01"), horizon: int = 30) -> str:
     """After each load, the forecast of the series it touched, over all days so far, for days not forecast before."""
     extra, found = [], []
@@ -765,6 +816,12 @@ FROM j_inventory"""
   CAST(0 AS DOUBLE) AS energy_consumption_kwh, CAST(0 AS DOUBLE) AS transport_time_hours) FROM psd""")
     q["forecast_stocked"] = _forecast_stocked()
     q["holt_winters"] = _holt_winters()
+    q["forecast_compact"] = _forecast_compact()
+    q["forecast_migration"] = fc_sql("SELECT * FROM fc")
+    q["forecast_month_upsert"] = q["forecast_upsert"]
+    q["curated_bucketed"] = with_ctes(["curated"], "SELECT * FROM curated")
+    q["rejected_dates"] = with_ctes(["raw_sales_text", "parsed_raw"], """SELECT 'sales' AS table_name, 'sale_date' AS column_name, n_values,
+  n_values - n_read AS n_rejected FROM (SELECT count(sale_date) AS n_values FROM raw_sales_text), (SELECT count(sale_date) AS n_read FROM parsed_raw)""")
     q["holt_winters_fixed"] = _holt_winters_fixed()
     q["seeded_sample"] = with_ctes(["quality"], "SELECT * FROM quality ORDER BY md5(concat_ws('-', batch_id, '42')), batch_id LIMIT 100")
     q["stored_legacy_sales"] = with_ctes(["daily_sales"], "SELECT * FROM daily_sales")
@@ -789,6 +846,8 @@ FROM j_inventory"""
     # data quality
     q["constraint_checks"] = _constraints()
     q["quality_report"] = _quality_report()
+    q["inspection_samples"] = _inspection_samples()
+    q["stored_statistics"] = _stored_statistics()
     q["forecast_json_roundtrip"] = fc_sql("""SELECT product_id, store_id, forecast_date,
   coalesce(forecasted_sales, 0.0) AS forecasted_sales, coalesce(predicted_waste, 0.0) AS predicted_waste,
   coalesce(suggested_production, 0.0) AS suggested_production, coalesce(expiration_risk, 0) AS expiration_risk,

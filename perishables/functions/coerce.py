@@ -17,6 +17,10 @@ from perishables.functions.nulls import nan_to_null
 # a day, then the end, a blank or a time; dashes or slashes
 DAY_TEXT = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})(?:$|[ T].*$)"
 COMPACT_DAY_TEXT = r"^(\d{4})(\d{2})(\d{2})$"
+# a month's name, day and year; or month, day and year in figures (the month first)
+NAMED_DAY_TEXT = r"^([A-Za-z]{3})[a-z]* (\d{1,2}),? (\d{4})$"
+MONTH_FIRST_TEXT = r"^(\d{1,2})([-/])(\d{1,2})\2(\d{4})$"
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
 ISO_DATE_FULL = r"^\d{4}-\d{2}-\d{2}$"
 
 
@@ -80,7 +84,8 @@ def date_expr(c: Column, dtype: T.DataType) -> Column:
     """Day-precision date; unparseable -> null, time part dropped.
 
     Text holds a day as ``yyyy-m-d`` or ``yyyy/m/d``, alone or before a blank or ``T`` and a time
-    (an offset does not move the day), or as ``yyyymmdd``; each row is parsed on its own.
+    (an offset does not move the day), as ``yyyymmdd``, as ``Mon d yyyy`` (or the whole English name), or as ``m-d-yyyy`` or
+    ``m/d/yyyy``; each row is parsed on its own.
     """
     if isinstance(dtype, T.DateType):
         return c
@@ -90,7 +95,11 @@ def date_expr(c: Column, dtype: T.DataType) -> Column:
         t = F.trim(c)
         day = F.concat_ws("-", *(F.regexp_extract(t, DAY_TEXT, g) for g in (1, 3, 4)))
         compact = F.concat_ws("-", *(F.regexp_extract(t, COMPACT_DAY_TEXT, g) for g in (1, 2, 3)))
-        return F.when(t.rlike(DAY_TEXT), day.try_cast("date")).when(t.rlike(COMPACT_DAY_TEXT), compact.try_cast("date"))
+        name = F.array_position(F.split(F.lit(MONTHS), " "), F.lower(F.regexp_extract(t, NAMED_DAY_TEXT, 1)))
+        named = F.concat_ws("-", F.regexp_extract(t, NAMED_DAY_TEXT, 3), name.cast("string"), F.regexp_extract(t, NAMED_DAY_TEXT, 2))
+        month_first = F.concat_ws("-", *(F.regexp_extract(t, MONTH_FIRST_TEXT, g) for g in (4, 1, 3)))
+        return F.when(t.rlike(DAY_TEXT), day.try_cast("date")).when(t.rlike(COMPACT_DAY_TEXT), compact.try_cast("date")) \
+            .when(t.rlike(NAMED_DAY_TEXT), named.try_cast("date")).when(t.rlike(MONTH_FIRST_TEXT), month_first.try_cast("date"))
     return F.lit(None).cast("date")
 
 

@@ -38,18 +38,21 @@ def catalog(production: DataFrame) -> DataFrame:
     return production.select(*CATALOG_COLUMNS).dropna(how="all").dropDuplicates()
 
 
-def map_sales(sales: DataFrame, *, null_store: str = "literal") -> DataFrame:
+def map_sales(sales: DataFrame, *, null_store: str = "literal", on_missing: str = "raise") -> DataFrame:
     """Canonical sales rows with ``date`` and ``units_sold``, coerced, no null keys.
 
     Accepts legacy names (``ds`` for the date, ``units`` or ``y`` for units) and
     raw text columns: ids must be integral, dates start with an ISO day, units
     parse as numbers (bad or missing -> 0, truncated).  On typed input every
     coercion is a no-op.  Rows without a store stay under the text "None"
-    (``null_store="drop"`` removes them); a missing needed column is an error.
+    (``null_store="drop"`` removes them); a missing needed column is an error, or with
+    ``on_missing="empty"`` makes the result empty, as in the reference.
     """
     df = rename_first_present(sales, "date", ["sale_date", "ds", "date"])
     df = rename_first_present(df, "units_sold", ["units", "y", "units_sold"])
-    df = require_columns(df, ["batch_id", "product_id", "store_id", "date", "units_sold"])
+    needed = ["batch_id", "product_id", "store_id", "date", "units_sold"]
+    if require_columns(df, needed, on_missing) is None:
+        df = add_missing_columns(df, {c: None for c in needed}).limit(0)
     df = add_missing_columns(df, {"sale_hour": 12, "promotion_flag": 0, "seasonality_factor": 1.0})
     types = dict((f.name, f.dataType) for f in df.schema.fields)
     df = df.withColumns({

@@ -34,8 +34,8 @@ DAILY_INPUTS = ["units_sold", "available_stock", "max_capacity_per_day_liters",
                 "transport_time_hours", "transport_temperature_c", "days_to_expiration"]
 
 
-def product_store_daily(curated: DataFrame) -> DataFrame:
-    """One row per (product, store, date); sums, mean temperature, closest expiry.
+def product_store_daily(curated: DataFrame, extra: list[Column] | None = None) -> DataFrame:
+    """One row per (product, store, date); sums, mean temperature, closest expiry, and ``extra`` aggregates.
 
     Absent inputs are added as 0; rows with a null key are dropped (T5).
     """
@@ -48,7 +48,7 @@ def product_store_daily(curated: DataFrame) -> DataFrame:
                  sum0(F.col("energy_consumption_kwh").cast("double")).cast("double").alias("energy_consumption_kwh"),
                  sum0(F.col("transport_time_hours").cast("double")).cast("double").alias("transport_time_hours"),
                  exact_avg(F.col("transport_temperature_c").cast("double")).alias("transport_temperature_c"),
-                 F.min("days_to_expiration").alias("days_to_expiration")))
+                 F.min("days_to_expiration").alias("days_to_expiration"), *(extra or [])))
 
 
 def history_length(daily: DataFrame) -> DataFrame:
@@ -81,19 +81,30 @@ def _tail_mean(history: Column, window: int) -> Column:
     return F.when(F.size(tail) == 0, F.lit(0.0)).when(mean < 0, F.lit(0.0)).otherwise(mean)
 
 
-def series_profile(daily: DataFrame, window: int = 7) -> DataFrame:
-    """One row per series: E6 scalars, F1 baseline and the date-ordered demand history."""
+def series_profile(daily: DataFrame, window: int = 7, extra: list[Column] | None = None) -> DataFrame:
+    """One row per series: E6 scalars, F1 baseline, the date-ordered demand history, and ``extra`` aggregates."""
     pairs = F.array_sort(F.collect_list(F.struct(F.col("date"), F.col("units_sold").cast("double").alias("y"))))
-    prof = daily.groupBy(*SERIES).agg(*_scalar_aggs(), pairs.alias("h"))
+    prof = daily.groupBy(*SERIES).agg(*_scalar_aggs(), pairs.alias("h"), *(extra or []))
     history = F.transform("h", lambda x: x["y"])
     return (prof.withColumn("history", history)
             .withColumn("baseline", _tail_mean(F.col("history"), window))
             .drop("h"))
 
 
+def last_days(daily: DataFrame, window: int = 7) -> DataFrame:
+    """The last ``window`` observed days of every series.
+
+    The rank's bound goes below the exchange as a window group limit: a task hands on at most ``window`` days of a series.
+    """
+    place = F.row_number().over(Window.partitionBy(*SERIES).orderBy(F.col("date").desc()))
+    return daily.select(*SERIES, "date", "units_sold").withColumn("place", place).filter(F.col("place") <= window)
+
+
 def baseline_mean(daily: DataFrame, window: int = 7) -> DataFrame:
-    """F1/K1: mean of the last ``window`` observed days per series, clipped at 0."""
-    return series_profile(daily, window).select(*SERIES, "baseline")
+    """F1/K1: mean of the last ``window`` observed days per series, clipped at 0; no history is collected."""
+    days = last_days(daily, window).groupBy(*SERIES).agg(
+        F.array_sort(F.collect_list(F.struct("date", F.col("units_sold").cast("double").alias("y")))).alias("h"))
+    return days.select(*SERIES, _tail_mean(F.transform("h", lambda d: d["y"]), window).alias("baseline"))
 
 
 def future_dates(scalars: DataFrame, horizon_days: int) -> DataFrame:
@@ -130,7 +141,7 @@ def _yhat(settings: ForecastSettings) -> Column:
 
 
 def forecast_from_profile(profile: DataFrame, existing: DataFrame | None,
-                          settings: ForecastSettings) -> DataFrame:
+                          settings: ForecastSettings, keep: list[str] | None = None) -> DataFrame:
     """H5 -> C6 -> F6 -> K1/K2/K3 -> J7-J9 as one linear plan over per-series rows.
 
     The fitted state travels with the series row
@@ -152,18 +163,19 @@ def forecast_from_profile(profile: DataFrame, existing: DataFrame | None,
             prof = holt_winters.attach_state(spread.withColumn("use_ets", use_ets), "use_ets", settings.fitter)
     else:
         prof = prof.withColumn("model_state", F.lit(None))
-    return rows_from_states(prof, existing, settings)
+    return rows_from_states(prof, existing, settings, keep)
 
 
-def rows_from_states(states: DataFrame, existing: DataFrame | None, settings: ForecastSettings) -> DataFrame:
+def rows_from_states(states: DataFrame, existing: DataFrame | None, settings: ForecastSettings, keep: list[str] | None = None) -> DataFrame:
     """H5 -> C6 -> J7-J9 over per-series rows that carry their ``model_state`` (null: the baseline).
 
     Dates in ``existing``, or up to the row's ``done_until`` where there is such a column, are not forecast again.
+    Columns to ``keep`` stay beside the forecast's own.
     """
     done = [F.col("done_until")] if "done_until" in states.columns else []
     rows = states.select(*SERIES, "last_stock", "cap_sum", "expiration_risk", "avg_energy", "baseline",
                        "model_state", F.explode(F.sequence(F.lit(1), F.lit(settings.horizon_days))).alias("step"),
-                       F.col("last_date"), *done)
+                       F.col("last_date"), *done, *(keep or []))
     rows = rows.withColumn("forecast_date", F.date_add("last_date", F.col("step")))
     if done:
         rows = rows.filter(F.col("done_until").isNull() | (F.col("forecast_date") > F.col("done_until")))
@@ -187,7 +199,7 @@ def rows_from_states(states: DataFrame, existing: DataFrame | None, settings: Fo
         (F.when(waste > 0, waste).otherwise(F.lit(0.0)) / n).alias("predicted_waste"),
         (sugg / n).alias("suggested_production"),
         F.col("expiration_risk").cast("int").alias("expiration_risk"),
-        F.col("avg_energy").cast("double").alias("predicted_logistics_cost"))
+        F.col("avg_energy").cast("double").alias("predicted_logistics_cost"), *(keep or []))
 
 
 def forecast_from_daily(daily: DataFrame, existing: DataFrame | None = None,

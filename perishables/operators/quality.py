@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perishables import schemas
+from perishables.functions import coerce
 from perishables.functions.coerce import ISO_DATE_FULL
 from perishables.functions.scalars import QUALITY_GRADES
 
@@ -87,6 +88,21 @@ def date_ranges(tables: Mapping[str, DataFrame],
                    for name, df in tables.items() if name in columns and columns[name] in df.columns])
 
 
+def stored_statistics(tables: Mapping[str, DataFrame], columns: Mapping[str, str] = schemas.DATE_COLUMNS, key: str = "batch_id") -> DataFrame:
+    """E16, E18 and E20 for stored tables: rows, first and last day, greatest key; over ``tables.stored_scan`` no row is read."""
+    frames = []
+    for name, df in tables.items():
+        day = columns.get(name) if columns.get(name) in df.columns else None
+        aggs = [F.count(F.lit(1)).alias("n_rows")]
+        aggs += [F.min(day).alias("min_date"), F.max(day).alias("max_date")] if day else []
+        aggs += [F.max(key).alias("max_key")] if key in df.columns else []
+        one = df.agg(*aggs)
+        frames.append(one.select(F.lit(name).alias("table_name"), "n_rows", *(
+            (F.col(c) if c in one.columns else F.lit(None)).cast(kind).alias(c)
+            for c, kind in (("min_date", "date"), ("max_date", "date"), ("max_key", "bigint")))))
+    return _union(frames)
+
+
 def _date_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return c
@@ -206,6 +222,44 @@ def constraint_checks(quality: DataFrame, production: DataFrame) -> DataFrame:
     return stacked.unionByName(fk)
 
 
+def rejected_dates(tables: Mapping[str, DataFrame], columns: Mapping[str, str] = schemas.DATE_COLUMNS) -> DataFrame:
+    """Per date column as stored: values that are there, and values that no format reads (these rows leave the pipeline)."""
+    frames = [coerce.rejected_dates(df, columns[name]).select(F.lit(name).alias("table_name"), F.lit(columns[name]).alias("column_name"),
+                                                              "n_values", "n_rejected")
+              for name, df in tables.items() if columns.get(name) in df.columns]
+    return _union(frames)
+
+
+def _first(df: DataFrame, order: list[str], value: Column, n: int, check: str, table: str, column: str | None) -> DataFrame:
+    """The first ``n`` rows by ``order`` and value, as report rows numbered from 1; a task keeps no more than ``n``."""
+    rows = df.select(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order)), value.alias("value"))
+    by = [*(f"o{i}" for i in range(len(order))), "value"]
+    few = rows.orderBy(*by).limit(n).agg(F.sort_array(F.collect_list(F.struct(*by))).alias("rows"))
+    return few.select(F.posexplode("rows").alias("at", "row")).select(
+        F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), F.lit(column).cast("string").alias("column_name"),
+        (F.col("at") + 1).cast("string").alias("item"), F.col("row.value").alias("value"))
+
+
+def inspection_samples(tables: Mapping[str, DataFrame], n: int = 5) -> DataFrame:
+    """L9's samples in the report's long form: head rows, date texts that are no ISO days, and duplicated keys with their counts.
+
+    "First" is by key (or by the profiled columns, where a table has no key), so a sample is the same however rows are dealt.
+    """
+    frames = []
+    for name, df in tables.items():
+        key = [c for c in schemas.PRIMARY_KEYS.get(name, schemas.TYPE_CHECK_COLUMNS.get(name, [])) if c in df.columns]
+        frames.append(_first(df, key, _key_text(df.columns), n, "head_row", name, None))
+        day = schemas.DATE_COLUMNS.get(name)
+        if day in df.columns:
+            text = _date_text(F.col(day), df.schema[day].dataType)
+            odd = df.filter(text.isNotNull() & ~text.rlike(ISO_DATE_FULL))
+            frames.append(_first(odd, [], text, n, "non_iso_sample", name, day))
+        if name in schemas.PRIMARY_KEYS and set(schemas.PRIMARY_KEYS[name]) <= set(df.columns):
+            found = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+            frames.append(_first(found, key, F.concat(_key_text(key), F.lit(" x "), F.col("n").cast("string")), n, "duplicate_key", name, ",".join(key)))
+    return _union(frames)
+
+
 VALUE_TYPES = ("null", "integer", "real", "text", "blob")
 
 
@@ -244,8 +298,8 @@ def table_profile(df: DataFrame, name: str, type_columns: list[str], date_column
     return out.filter((F.col("check_name") != "value_type") | (F.col("value") != "0"))
 
 
-def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every check in one long table (check, table, column, item, value as text).
+def quality_report(tables: Mapping[str, DataFrame], samples: int = 0) -> DataFrame:
+    """Every check in one long table (check, table, column, item, value as text), with ``samples`` rows of each kind where asked for.
 
     Profiling is one aggregation per table (see ``table_profile``); key
     duplicates, join health, orphans and constraints follow.
@@ -270,4 +324,6 @@ def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
                           "orphan_rows", "check_name", "n"))
     if {"quality", "production"} <= set(t):
         parts.append(long(constraint_checks(t["quality"], t["production"]), "constraint", "rule", "n_violations"))
+    if samples:
+        parts.append(inspection_samples(ops, samples))
     return _union(parts)

@@ -17,8 +17,9 @@ from perishables.functions.aggregates import EXACT_SUM_TYPE, exact_sum, exact_su
 from perishables.functions.nulls import div_or_null, sum0
 from perishables.functions.scalars import (NEAR_EXPIRY_DAYS, iso_date_text, product_label, product_name,
                                            risk_score, store_sort_number, store_sort_prefix)
+from perishables.operators import forecast as forecast_ops
 from perishables.session import cut_lineage
-from perishables.settings import ReportFilters
+from perishables.settings import ForecastSettings, ReportFilters
 
 MAX_MATRIX_STORES = 2000   # columns of the risk matrix
 
@@ -104,10 +105,9 @@ def forecast_daily(fcw: DataFrame) -> DataFrame:
 
 
 def asof_stock(sc: DataFrame) -> DataFrame:
-    """stock summed over the rows of the last history day (0 when there is none)."""
-    last = sc.select(F.max("date")).scalar()
-    return sc.filter(F.col("date") == last) \
-        .agg(F.coalesce(F.sum("available_stock").cast("double"), F.lit(0.0)).alias("asof_stock"))
+    """stock summed over the rows of the last history day (0 when there is none); one pass, by day and then over the days."""
+    days = sc.dropna(subset=["date"]).groupBy("date").agg(F.sum("available_stock").cast("double").alias("stock"))
+    return days.agg(F.coalesce(F.max_by("stock", "date"), F.lit(0.0)).alias("asof_stock"))
 
 
 def projected_stock(fcw: DataFrame, sc: DataFrame) -> DataFrame:
@@ -156,6 +156,66 @@ def kpi_sustainability(sc: DataFrame) -> DataFrame:
         daily_mean("e").alias("avg_daily_energy_kwh"), daily_mean("e_log").alias("avg_daily_logistics_energy_kwh"))
 
 
+# ---------------------------------------------------------------- one pass over curated and forecast
+def summary_days(curated: DataFrame, filters: ReportFilters = ReportFilters(), settings: ForecastSettings = ForecastSettings()) -> DataFrame:
+    """E8, E9, F3, F5 and J10 from one evaluation of the curated table: one row per forecast day.
+
+    Levels of grouping instead of scalars that run the chain again: what the KPIs need of the curated rows (rows near expiry, stock)
+    is counted along with the daily series, summed along with the series' scalars, and rides on each series' first forecast row.
+    That row lies on the day after the series' last one, so the as-of stock is what the latest such day carries.
+    Per forecast day: ``units``, ``waste``, and of the series that begin there ``n_first``, ``near``, ``stock`` and ``last_stock``.
+    """
+    near = F.count_if(F.col("days_to_expiration") <= NEAR_EXPIRY_DAYS).alias("near_rows")
+    daily = forecast_ops.product_store_daily(apply_filters(curated, filters), [near])
+    profile = forecast_ops.series_profile(daily, settings.baseline_window,
+                                          [F.sum("near_rows").alias("near_rows"), F.sum("available_stock").alias("stock_total")]) \
+        .withColumn("day_stock", F.col("last_stock"))
+    rows = forecast_ops.forecast_from_profile(profile, None, settings, ["step", "near_rows", "stock_total", "day_stock"])
+    first = F.col("step") == 1
+
+    def of_first(column: str) -> Column:
+        return F.sum(F.when(first, F.col(column)))
+
+    return rows.groupBy("forecast_date").agg(
+        F.sum(F.col("forecasted_sales").cast(EXACT_SUM_TYPE)).alias("units"), F.sum(F.col("predicted_waste").cast(EXACT_SUM_TYPE)).alias("waste"),
+        F.count_if(first).alias("n_first"), of_first("near_rows").alias("near"), of_first("stock_total").alias("stock"),
+        of_first("day_stock").alias("last_stock"))
+
+
+def _whole(days: DataFrame, horizon: int | None) -> DataFrame:
+    """The summary's days with ``inside`` (the horizon) and ``asof`` (the stock of the last history day); one row per
+    forecast day, so the window over all of them holds a calendar, not data."""
+    every = Window.partitionBy(F.lit(1))
+    inside = F.lit(True) if horizon is None else F.col("forecast_date") < F.date_add(F.min("forecast_date").over(every), int(horizon))
+    asof = F.max_by("last_stock", F.when(F.col("n_first") > 0, F.col("forecast_date"))).over(every)
+    return days.withColumns({"inside": inside, "asof": F.coalesce(asof, F.lit(0.0))})
+
+
+def summary_kpis(days: DataFrame, horizon: int | None) -> DataFrame:
+    """E8 from ``summary_days``."""
+    def total(column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("inside"), F.col(column))).cast("double"), F.lit(0.0))
+
+    return _whole(days, horizon).agg(
+        total("units").alias("total_forecast_units"), total("waste").alias("total_predicted_waste"),
+        F.coalesce(F.sum("near"), F.lit(0)).cast("bigint").alias("near_expiration_rows"),
+        F.coalesce(F.sum("stock").cast("double"), F.lit(0.0)).alias("current_available_stock"))
+
+
+def summary_demand(days: DataFrame, horizon: int | None) -> DataFrame:
+    """E9 from ``summary_days``."""
+    return _whole(days, horizon).filter("inside").select("forecast_date", F.col("units").cast("double").alias("forecasted_units"))
+
+
+def summary_stock(days: DataFrame, horizon: int | None) -> DataFrame:
+    """F3/J10 from ``summary_days``."""
+    cum = F.sum("units").over(Window.partitionBy(F.lit(1)).orderBy("forecast_date").rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("double")
+    left = F.col("asof") - F.col("cumulative_forecast")
+    return _whole(days, horizon).filter("inside").withColumn("cumulative_forecast", cum).select(
+        F.col("forecast_date").alias("date"), F.col("units").cast("double").alias("forecasted_units"), "cumulative_forecast",
+        F.when(left > 0, left).otherwise(F.lit(0.0)).alias("projected_stock"))
+
+
 # ---------------------------------------------------------------- tables
 def batch_drilldown(sc: DataFrame, *, rename: bool = True) -> DataFrame:
     """Lot-level table, first row per (batch, date, store), sorted, headed.

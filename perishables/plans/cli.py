@@ -47,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
         else:
             p.add_argument("--show", type=int, default=100, help="rows of the report to print")
+            p.add_argument("--samples", type=int, default=5, help="rows of each kind of sample in the report")
     args = ap.parse_args(argv)
     spark = tune(SparkSession.builder.appName("perishables").getOrCreate())
     if args.cores:
@@ -60,6 +61,9 @@ def main(argv: list[str] | None = None) -> int:
               f"written under {args.out}")
     else:
         ops = {k: v for k, v in tables.as_dict().items() if k != "product_catalog"}
-        quality.quality_report(ops).orderBy("check_name", "table_name", "column_name", "item") \
+        if args.tables:
+            stored = {k: tables.stored_rows(k) for k in ops}
+            quality.rejected_dates({k: df for k, df in stored.items() if df is not None}).show(args.show, truncate=False)
+        quality.quality_report(ops, args.samples).orderBy("check_name", "table_name", "column_name", "item") \
             .show(args.show, truncate=False)
     return 0

@@ -7,6 +7,7 @@ in full; parameters below are fixed so a query is reproducible.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -21,7 +22,7 @@ from perishables.functions.scalars import PRODUCT_TYPES, expiry_date, shelf_life
 from perishables.operators import curate, forecast, holt_winters, quality, reports
 from perishables.session import scratch_path
 from perishables.settings import ForecastSettings, ReportFilters
-from perishables.sources import domain_views, forecast_store, incremental, tables
+from perishables.sources import domain_views, forecast_months, forecast_store, incremental, tables
 from perishables.streaming import forecast_stream, incremental_sales, late_orders
 
 # --- fixed query parameters ---
@@ -220,6 +221,50 @@ def q_forecast_upsert(spark, sf):
     return forecast.upsert(existing, newer)
 
 
+def _newer(cur: DataFrame) -> DataFrame:
+    """A longer forecast without the days already stored."""
+    rows = forecast.forecast_rows(cur, None, ForecastSettings(model="baseline", horizon_days=40))
+    return rows.join(_done(cur), schemas.FORECAST_KEYS, "left_anti")
+
+
+def q_forecast_month_upsert(spark, sf):
+    """The forecast stored in month folders; the upsert reads and writes the months that its rows fall into."""
+    cur, path = _curated(spark, sf), scratch_path(spark, "forecast-by-month")
+    forecast_months.upsert_months(spark, path, forecast.forecast_rows(cur, None, BASELINE))
+    forecast_months.upsert_months(spark, path, _newer(cur))
+    return forecast_months.read_months(spark, path)
+
+
+def q_forecast_migration(spark, sf):
+    """A stored forecast of the legacy schema (per batch) makes way for the first upsert."""
+    path = scratch_path(spark, "forecast-legacy")
+    old = _curated(spark, sf).select("batch_id", F.col("date").cast("string").alias("forecast_date"), F.col("units_sold").cast("double").alias("forecasted_sales"))
+    tables.write_table(old, path)
+    forecast_months.upsert_months(spark, path, _forecast(spark, sf))
+    return forecast_months.read_months(spark, path)
+
+
+def q_forecast_compact(spark, sf):
+    """steps counted over the days still to forecast, so the fitted trend and season start anew there."""
+    cur = _curated(spark, sf)
+    return _forecast(spark, sf, ForecastSettings(model="ets", step_mode="compact"), _done(cur), cur)
+
+
+def q_rejected_dates(spark, sf):
+    """How many date texts of the raw sales no format reads, so that no row goes unreported."""
+    return quality.rejected_dates({"sales": raw_sales_text(spark, sf)})
+
+
+def q_curated_bucketed(spark, sf):
+    """The curated inputs stored in buckets by batch; the whole chain then runs without an exchange."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = {}
+    for name, df in _domain(spark, sf).as_dict().items():
+        if "batch_id" in df.columns and name != "quality":
+            stored[name] = tables.write_bucketed(df, f"{name}_{uuid.uuid4().hex[:12]}", scratch_path(spark, f"bucketed-{name}"), ["batch_id"], buckets)
+    return curate.curated_sales(*(stored[n] for n in ("production", "inventory", "sales", "factory", "logistics")))
+
+
 def q_forecast_fallback(spark, sf):
     return forecast_store.fallback_window(_forecast(spark, sf), 30, FALLBACK_AS_OF)
 
@@ -430,39 +475,40 @@ def q_type_histogram_raw(spark, sf):
 
 
 # ------------------------------------------------------------ reports
-def _views(spark, sf, filters=DASHBOARD_FILTERS):
-    """Lazy views: each report's filters and columns reach the scans, and no job runs while it is built."""
-    d = _domain(spark, sf)
-    cur = curate.curated_from(d)
-    fc = forecast.forecast_rows(cur, None, BASELINE)
-    return d, cur, fc, reports.forecast_window(fc, filters), reports.apply_filters(cur, filters)
+def _stored_forecast(spark, sf):
+    """The forecast as reports read it: a written table, so that its first day does not run the chain again."""
+    path = scratch_path(spark, "forecast")
+    tables.write_table(_forecast(spark, sf), path)
+    return spark.read.parquet(path)
 
 
 def q_filtered_view(spark, sf):
-    sc = _views(spark, sf, FILTERED)[4]
+    sc = reports.apply_filters(_curated(spark, sf), FILTERED)
     return sc.select("batch_id", "product_id", "store_id", "date", "units_sold", "available_stock")
 
 
 def q_horizon(spark, sf):
-    return _views(spark, sf)[3]
+    return reports.forecast_window(_stored_forecast(spark, sf), DASHBOARD_FILTERS)
+
+
+def _summary(spark, sf):
+    return reports.summary_days(_curated(spark, sf), DASHBOARD_FILTERS, BASELINE)
 
 
 def q_kpi_overview(spark, sf):
-    _, _, _, fcw, sc = _views(spark, sf)
-    return reports.kpi_overview(fcw, sc)
+    return reports.summary_kpis(_summary(spark, sf), DASHBOARD_FILTERS.horizon_days)
 
 
 def q_forecast_daily(spark, sf):
-    return reports.forecast_daily(_views(spark, sf)[3])
+    return reports.summary_demand(_summary(spark, sf), DASHBOARD_FILTERS.horizon_days)
 
 
 def q_asof_stock(spark, sf):
-    return reports.asof_stock(_views(spark, sf)[4])
+    return reports.asof_stock(reports.apply_filters(_curated(spark, sf), DASHBOARD_FILTERS))
 
 
 def q_projected_stock(spark, sf):
-    _, _, _, fcw, sc = _views(spark, sf)
-    return reports.projected_stock(fcw, sc)
+    return reports.summary_stock(_summary(spark, sf), DASHBOARD_FILTERS.horizon_days)
 
 
 def q_batch_drilldown(spark, sf):
@@ -500,8 +546,7 @@ def q_risk_heatmap(spark, sf):
 
 
 def q_production_plan(spark, sf):
-    d, _, _, fcw, _ = _views(spark, sf)
-    return reports.production_plan(fcw, reports.product_map(curate.catalog(d.production)))
+    return reports.production_plan(q_horizon(spark, sf), reports.product_map(curate.catalog(_domain(spark, sf).production)))
 
 
 def q_kpi_sustainability(spark, sf):
@@ -522,10 +567,8 @@ def q_seeded_sample(spark, sf):
 
 # ------------------------------------------------------------ quality
 def _ops(spark, sf) -> dict[str, DataFrame]:
-    """The operational tables for the profiling checks, lazily: each check prunes them to its columns."""
-    d = _domain(spark, sf)
-    return {**{k: v for k, v in d.as_dict().items() if k != "product_catalog"},
-            "forecast": forecast.forecast_rows(curate.curated_from(d), None, BASELINE)}
+    """The operational tables for the profiling checks, lazily: each check prunes them to its columns; the forecast as stored."""
+    return {**{k: v for k, v in _domain(spark, sf).as_dict().items() if k != "product_catalog"}, "forecast": _stored_forecast(spark, sf)}
 
 
 def q_row_counts(spark, sf):
@@ -569,6 +612,24 @@ def q_quality_report(spark, sf):
     return quality.quality_report(_ops(spark, sf))
 
 
+def q_stored_statistics(spark, sf):
+    """The operational tables written, then asked for rows, days and last ids, which their footers answer."""
+    found = {}
+    for name, df in _domain(spark, sf).as_dict().items():
+        path = scratch_path(spark, f"stored-{name}")
+        tables.write_table(df, path)
+        found[name] = tables.stored_scan(spark, path)
+    return quality.stored_statistics(found)
+
+
+def q_inspection_samples(spark, sf):
+    """Head rows, odd dates and duplicated keys of the operational tables (the sample size is the feature)."""
+    raw = raw_sales_text(spark, sf).select(F.col("l_orderkey").alias("batch_id"), "sale_date", "units")
+    ops = {k: v for k, v in _domain(spark, sf).as_dict().items() if k != "product_catalog"}
+    return quality.inspection_samples(ops, SAMPLE_ROWS).unionByName(
+        quality.inspection_samples({"sales": raw}, SAMPLE_ROWS).withColumn("table_name", F.lit("raw_sales_text")))
+
+
 # ------------------------------------------------------------ streaming
 def q_stream_daily_sales(spark, sf):
     """M1: line items arrive in two loads, each read as a file stream, joined to the static orders and aggregated
@@ -714,4 +775,11 @@ QUERIES: dict[str, Query] = {
     # data quality
     "constraint_checks": q_constraint_checks,
     "quality_report": q_quality_report,
+    "stored_statistics": q_stored_statistics,
+    "inspection_samples": q_inspection_samples,
+    "rejected_dates": q_rejected_dates,
+    "forecast_month_upsert": q_forecast_month_upsert,
+    "forecast_migration": q_forecast_migration,
+    "forecast_compact": q_forecast_compact,
+    "curated_bucketed": q_curated_bucketed,
 }

@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # joins on (batch, product[, date]) may reuse a partitioning on a key subset
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # counts, minima and maxima of stored tables from the files' footers (V2 scans only, see sources.tables.stored_scan)
+    "spark.sql.parquet.aggregatePushdown": "true",
     # streaming state on local disk instead of the heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

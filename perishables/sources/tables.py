@@ -112,6 +112,20 @@ def read_curated(spark: SparkSession, path: str, date_from: dt.date | None = Non
     return df.drop("month")
 
 
+def stored_scan(spark: SparkSession, path: str) -> DataFrame:
+    """A stored Parquet table as a V2 scan: counts, minima and maxima of whole columns then come from the files' footers.
+
+    For such questions only; other readers keep the session's usual scan.
+    """
+    key = "spark.sql.sources.useV1SourceList"
+    old = spark.conf.get(key)
+    try:
+        spark.conf.set(key, ",".join(s for s in old.split(",") if s.strip() != "parquet"))
+        return spark.read.parquet(path)   # resolved here, under this setting
+    finally:
+        spark.conf.set(key, old)
+
+
 def write_table(df: DataFrame, path: str, *, mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> None:
     """Parquet sink; ``mode="append"`` adds a batch of rows."""
@@ -121,6 +135,17 @@ def write_table(df: DataFrame, path: str, *, mode: str = "overwrite",
     writer.parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
+    """A5: store a table dealt into ``buckets`` by ``keys`` and sorted in them, as the catalog's table ``name``; returns its scan.
+
+    Tables with as many buckets by the same keys join and group on them (or on more columns) without an exchange, each time they are
+    read.  A bucket is one task, which nothing can split: for keys that may hold a large share of the rows keep plain tables, whose
+    joins AQE splits.
+    """
+    df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_curated_sales(curated: DataFrame, path: str) -> None:
     """Curated sales partitioned by month, so that ``read_curated`` with date bounds prunes whole folders.
 
@@ -151,5 +176,13 @@ class OperationalTables:
             setattr(self, name, load_table(spark, f"{self.root}/{name}", name,
                                           optional=name not in self.CORE))
 
+    def stored_rows(self, name: str) -> DataFrame | None:
+        """The rows under canonical names, before their values are coerced; None where the table is not stored."""
+        path = f"{self.root}/{name}"
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+            return None
+        return canonical_names(self.spark.read.parquet(path), name)
+
     def as_dict(self) -> dict[str, DataFrame]:
         return {k: getattr(self, k) for k in self.NAMES}
