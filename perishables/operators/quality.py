@@ -1,9 +1,9 @@
 """Data-quality checks (L3-L9): counts, value types, date ranges, key duplicates,
 join health, orphans and declared constraints, as distributed aggregations.
 
-Join health and orphan counts never materialise the joined rows: each side is
-first reduced to one row per key with a count (map-side partial aggregation),
-so a hot key costs one row, and the fan-out is ``sum(left.n * right.n)``.
+Join health and orphan counts never join: the keys of all sides go through one
+grouping (map-side partial aggregation), so a hot key costs one row, and the
+fan-out is ``sum(left.n * right.n)``.
 """
 
 from __future__ import annotations
@@ -167,20 +167,40 @@ def pk_duplicate_summary(tables: Mapping[str, DataFrame],
                                        F.sum("n").alias("duplicate_rows"))
 
 
-def _key_counts(df: DataFrame, keys: list[str] = BATCH) -> DataFrame:
-    return df.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+def relationship_counts(inventory: DataFrame, sales: DataFrame, factory: DataFrame, logistics: DataFrame) -> DataFrame:
+    """Rows of each table per (batch, product): ``inventory, sales, factory, logistics``.
+
+    The four tables' keys go through one grouping instead of a join for every check: a task hands on one row per key and table, and
+    a hot key costs one row.  A row whose key holds a null matches nothing, so it counts under no inventory row.
+    """
+    sides = {"inventory": inventory, "sales": sales, "factory": factory, "logistics": logistics}
+    keys = _union([df.select(*BATCH, F.lit(name).alias("side")) for name, df in sides.items()])
+    whole = F.col(BATCH[0]).isNotNull() & F.col(BATCH[1]).isNotNull()
+    counts = [F.count_if(F.col("side") == name).alias(name) for name in sides]
+    return keys.groupBy(*BATCH).agg(*counts).withColumn("inventory", F.when(whole, F.col("inventory")).otherwise(F.lit(0).cast("bigint")))
+
+
+def _long(one: DataFrame) -> DataFrame:
+    """The single row's columns as rows (check_name, n)."""
+    return one.select(F.explode(F.array(*(F.struct(F.lit(c).alias("check_name"), F.col(c).alias("n")) for c in one.columns))).alias("c")) \
+        .select("c.check_name", "c.n")
+
+
+def _total(x: Column, name: str) -> Column:
+    return F.coalesce(F.sum(x), F.lit(0)).cast("bigint").alias(name)
+
+
+def _joined() -> list[Column]:
+    return [_total(F.col("inventory") * F.col(t), f"inventory_{t}") for t in ("sales", "factory", "logistics")]
+
+
+def _orphaned() -> list[Column]:
+    return [_total(F.when(F.col("inventory") == 0, F.col(t)), f"{t}_without_inventory") for t in ("sales", "factory", "logistics")]
 
 
 def join_health(inventory: DataFrame, sales: DataFrame, factory: DataFrame, logistics: DataFrame) -> DataFrame:
     """Inner-join row counts of inventory with sales, factory and logistics on (batch, product)."""
-    inv = _key_counts(inventory).withColumnRenamed("n", "n_inv")
-    frames = []
-    for label, other in (("inventory_sales", sales), ("inventory_factory", factory),
-                         ("inventory_logistics", logistics)):
-        j = inv.join(_key_counts(other), BATCH, "inner")
-        frames.append(j.agg(F.coalesce(F.sum(F.col("n_inv") * F.col("n")), F.lit(0)).cast("bigint").alias("n"))
-                      .select(F.lit(label).alias("check_name"), "n"))
-    return _union(frames)
+    return _long(relationship_counts(inventory, sales, factory, logistics).agg(*_joined()))
 
 
 def orphan_checks(inventory: DataFrame, sales: DataFrame, factory: DataFrame, logistics: DataFrame) -> DataFrame:
@@ -188,15 +208,7 @@ def orphan_checks(inventory: DataFrame, sales: DataFrame, factory: DataFrame, lo
 
     A null key never matches, so such rows count as orphans (LEFT JOIN ... IS NULL).
     """
-    inv = inventory.select(*BATCH).dropna().distinct()
-    frames = []
-    for label, other in (("sales_without_inventory", sales), ("factory_without_inventory", factory),
-                         ("logistics_without_inventory", logistics)):
-        counts = other.select(*BATCH).groupBy(*BATCH).agg(F.count(F.lit(1)).alias("n"))
-        orphans = counts.join(inv, BATCH, "left_anti")
-        frames.append(orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n"))
-                      .select(F.lit(label).alias("check_name"), "n"))
-    return _union(frames)
+    return _long(relationship_counts(inventory, sales, factory, logistics).agg(*_orphaned()))
 
 
 def constraint_checks(quality: DataFrame, production: DataFrame) -> DataFrame:
@@ -298,11 +310,11 @@ def table_profile(df: DataFrame, name: str, type_columns: list[str], date_column
     return out.filter((F.col("check_name") != "value_type") | (F.col("value") != "0"))
 
 
-def quality_report(tables: Mapping[str, DataFrame], samples: int = 0) -> DataFrame:
+def quality_report(tables: Mapping[str, DataFrame], samples: int = 0, related: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Every check in one long table (check, table, column, item, value as text), with ``samples`` rows of each kind where asked for.
 
-    Profiling is one aggregation per table (see ``table_profile``); key
-    duplicates, join health, orphans and constraints follow.
+    Profiling is one aggregation per table (see ``table_profile``); key duplicates and constraints follow, and join health and orphans
+    in one grouping (``related``: other tables for those two).
     """
     def long(df: DataFrame, check: str, item: str, value: str) -> DataFrame:
         return df.select(F.lit(check).alias("check_name"),
@@ -317,11 +329,13 @@ def quality_report(tables: Mapping[str, DataFrame], samples: int = 0) -> DataFra
     parts = [table_profile(df, name, schemas.TYPE_CHECK_COLUMNS.get(name, []), schemas.DATE_COLUMNS.get(name))
              for name, df in ops.items()]
     parts.append(long(pk_duplicate_summary(ops), "duplicate_keys", "", "duplicate_keys"))
-    if {"inventory", "sales", "factory", "logistics"} <= set(t):
-        parts.append(long(join_health(t["inventory"], t["sales"], t["factory"], t["logistics"]),
-                          "join_rows", "check_name", "n"))
-        parts.append(long(orphan_checks(t["inventory"], t["sales"], t["factory"], t["logistics"]),
-                          "orphan_rows", "check_name", "n"))
+    if related is not None or {"inventory", "sales", "factory", "logistics"} <= set(t):
+        r = related or t
+        both = _long(relationship_counts(r["inventory"], r["sales"], r["factory"], r["logistics"]).agg(*_joined(), *_orphaned()))
+        orphaned = F.col("check_name").endswith("_without_inventory")
+        parts.append(both.select(F.when(orphaned, F.lit("orphan_rows")).otherwise(F.lit("join_rows")).alias("check_name"),
+                                 F.lit(None).cast("string").alias("table_name"), F.lit(None).cast("string").alias("column_name"),
+                                 F.col("check_name").alias("item"), F.col("n").cast("string").alias("value")))
     if {"quality", "production"} <= set(t):
         parts.append(long(constraint_checks(t["quality"], t["production"]), "constraint", "rule", "n_violations"))
     if samples:

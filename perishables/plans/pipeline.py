@@ -45,7 +45,7 @@ def run_etl(domain, paths: PipelinePaths) -> tuple[DataFrame, DataFrame]:
     spark = domain.production.sparkSession
     tables.write_table(curate.catalog(domain.production), paths.catalog)
     tables.write_curated_sales(curate.curated_from(domain), paths.curated)
-    return tables.read_curated(spark, paths.catalog), tables.read_curated(spark, paths.curated).drop("month")
+    return spark.read.parquet(paths.catalog), tables.read_curated(spark, paths.curated)
 
 
 def run_forecast(spark: SparkSession, curated: DataFrame, paths: PipelinePaths,

@@ -266,7 +266,7 @@ def q_curated_bucketed(spark, sf):
 
 
 def q_forecast_fallback(spark, sf):
-    return forecast_store.fallback_window(_forecast(spark, sf), 30, FALLBACK_AS_OF)
+    return forecast_store.fallback_window(_stored_forecast(spark, sf), 30, FALLBACK_AS_OF)
 
 
 def _loaded_and_new(spark, sf):
@@ -568,7 +568,7 @@ def q_seeded_sample(spark, sf):
 # ------------------------------------------------------------ quality
 def _ops(spark, sf) -> dict[str, DataFrame]:
     """The operational tables for the profiling checks, lazily: each check prunes them to its columns; the forecast as stored."""
-    return {**{k: v for k, v in _domain(spark, sf).as_dict().items() if k != "product_catalog"}, "forecast": _stored_forecast(spark, sf)}
+    return {**{k: v for k, v in _domain(spark, sf).whole().items() if k != "product_catalog"}, "forecast": _stored_forecast(spark, sf)}
 
 
 def q_row_counts(spark, sf):
@@ -609,13 +609,13 @@ def q_constraint_checks(spark, sf):
 
 
 def q_quality_report(spark, sf):
-    return quality.quality_report(_ops(spark, sf))
+    return quality.quality_report(_ops(spark, sf), related=_domain(spark, sf).as_dict())
 
 
 def q_stored_statistics(spark, sf):
     """The operational tables written, then asked for rows, days and last ids, which their footers answer."""
     found = {}
-    for name, df in _domain(spark, sf).as_dict().items():
+    for name, df in _domain(spark, sf).whole().items():
         path = scratch_path(spark, f"stored-{name}")
         tables.write_table(df, path)
         found[name] = tables.stored_scan(spark, path)
@@ -625,7 +625,7 @@ def q_stored_statistics(spark, sf):
 def q_inspection_samples(spark, sf):
     """Head rows, odd dates and duplicated keys of the operational tables (the sample size is the feature)."""
     raw = raw_sales_text(spark, sf).select(F.col("l_orderkey").alias("batch_id"), "sale_date", "units")
-    ops = {k: v for k, v in _domain(spark, sf).as_dict().items() if k != "product_catalog"}
+    ops = {k: v for k, v in _domain(spark, sf).whole().items() if k != "product_catalog"}
     return quality.inspection_samples(ops, SAMPLE_ROWS).unionByName(
         quality.inspection_samples({"sales": raw}, SAMPLE_ROWS).withColumn("table_name", F.lit("raw_sales_text")))
 

@@ -2,10 +2,10 @@
 
 One batch is one order; a sale is a line item.  The mapping (see FIXTURES.md)
 only projects and joins the provided tables, so every derived table grows with
-them.  Filters such as ``o_orderkey % 17 <> 0`` are part of the fixture design:
-they leave some batches without a quality/inventory/factory row, which is how
-orphan checks, null stock and missing capacity get exercised.  They are not
-samples — every source row is read.
+them.  The holes of ``inventory`` and ``factory`` (batches without such a row) are
+part of the fixture design for joins, lookups and orphan checks: they are how
+orphans, null stock and missing capacity get exercised.  ``whole`` has the tables
+without holes, for checks of single tables.
 
 Each view is one projection written as Spark SQL expressions that already
 produce the canonical schema (``schemas.py``) with explicit casts.  Derived
@@ -92,12 +92,13 @@ def quality_raw(orders: DataFrame) -> DataFrame:
     return _typed(orders.selectExpr(*QUALITY), schemas.QUALITY)
 
 
-def inventory(orders: DataFrame) -> DataFrame:
-    return _typed(orders.filter("o_orderkey % 20 <> 0").selectExpr(*INVENTORY), schemas.INVENTORY)
+def inventory(orders: DataFrame, holes: bool = True) -> DataFrame:
+    """Inventory of every batch, or with holes for what handles batches without one (joins, orphans, lookups)."""
+    return _typed((orders.filter("o_orderkey % 20 <> 0") if holes else orders).selectExpr(*INVENTORY), schemas.INVENTORY)
 
 
-def factory(orders: DataFrame) -> DataFrame:
-    return _typed(orders.filter("o_orderkey % 13 <> 0").selectExpr(*FACTORY), schemas.FACTORY)
+def factory(orders: DataFrame, holes: bool = True) -> DataFrame:
+    return _typed((orders.filter("o_orderkey % 13 <> 0") if holes else orders).selectExpr(*FACTORY), schemas.FACTORY)
 
 
 def _line_orders(lineitem: DataFrame, orders: DataFrame, line_filter: str | None = None) -> DataFrame:
@@ -177,6 +178,10 @@ class DomainTables:
     def as_dict(self) -> dict[str, DataFrame]:
         return {k: getattr(self, k) for k in self.NAMES}
 
+    def whole(self) -> dict[str, DataFrame]:
+        """The tables without holes, for checks that look at one table at a time."""
+        return {**self.as_dict(), "inventory": inventory(self.orders, holes=False), "factory": factory(self.orders, holes=False)}
+
 
 def load_domain(spark: SparkSession, sf_dir: str) -> DomainTables:
     """Domain tables over ``<sf_dir>/{orders,lineitem}.parquet``."""

@@ -55,13 +55,14 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
 def load_table(spark: SparkSession, path: str, table: str, *, optional: bool = False) -> DataFrame:
     """A1: scan a parquet table, map its names (see ``canonical_names``), conform to its canonical schema.
 
-    A missing dataset raises unless ``optional``; then a typed empty frame is returned.
+    A missing dataset raises unless ``optional``; then a typed empty frame is returned.  Anything else that
+    is wrong with it (rights, broken files) raises in any case.
     """
     schema = schemas.TABLES[table]
     try:
         raw = spark.read.parquet(path)
-    except AnalysisException:
-        if not optional:
+    except AnalysisException as missing:
+        if not optional or missing.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty_frame(spark, schema)
     return conform(canonical_names(raw, table), schema)
