@@ -825,6 +825,8 @@ FROM j_inventory"""
     q["forecast_migration"] = fc_sql("SELECT * FROM fc")
     q["forecast_month_upsert"] = q["forecast_upsert"]
     q["curated_bucketed"] = with_ctes(["curated"], "SELECT * FROM curated")
+    unknown = [("unknown", "SELECT * REPLACE (CASE WHEN sale_hour % 4 <> 1 THEN store_id END AS store_id) FROM sales")]
+    q["daily_sales_null_store"] = with_ctes(["sales"], re.sub(r"FROM sales\b", "FROM unknown", VIEWS["daily_sales"]), unknown)
     q["rejected_dates"] = with_ctes(["raw_sales_text", "parsed_raw"], """SELECT 'sales' AS table_name, 'sale_date' AS column_name, n_values,
   n_values - n_read AS n_rejected FROM (SELECT count(sale_date) AS n_values FROM raw_sales_text), (SELECT count(sale_date) AS n_read FROM parsed_raw)""")
     q["holt_winters_fixed"] = _holt_winters_fixed()
