@@ -184,12 +184,13 @@ def rules() -> tuple[Rule, ...]:
     for label in labels:
         name = SPDX.get(label, label.replace("-", " ").replace(".", " "))
         found.append(("spdx", f"spdx license identifier {name}", label, SPDX_RANK, False))
+    # a grant is one rule for each name: any of the phrases, then the name
     for label, keyword, names in FAMILIES:
-        for name in names:
-            found.extend((keyword, f"{grant} {name}", label, GRANT_RANK, False) for grant in GRANTS)
+        found.extend((keyword, name, label, GRANT_RANK, False) for name in names)
     for label, keyword, words in PASSAGES:
         found.append((keyword, words, label, WEAK_RANK if label in WEAK else PASSAGE_RANK, False))
     for label, keyword, names in FAMILIES:
         found.extend((keyword, name, label, NAME_RANK, False) for name in names)
-    return tuple(Rule(i, keyword, signature(words), label, *rank, base)
+    grants = f"(?:{'|'.join(map(signature, GRANTS))})"
+    return tuple(Rule(i, keyword, (grants if rank == GRANT_RANK else "") + signature(words), label, *rank, base)
                  for i, (keyword, words, label, rank, base) in enumerate(found))
