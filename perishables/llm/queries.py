@@ -70,7 +70,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.archive_pages(table(spark, sf_dir, "pages"))
-    return warc.read_warc(spark, manifest, payloads=False).select(
+    return warc.read_whole(spark, manifest, payloads=False).select(
         F.col("record_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("bigint").alias("refers_to"))
 

@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from perishables.llm.common import small_batches, store
 from perishables.session import scratch_path
 
+SMALL_STEP = 16       # bytes inflated at a time of a member that is damaged
+DAMAGED = "damaged"   # type of the row that stands for a member that isn't whole
 MIN_REVISIT = 100
 FILE_BYTES = 1 << 30     # a task goes on in a new file beyond this
 SPLIT_BYTES = 16 << 20   # bytes of a reading task's range
@@ -149,10 +151,12 @@ def write_warc(records: DataFrame, folder: str) -> DataFrame:
 
 # --------------------------------------------------------------------- reading
 class RangeReader:
-    """Records that start in [start, stop) of an open archive."""
+    """Records that start in [start, stop) of an open archive; ``damaged`` takes the places of members that begin as one
+    but aren't whole."""
 
     def __init__(self, source, start: int, stop: int) -> None:
         self.source, self.at, self.stop = source, start, stop
+        self.damaged: list[int] = []
 
     def _read(self, at: int, size: int) -> bytes:
         self.source.seek(at)
@@ -168,9 +172,10 @@ class RangeReader:
             self.at += max(1, len(block) - len(MAGIC) + 1)
         return None
 
-    def _is_record(self, at: int) -> bool:
-        """Whether what inflates from here begins with a WARC header, however long."""
-        head, inflate, data = bytearray(), zlib.decompressobj(31), b""
+    def _is_record(self, at: int, step: int = HEAD_BYTES) -> bool:
+        """Whether what inflates from here begins with a WARC header, however long.  ``step`` bytes are inflated at a time; what
+        fails is looked at again in small steps, as damage behind the header, in the checksum say, hides it in a large one."""
+        head, inflate, data, first = bytearray(), zlib.decompressobj(31), b"", at
         while not inflate.eof:
             if not data:
                 data = self._read(at, HEAD_BYTES)
@@ -178,9 +183,9 @@ class RangeReader:
                 if not data:
                     return False
             try:
-                piece = inflate.decompress(data, HEAD_BYTES)
+                piece = inflate.decompress(data, step)
             except zlib.error:
-                return False
+                return step > SMALL_STEP and self._is_record(first, SMALL_STEP)
             data, seen = inflate.unconsumed_tail, max(0, len(head) - 3)
             head += piece
             if not b"WARC/1.".startswith(head[:7]):
@@ -213,12 +218,15 @@ class RangeReader:
                 if record:
                     self.at = end
                     yield at, record
+                else:
+                    self.damaged.append(at)
 
 
-def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True) -> DataFrame:
+def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True, damaged: bool = False) -> DataFrame:
     """Records of the archives in ``files(file, bytes)``; ``payload_bytes`` and ``payload_digest`` are of the full
     payload: measured for responses, as their heads say for revisits.  ``payload`` is null for revisits,
-    and everywhere without ``payloads``."""
+    and everywhere without ``payloads``.  With ``damaged`` there is also a row of type ``damaged``, with its place only, for
+    each member that begins as a record but isn't whole; without, such members are left out."""
     small_batches(spark)
     # a number of its own, as ranges of few bytes of plan each hold much work
     total = files.agg(F.sum("bytes")).first()[0] or 0
@@ -248,18 +256,35 @@ def read_warc(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BY
                 system, path = _open(split["file"])
                 rows, held = [], 0
                 with system.open_input_file(path) as source:
-                    for start, record in RangeReader(source, split["start"], split["stop"]):
+                    reader = RangeReader(source, split["start"], split["stop"])
+                    for start, record in reader:
                         rows.append(row(split["file"], start, record))
                         held += len(rows[-1]["payload"] or b"")
                         if len(rows) >= 256 or held >= 16 * READ_BYTES:
                             yield pa.RecordBatch.from_pylist(rows, schema=schema)
                             rows, held = [], 0
+                if damaged:
+                    rows += [dict.fromkeys(schema.names) | {"file": split["file"], "start": at, "record_type": DAMAGED} for at in reader.damaged]
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return dealt.mapInArrow(step, RECORD)
 
 
 # -------------------------------------------------------------------- operator
+def read_whole(spark: SparkSession, manifest: DataFrame, payloads: bool = True) -> DataFrame:
+    """The records that ``manifest(file, bytes, records)`` promises; an error if one of them is damaged or missing.
+
+    They are written once, so that what is returned is what was counted.
+    """
+    rows = store(read_warc(spark, manifest, payloads=payloads, damaged=True), "warc-records")
+    by_file = rows.groupBy("file").agg(F.count_if(F.col("record_type") != DAMAGED).alias("found"), F.count_if(F.col("record_type") == DAMAGED).alias("broken"))
+    wrong = manifest.join(by_file, "file", "left").filter((F.coalesce("found", F.lit(0)) != F.col("records")) | (F.coalesce("broken", F.lit(0)) > 0)) \
+        .agg(F.count(F.lit(1)).alias("files"), F.sum(F.col("records") - F.coalesce("found", F.lit(0))).alias("lost"), F.sum("broken").alias("broken")).first()
+    if wrong["files"]:
+        raise ValueError(f"{wrong['files']} archive files differ from their manifest: {wrong['lost']} records lost, {wrong['broken'] or 0} damaged")
+    return rows
+
+
 def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
     """What to write for each page: the record with its payload digest, and what it revisits."""
     payload = F.coalesce(F.col(f"`{payload_col}`").cast("string").cast("binary"), F.lit(b""))

@@ -93,3 +93,28 @@ def test_headers_of_any_length(spark):
     assert len(got) == sum(r["records"] for r in manifest.collect()) == len(rows)
     assert {(r["record_id"], r["url"]) for r in got} == {(str(i), u.replace(" ", "%20")) for i, u, _ in rows}
     assert {r["record_id"] for r in got if r["record_type"] == "response"} >= {r["refers_to"] for r in got if r["refers_to"]} == {"0"}
+
+
+def test_damage_is_told_and_fails_the_whole(spark, tmp_path):
+    manifest = W.archive_pages(pages(spark).coalesce(1))
+    assert W.read_whole(spark, manifest).count() == len(ROWS)
+    row = manifest.first()
+    path = row["file"].removeprefix("file:").replace("///", "/")
+    with open(path, "rb") as f:
+        raw = bytearray(f.read())
+    places = [at for at, _ in W.RangeReader(io.BytesIO(bytes(raw)), 0, len(raw))]
+    raw[places[3] - 5] ^= 1                                            # the checksum of the third member
+    broken = tmp_path / "broken.warc.gz"
+    broken.write_bytes(raw)
+    files = spark.createDataFrame([(str(broken), len(raw), row["records"])], W.MANIFEST)
+    rows = W.read_warc(spark, files, 1000, damaged=True).collect()
+    assert [(r["start"], r["record_id"]) for r in rows if r["record_type"] == W.DAMAGED] == [(places[2], None)]
+    assert len(rows) == len(ROWS) and W.read_warc(spark, files, 1000).count() == len(ROWS) - 1
+    with pytest.raises(ValueError, match="1 records lost, 1 damaged"):
+        W.read_whole(spark, files)
+    # a file cut short, and one that is not read at all
+    cut = tmp_path / "cut.warc.gz"
+    cut.write_bytes(bytes(raw[:places[2]]))
+    with pytest.raises(ValueError, match="records lost, 0 damaged"):
+        W.read_whole(spark, spark.createDataFrame([(str(cut), places[2], row["records"])], W.MANIFEST))
+    assert W.read_whole(spark, W.archive_pages(pages(spark).limit(0))).count() == 0
