@@ -83,11 +83,14 @@ class CodeModel:
 
     @classmethod
     def fit(cls, counts: np.ndarray, names: list[str], steps: int = 150, rate: float = 0.5, decay: float = 1e-5) -> CodeModel:
+        """``counts`` of 32-bit floats become the features where they are, so that there is one such matrix."""
         languages = sorted(set(names))
         words = codewords(len(languages))
         place = {name: k for k, name in enumerate(languages)}
         which = np.array([place[name] for name in names], int)
-        x = _features(counts)
+        x = np.asarray(counts, np.float32)
+        x /= np.maximum(x.sum(axis=-1, keepdims=True), 1)
+        np.sqrt(x, out=x)
         y = (words[which] > 0).astype(np.float32)
         share = np.bincount(which, minlength=len(languages))
         weight = (1.0 / np.maximum(share, 1))[which][:, None].astype(np.float32)  # each language counts alike
@@ -130,8 +133,12 @@ class CodeModel:
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_language: int = 500, max_rows: int = 100_000) -> CodeModel:
-    """A model from the bounded sample of ``labelled``; trigram counts are taken in the tasks."""
+          per_language: int = 500, max_rows: int = 30_000) -> CodeModel:
+    """A model from the bounded sample of ``labelled``; trigram counts are taken in the tasks.
+
+    The driver gets sparse counts and holds one matrix of ``max_rows`` rows (1 GB at most; one row of each
+    language where there are more languages than that).  A text under two languages is learned from as each of them.
+    """
     spark = labelled.sparkSession
     small_batches(spark)
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(

@@ -76,3 +76,18 @@ def test_rows_without_ids_are_learned_from_and_bounded(spark, monkeypatch):
     monkeypatch.setattr(L.CodeModel, "fit", classmethod(lambda cls, counts, names: learned.append(names)))
     L.train(table, per_language=20)
     assert {lang: learned[0].count(lang) for lang in set(learned[0])} == {"en": 20, "de": 1, "fr": 9}
+
+
+def test_one_matrix_of_the_sample_is_held():
+    counts = np.array([L.trigrams(t) for t in ("some words of a text", "日本語", "aaa " * 500)], np.float32)
+    want = L._features(counts)
+    L.CodeModel.fit(counts, ["a", "b", "c"])
+    assert np.array_equal(counts, want)   # turned into features in place
+
+
+def test_a_text_under_two_languages_is_learned_as_both(spark, monkeypatch):
+    rows = [(i, "the and of to in that it is", "en") for i in range(3)] + [(9, "both of them", "en"), (9, "both of them", "de"), (9, "both of them", "de")]
+    learned = []
+    monkeypatch.setattr(L.CodeModel, "fit", classmethod(lambda cls, counts, names: learned.append(names)))
+    L.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(learned[0]) == ["de", "en", "en", "en", "en"]
