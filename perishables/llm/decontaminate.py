@@ -6,8 +6,9 @@ match that ends at each word say which item windows occur there.  A window is
 ``window`` consecutive words of one item; an item of fewer words (but at least one)
 is a single window.
 
-Items are dealt to shards of at most ``max_words`` words.  One shard's automaton is
-built on the driver and broadcast, so its size is bounded by that parameter; with more
+Items are cut into overlapping pieces of at most an eighth of ``max_words`` words (two windows, where that is more), and the
+pieces dealt by hash to shards of about ``max_words`` words.  One shard's automaton is built on the driver and
+broadcast, so its size is bounded by that parameter, however long an item; with more
 shards the documents pass them one after the other, with a written table in between.
 
 Defined cases: a null text has no words; a null item text has no window; an item
@@ -28,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from perishables.llm.common import plain_words, small_batches, store, utf8, with_text
+from perishables.llm.common import plain_words, small_batches, store, with_text
 
+ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType())]))
 SPAN_ARROW = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
@@ -154,15 +156,25 @@ def _merged(a: list[list[int]], b: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _shards(items: DataFrame, id_col: str, text_col: str, max_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+def _pieces(items: DataFrame, id_col: str, text_col: str, window: int, max_words: int) -> DataFrame:
+    """``(item, words)``: items of more than an eighth of ``max_words`` words in pieces that overlap by ``window`` - 1 words, so
+    that each window of an item stands in exactly one piece."""
+    most = max(2 * window, max_words // 8)
+    words = F.regexp_extract_all(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")), F.lit(ANY_WORD), F.lit(0))
+    starts = F.when(F.size("words") > most, F.sequence(F.lit(1), F.size("words") - window + 1, F.lit(most - window + 1))) \
+        .otherwise(F.array(F.lit(1)))
+    return items.select(F.col(f"`{id_col}`").cast("string").alias("item"), words.alias("words")).filter(F.size("words") > 0) \
+        .select("item", F.explode(F.transform(starts, lambda at: F.slice("words", at, F.lit(most)))).alias("words"))
+
+
+def _shards(items: DataFrame, id_col: str, text_col: str, window: int, max_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """The items in lists of about ``max_words`` words; only one list is on the driver at a time."""
-    slim = items.select(F.col(f"`{id_col}`").cast("string").alias("item"), utf8(text_col).alias("raw"))
-    size = slim.agg(F.sum(F.octet_length("raw"))).first()[0] or 0
-    shards = max(1, -(-size // (6 * max_words)))
-    dealt = slim.withColumn("shard", F.pmod(F.xxhash64("item", "raw"), F.lit(shards)))
+    slim = store(_pieces(items, id_col, text_col, window, max_words).distinct(), "decontaminate-items")
+    size = slim.agg(F.sum(F.size("words"))).first()[0] or 0
+    shards = max(1, -(-size // max_words))
+    dealt = slim.withColumn("shard", F.pmod(F.xxhash64("item", "words"), F.lit(shards)))
     for shard in range(shards):
-        yield [(row["item"], plain_words(row["raw"] and bytes(row["raw"])))
-               for row in dealt.filter(F.col("shard") == shard).distinct().collect()]
+        yield [(row["item"], plain_words(" ".join(row["words"]).encode())) for row in dealt.filter(F.col("shard") == shard).collect()]
 
 
 def match_items(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text",
@@ -177,7 +189,7 @@ def match_items(docs: DataFrame, items: DataFrame, window: int = 10, text_col: s
     out = docs.select(*(F.col(f"`{c}`") for c in kept))
     schema = T.StructType([*out.schema.fields, T.StructField("n_words", T.LongType()),
                            T.StructField("spans", SPAN), T.StructField("items", T.ArrayType(T.StringType()))])
-    for number, shard in enumerate(_shards(items, item_id, item_text, max_words)):
+    for number, shard in enumerate(_shards(items, item_id, item_text, window, max_words)):
         automaton = spark.sparkContext.broadcast(
             ([item for item, _ in shard], ItemAutomaton([words for _, words in shard], window)))
 

@@ -38,6 +38,19 @@ def test_random_texts_against_every_window(spark):
             assert (r["n_words"], r["n"], r["items"]) == plain(r["text"], items, 3)
 
 
+def test_an_item_longer_than_a_shard_is_cut_between_windows(spark):
+    rng = random.Random(9)
+    items = [(1, " ".join(rng.choices("abcdefgh", k=400))), (2, " ".join(rng.choices("abcdefgh", k=61))), (3, "a b")]
+    words = items[0][1].split()
+    texts = [(i, " ".join(["x", *words[i:i + rng.randrange(2, 12)], "y"])) for i in range(0, 396, 3)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    shards = list(D._shards(table, "item_id", "text", 4, 80))
+    assert len(shards) > 5 and max(len(own) for shard in shards for _, own in shard) <= 10
+    for r in D.match_items(cases.docs(spark, texts[::4]), table, window=4, max_words=160) \
+            .select("doc_id", "text", "n_words", D.hit_words().alias("n"), "items").collect():
+        assert (r["n_words"], r["n"], r["items"]) == plain(r["text"], items, 4)
+
+
 def test_odd_cases(spark):
     items = spark.createDataFrame([(1, cases.SENTENCE), (2, "mit license"), (None, "another text under id three"), (3, None), (4, "")],
                                   "item_id long, text string")
