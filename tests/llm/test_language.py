@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 
@@ -27,6 +29,39 @@ def test_a_wrong_bit_is_corrected():
         assert model.predict(["text"], 1.0)["lang_pred"].tolist() == ["d"]
 
 
+def plain_decoding(model, text, margin):
+    """Language, score and ambiguity by loops over the model's codewords and bits."""
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0, False
+    counts: dict[int, int] = {}
+    raw = "  ".encode() + "".join(c if not c.isascii() or c.isalpha() else " " for c in text.lower()).encode() + b" "
+    for a, b, c in zip(raw, raw[1:], raw[2:]):
+        bucket = ((a << 16 | b << 8 | c) * 2654435761 % 2**32) >> (32 - L.BUCKETS_LOG2)
+        counts[bucket] = counts.get(bucket, 0) + 1
+    total = sum(counts.values())
+    losses = []
+    for k in range(len(model.languages)):
+        loss = 0.0
+        for bit in range(model.words.shape[1]):
+            value = model.bias[bit] + sum((n / total) ** 0.5 * model.weights[bucket, bit] for bucket, n in counts.items())
+            loss += model.trust[k, bit] * math.log1p(math.exp(-model.words[k, bit] * value))
+        losses.append(loss)
+    best = min(range(len(losses)), key=losses.__getitem__)
+    score = 1 / sum(math.exp(losses[best] - loss) for loss in losses)
+    return model.languages[best], score, len(losses) > 1 and sorted(losses)[1] - losses[best] < margin
+
+
+def test_loss_weighted_decoding_against_loops(spark):
+    learned = table(spark, SF_SMALL, "documents").filter("doc_id % 2 = 0")
+    model = L.train(learned, per_language=40)
+    texts = [r["text"] for r in table(spark, SF_SMALL, "documents").filter("doc_id % 2 = 1").limit(40).collect()]
+    texts += ["", None, "12 34", "a", "the der and und of die", "日本語のテキスト", texts[0][:40] + texts[1][:40]]
+    got = model.predict(texts, 1.0)
+    for text, name, score, unsure in zip(texts, got["lang_pred"], got["score"], got["ambiguous"]):
+        want = plain_decoding(model, text, 1.0)
+        assert (name, bool(unsure)) == (want[0], want[2]) and score == pytest.approx(want[1], abs=1e-4)
+
+
 def test_held_out_texts(spark):
     sf = SF_SMALL.replace("0.001", "0.01")
     lang = {r["doc_id"]: r["lang"] for r in table(spark, sf, "documents").select("doc_id", "lang").collect()}
