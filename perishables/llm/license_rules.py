@@ -146,6 +146,144 @@ PASSAGES = (
     ("license-reference", "licensed", "licensed under"),
     ("license-reference", "agreement", "licen[cs]e agreement"),
     ("license-reference", "terms", "under the terms of the license"),
+    ("mit", "sublicense", "rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "substantial", "this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "dealings", "arising from out of or in connection with the software or the use or other dealings in the software"),
+    ("mit", "holders", "in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("x11", "advertising", "shall not be used in advertising or otherwise to promote the sale use or other dealings in this software"),
+    ("bsd-3-clause", "neither", "neither the name of the? copyright? holder|owner|organization|university|company? nor the names of its contributors may be used"),
+    ("bsd-3-clause", "endorse", "the name of the author may not be used to endorse or promote products"),
+    ("bsd", "disclaimed", "warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("bsd", "exemplary", "be liable for any direct indirect incidental special exemplary or consequential damages"),
+    ("bsd", "procurement", "procurement of substitute goods or services loss of use data or profits or business interruption"),
+    ("bsd-2-clause", "conclusions", "the views and conclusions contained in the software and documentation are those of the authors"),
+    ("bsd-3-clause-clear", "patent", "no express or implied licenses to any party s patent rights are granted by this license"),
+    ("isc", "disclaims", "the software is provided as is and the author disclaims all warranties with regard to this software"),
+    ("isc", "tortious", "whether in an action of contract negligence or other tortious action"),
+    ("hpnd", "representations", "makes|make no representations about the suitability of this software for any purpose"),
+    ("apache-2.0", "irrevocable", "perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce"),
+    ("apache-2.0", "irrevocable", "royalty free irrevocable except as stated in this section patent license"),
+    ("apache-2.0", "recipients", "you must give any other recipients of the work or derivative works a copy of this license"),
+    ("apache-2.0", "governing", "see the license for the specific language governing permissions and limitations under the license"),
+    ("apache-2.0", "contributor", "licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("apache-1.1", "endorse", "the names apache and apache software foundation must not be used to endorse"),
+    ("or-later", "later", "either version [1-3] 0|1? of the license or at your option any later version"),
+    ("gpl", "hope", "this program is distributed in the hope that it will be useful"),
+    ("lgpl", "hope", "this library is distributed in the hope that it will be useful"),
+    ("gpl", "freedom", "when we speak of free software we are referring to freedom not price"),
+    ("gpl-2.0", "freedom", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-2.0", "prominent", "you must cause the modified files to carry prominent notices stating that you changed the files and the date of any change"),
+    ("gpl-2.0", "activities", "activities other than copying distribution and modification are not covered by this license"),
+    ("gpl-2.0", "interactively", "if the modified program normally reads commands interactively when run"),
+    ("gpl-3.0", "copyleft", "is a free copyleft license for software and other kinds of works"),
+    ("gpl-3.0", "corresponding", "the corresponding source for a work in object code form means"),
+    ("gpl-3.0", "technological", "no covered work shall be deemed part of an effective technological measure"),
+    ("gpl-3.0", "propagate", "to propagate a work means to do anything with it"),
+    ("gpl-3.0", "convey", "to convey a work means any kind of propagation that enables other parties to make or receive copies"),
+    ("agpl-3.0", "remotely", "must prominently offer all users interacting with it remotely through a computer network"),
+    ("agpl-3.0", "copyleft", "is a free copyleft license for software and other kinds of works specifically designed to ensure cooperation"),
+    ("lgpl-2.1", "derivative", "contains no derivative of any portion of the library but is designed to work with the library"),
+    ("lgpl-3.0", "incorporates", "incorporates the terms and conditions of version 3 of the gnu general public license"),
+    ("gpl-exception", "linking", "linking this library statically or dynamically with other modules is making a combined work"),
+    ("gpl-exception", "classpath", "classpath exception"),
+    ("gpl-exception", "runtime", "gcc runtime library exception"),
+    ("gpl-exception", "bison", "you may create a larger work that contains part or all of the bison parser skeleton"),
+    ("fsf-text", "verbatim", "everyone is permitted to copy and distribute verbatim copies of this license document"),
+    ("fsf-unlimited", "unlimited", "gives unlimited permission to copy and or distribute it with or without modifications"),
+    ("fdl-1.3", "documentation", "copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    ("fdl-1.3", "invariant", "with no invariant sections no front cover texts and no back cover texts"),
+    ("mpl-1.1", "contents", "the contents of this file are subject to the mozilla public license version 1 1"),
+    ("mpl-2.0", "mpl", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-2.0", "secondary", "incompatible with secondary licenses"),
+    ("epl", "accompanying", "this program and the accompanying materials are made available under the terms of the eclipse"),
+    ("epl", "constitutes", "any use reproduction or distribution of the program constitutes recipient s acceptance of this agreement"),
+    ("cddl", "contents", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("eupl", "eupl", "licensed under the eupl"),
+    ("artistic-1.0", "semblance", "such that the copyright holder maintains some semblance of artistic control over the development of the package"),
+    ("artistic-2.0", "establishes", "this license establishes the terms under which a given free software package may be copied modified distributed"),
+    ("perl", "perl", "under the same terms as perl itself"),
+    ("bsl-1.0", "accompanying", "obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("zlib", "altered", "altered source versions must be plainly marked as such"),
+    ("zlib", "altered", "this notice may not be removed or altered from any source distribution"),
+    ("zlib", "damages", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("unlicense", "compile", "anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("unlicense", "jurisdictions", "in jurisdictions that recognize copyright laws the author or authors of this software dedicate"),
+    ("wtfpl", "fuck", "do what the fuck you want to"),
+    ("beerware", "beer", "you can buy me a beer in return"),
+    ("psf-2.0", "licensee", "psf is making python available to licensee on an as is basis"),
+    ("php-3.01", "php", "products derived from this software may not be called php"),
+    ("ofl-1.1", "font", "this font software is licensed under the sil open font license"),
+    ("ofl-1.1", "font", "neither the font software nor any of its individual components in original or modified versions may be sold by itself"),
+    ("odbl-1.0", "database", "any rights in individual contents of the database are licensed under"),
+    ("odbl-1.0", "database", "made available under the open database license"),
+    ("cc-by", "credit", "you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("cc-by", "redistribute", "you are free to share copy and redistribute the material in any medium or format"),
+    ("cc-by-sa", "remix", "if you remix transform or build upon the material you must distribute your contributions under the same license"),
+    ("cc-by-nd", "remix", "if you remix transform or build upon the material you may not distribute the modified material"),
+    ("cc-by-nc", "commercial", "you may not use the material for commercial purposes"),
+    ("cc", "commons", "provided under the terms of this creative commons public license"),
+    ("cc", "firm", "creative commons corporation is not a law firm and does not provide legal services"),
+    ("cc", "exercising", "by exercising the licensed rights defined below you accept and agree to be bound"),
+    ("cc", "reserved", "some rights reserved"),
+    ("cc0-1.0", "affirmer", "affirmer hereby overtly fully permanently irrevocably and unconditionally waives"),
+    ("cc0-1.0", "waived", "to the extent possible under law the? author|authors|person|publisher who? associated? cc0? with? this? work? has|have waived all copyright"),
+    ("cc-by", "creativecommons", "creativecommons org licenses by [1-4] 0|5"),
+    ("cc-by-sa", "creativecommons", "creativecommons org licenses by sa [1-4] 0|5"),
+    ("cc-by-nc", "creativecommons", "creativecommons org licenses by nc [1-4] 0|5"),
+    ("cc-by-nd", "creativecommons", "creativecommons org licenses by nd [1-4] 0|5"),
+    ("cc-by-nc-sa", "creativecommons", "creativecommons org licenses by nc sa [1-4] 0|5"),
+    ("cc-by-nc-nd", "creativecommons", "creativecommons org licenses by nc nd [1-4] 0|5"),
+    ("cc0-1.0", "creativecommons", "creativecommons org publicdomain zero 1 0"),
+    ("public-domain", "creativecommons", "creativecommons org publicdomain mark 1 0"),
+    ("apache-2.0", "apache", "apache org licenses license 2 0"),
+    ("mit", "opensource", "opensource org licenses? mit"),
+    ("isc", "opensource", "opensource org licenses? isc"),
+    ("bsd-2-clause", "opensource", "opensource org licenses? bsd 2 clause"),
+    ("bsd-3-clause", "opensource", "opensource org licenses? bsd 3 clause"),
+    ("gpl", "gnu", "gnu org licenses gpl"),
+    ("lgpl", "gnu", "gnu org licenses lgpl"),
+    ("agpl", "gnu", "gnu org licenses agpl"),
+    ("fdl-1.3", "gnu", "gnu org licenses fdl"),
+    ("mpl-2.0", "mozilla", "mozilla org mpl 2? 0?"),
+    ("epl", "eclipse", "eclipse org legal epl"),
+    ("bsl-1.0", "boost", "boost org license 1 0"),
+    ("ofl-1.1", "sil", "scripts sil org ofl"),
+    ("ms-pl", "infringed", "over patents that you claim are infringed by the software"),
+    ("openssl", "openssl", "this product includes software developed by the openssl project"),
+    ("openssl", "cryptographic", "this product includes cryptographic software written by eric young"),
+    ("ncsa", "restriction", "to deal with the software without restriction"),
+    ("postgresql", "california", "in no event shall the university of california be liable to any party"),
+    ("vim", "vim", "there are no restrictions on distributing unmodified copies of vim"),
+    ("w3c", "obtaining", "by obtaining using and or copying this work you the licensee agree"),
+    ("sspl-1.0", "functionality", "if you make the functionality of the program or a modified version available to third parties as a service"),
+    ("busl-1.1", "production", "make non production use of the licensed work"),
+    ("busl-1.1", "grant", "additional use grant"),
+    ("elastic-2.0", "hosted", "provide the software to third parties as a hosted or managed service"),
+    ("commons-clause", "sell", "does not grant to you the right to sell the software"),
+    ("llama", "llama", "built with meta? llama"),
+    ("llama", "monthly", "greater than 700 million monthly active users"),
+    ("openrail", "restrictions", "use based restrictions"),
+    ("json", "evil", "the software shall be used for good not evil"),
+    ("eula", "user", "end user licen[cs]e agreement"),
+    ("eula", "decompile", "reverse engineer decompile or disassemble"),
+    ("eula", "installing", "by installing copying or otherwise using the? this? software|product you agree to be bound by"),
+    ("proprietary", "confidential", "is the confidential and proprietary information of"),
+    ("proprietary", "unpublished", "this is an unpublished work"),
+    ("proprietary", "evaluation", "for evaluation purposes only"),
+    ("all-rights-reserved", "transmitted", "may be reproduced stored? distributed? or transmitted in any form or by any means"),
+    ("all-rights-reserved", "publication", "no part of this publication may be reproduced"),
+    ("non-commercial", "commercial", "not for commercial use"),
+    ("non-commercial", "personal", "for personal use only"),
+    ("hpnd", "documentation", "permission to use copy modify and distribute this software and its documentation for any purpose"),
+    ("bsd-4-clause", "acknowledgement", "must display the following acknowledgement"),
+    ("bsd-4-clause", "acknowledgment", "must display the following acknowledgment"),
+    ("non-commercial", "academic", "for academic use|purposes only"),
+    ("non-commercial", "educational", "for educational use|purposes only"),
+    ("non-commercial", "research", "for research use|purposes only"),
+    ("license-reference", "notices", "third party notices"),
+    ("license-reference", "license", "refer to the license file"),
+    ("license-reference", "license", "a copy of the license is included"),
+    ("license-reference", "license", "received a copy of the license along with"),
 )
 
 # order of the kinds of rules: (priority, confidence)

@@ -15,7 +15,9 @@ def found(spark, *texts):
 
 def test_every_match_of_a_rule_holds_its_keyword():
     rules = R.rules()
-    assert len(rules) > 300 and len({r.label for r in rules}) > 60
+    written = {words for _, _, names in R.FAMILIES for words in names} | {words for _, _, words in R.PASSAGES}
+    assert len(written) > 200 and len({r.label for r in rules}) > 80
+    assert len({words for _, _, words in R.PASSAGES}) == len(R.PASSAGES)
     for r in rules:
         certain = re.sub(r"\(\?:[^()]*\)\?", "", r.pattern)  # what no match lacks
         parts = re.findall(r"\(\?:([^()]*)\)", certain)
@@ -30,6 +32,20 @@ def test_longer_and_higher_rules_suppress_what_they_cover(spark):
     assert [(d["first"], d["stop"]) for d in rows[0]["detections"]] == [(0, 8)]
 
 
+def test_notices_and_full_texts(spark):
+    rows = found(
+        spark,
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software, including the rights to use, copy, "
+        "modify, merge, publish, distribute, sublicense, and/or sell copies of the Software.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
+        "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+        "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software.",
+        "See https://creativecommons.org/licenses/by-nc-sa/4.0/ and http://www.apache.org/licenses/LICENSE-2.0",
+        "The Software shall be used for Good, not Evil.", "for research purposes only; you may not reverse engineer, decompile or disassemble it")
+    assert [r["labels"] for r in rows] == ["mit", "gpl,or-later", "bsd-3-clause", "apache-2.0,cc-by-nc-sa", "json",
+                                           "eula,non-commercial"]
+
+
 def test_base_places_stay_though_covered(spark):
     row, = found(spark, "The MIT-license, mit license; GNU General Public License v3 é")
     assert [(d["first"], d["label"]) for d in sorted(row["places"], key=lambda d: d["first"])] == [(1, "mit"), (3, "mit"), (6, "gpl")]
