@@ -11,6 +11,7 @@ their ranks over 2**k lines agree at their starts and at n - 2**k lines behind (
 
 Every repeated run is a union of runs that fall below ``min_words`` without their first or without their last line.  They have
 at most ``min_words`` lines, so ranks over more lines would not split an interval that decides.
+``maximal_runs`` goes on doubling to the whole suffix order and lists the maximal repeated runs by their common prefixes.
 
 Defined cases: a null text stays null and has no lines; repeated rows (same id and text) are one document, whose rows
 are all treated alike; a text without a word is left as it is; other columns are carried along or not looked at.
@@ -121,6 +122,56 @@ def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .select(*(F.col(f"place.{k}").alias(k) for k in DOC), F.col("place.p").alias("first"), "lines")
 
 
+def suffix_ranks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[int, DataFrame]]:
+    """``(span, rows(id, k1, k2, p, rank))`` by prefix doubling to the end: ranks over 1, 2, 4, ... lines of every suffix, until
+    no two suffixes that still share a rank differ further on.  A text's end stands before every line."""
+    lines = store(sequences(docs, id_col, text_col, 1).select("id", *DOC, "p", "h1", "h2").distinct(), "suffix-lines")
+    own = store(lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")), "suffix-pairs")
+    level = store(lines.join(ranked(own, ["h1", "h2"], "rank"), ["h1", "h2"]).select("id", *DOC, "p", "rank"), "suffix-ranks")
+    levels, span, groups = [(1, level)], 1, own.count()
+    while True:
+        pairs = level.withColumn("next", F.coalesce(_at(span, "rank"), F.lit(-1).cast("bigint")))
+        own = store(pairs.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n")), "suffix-pairs")
+        size = own.count()
+        if size == groups:
+            return levels
+        level = store(pairs.join(ranked(own, ["rank", "next"], "new"), ["rank", "next"]).select("id", *DOC, "p", F.col("new").alias("rank")),
+                      "suffix-ranks")
+        span, groups = 2 * span, size
+        levels.append((span, level))
+
+
+def maximal_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = 1) -> DataFrame:
+    """``(id, k1, k2, first, lines)``: the maximal runs of lines with a word that stand at another place too.
+
+    Suffixes are numbered in order; the common prefix of two that follow each other is the rest of both if their last ranks agree,
+    else found from the longest span down, as their ranks over it agree or not.  A place's run is the longer of its two common prefixes; it is maximal
+    unless the run from the line before reaches as far.
+    """
+    levels = suffix_ranks(docs, id_col, text_col)
+    rest = F.count(F.lit(1)).over(Window.partitionBy(*DOC)) - F.col("p")
+    keys = ["rank", "none", "id", *DOC, "p", "rest"]
+    last = levels[-1][1].withColumn("none", F.col("id").isNull()).withColumn("rest", rest).withColumn("n", F.lit(1))
+    order = store(ranked(last, keys, "place"), "suffix-order")
+    sides = [order.select((F.col("place") - back).alias("place"), *(F.col(c).alias(f"{c}_{side}") for c in (*DOC, "p", "rest")))
+             for side, back in (("a", 0), ("b", 1))]
+    beside = store(sides[0].join(sides[1], "place").withColumn("n", F.lit(0).cast("bigint")), "suffix-neighbours")
+    for span, level in reversed(levels):
+        for side in "ab":
+            on = [F.col(f"{c}_{side}") == F.col(f"l.{c}") for c in DOC] + [F.col(f"p_{side}") + F.col("n") == F.col("l.p")]
+            beside = beside.join(level.select(*DOC, "p", "rank").alias("l"), on, "left") \
+                .select(*(F.col(c) for c in beside.columns), F.col("l.rank").alias(f"rank_{side}"))
+        # the last ranks are those of whole suffixes
+        reach = F.least("rest_a", "rest_b") if level is levels[-1][1] else F.lit(span).cast("bigint")
+        same = F.when(F.col("rank_a") == F.col("rank_b"), reach).otherwise(F.lit(0))
+        beside = store(beside.withColumn("n", F.col("n") + same).drop("rank_a", "rank_b"), "suffix-neighbours")
+    runs = [beside.select(*(F.col(f"{c}_{side}").alias(c) for c in (*DOC, "p")), F.col("n").alias("lines")) for side in "ab"]
+    longest = runs[0].unionAll(runs[1]).groupBy(*DOC, "p").agg(F.max("lines").alias("lines"))
+    found = longest.withColumn("before", F.coalesce(_at(-1, "lines"), F.lit(0))) \
+        .filter((F.col("before") <= F.col("lines")) & (F.col("lines") >= min_lines))
+    return found.join(order.select("id", *DOC, "p"), [*DOC, "p"]).select("id", *DOC, F.col("p").alias("first"), "lines")
+
+
 def drop_later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 6) -> DataFrame:
     """``doc`` (the old row), ``body`` (the text without later copies), ``n_lines`` (with a word) and ``deleted`` (their places among
     all lines, from 0) of every row."""

@@ -79,3 +79,24 @@ def test_ranks_count_what_stands_before(spark):
     got = {(r["a"], r["b"]): r["rank"] for r in L.ranked(
         spark.createDataFrame([(a, b, n) for (a, b), n in zip(keys, sizes)], "a long, b long, n long"), ["a", "b"], "rank").collect()}
     assert [got[k] for k in keys] == [sum(sizes[:i]) for i in range(len(keys))]
+
+
+def test_common_prefixes_reveal_the_maximal_runs(spark):
+    rng = random.Random(2)
+    passage = [f"line {i} of a passage" for i in range(11)]
+    rows = [(i, "\n".join(rng.choices(["a", "b b", "c", "", "d"], k=rng.randrange(8)))) for i in range(14)]
+    rows += [(20 + i, "\n".join([f"own {i}", *passage[i:], "a", "b b"])) for i in range(3)] + [(None, "a\nb b\nc"), (20, None), (30, "")]
+    rows += [rows[3], rows[15]]  # repeated rows are one document
+    lines = {(i, t): [x for x in t.split("\n") if WORD.search(x)] for i, t in rows if t is not None}
+    places: dict[tuple, list] = {}
+    for key, own in lines.items():
+        for s in range(len(own)):
+            for e in range(s + 1, len(own) + 1):
+                places.setdefault(tuple(own[s:e]), []).append((key, s))
+    want = []
+    for (i, t), own in lines.items():
+        longest = [max([n for n in range(1, len(own) - s + 1) if len(places[tuple(own[s:s + n])]) > 1], default=0) for s in range(len(own))]
+        want += [(str(i), s, n) for s, n in enumerate(longest) if n and (s == 0 or longest[s - 1] <= n)]
+    got = [(str(r["id"]), r["first"], r["lines"]) for r in L.maximal_runs(cases.docs(spark, rows)).collect()]
+    assert sorted(got) == sorted(want) and max(n for _, _, n in got) >= 12
+    assert L.maximal_runs(cases.empty(spark)).count() == 0
