@@ -39,3 +39,23 @@ def test_smaller_tasks_and_more_partitions_stay(spark, settings):
 @pytest.mark.parametrize("text, size", [("134217728", 1 << 27), ("128MB", 1 << 27), ("64k", 1 << 16), ("1 gb", 1 << 30), ("7b", 7), ("1m", 1 << 20)])
 def test_sizes_of_settings(text, size):
     assert session._bytes(text) == size
+
+
+@pytest.mark.parametrize("name", ["risk_pairs", "batch_drilldown", "product_store_daily", "kpi_sustainability", "curated_join_catalog"])
+def test_more_tasks_run_where_the_input_grows(spark, settings, monkeypatch, name):
+    def run(group):
+        settings.set(PARTITIONS, "4")
+        spark.sparkContext.setJobGroup(group, name)
+        rows = sorted(map(str, E.queries()[name](spark, SF_SMALL).collect()))
+        seen = spark.sparkContext.statusTracker()
+        stages = [seen.getStageInfo(s) for j in seen.getJobIdsForGroup(group) for s in seen.getJobInfo(j).stageIds]
+        return rows, max(s.numTasks for s in stages if s)
+
+    monkeypatch.setattr(session, "TASK_BYTES", 16 * 1024)
+    rows, tasks = run(f"bounded-{name}")
+    assert tasks >= -(-session.input_bytes(spark, f"{SF_SMALL}/lineitem.parquet") // (16 * 1024)) > 4
+    for key in session.TASK_CONF:
+        settings.set(key, "64MB")
+    monkeypatch.setattr(E, "bound_tasks", lambda spark, *paths: spark)
+    free, few = run(f"free-{name}")
+    assert rows == free and few <= 4
