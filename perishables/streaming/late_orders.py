@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from perishables.session import scratch_path
 
 DELAY, GAP = "15 days", "10 days"
+RETAINED = "2"  # batches whose state stays on disk: a restart needs the last one
 
 
 def joined_lines(lines: DataFrame, orders: DataFrame, delay: str = DELAY, gap: str = GAP) -> DataFrame:
@@ -30,6 +31,7 @@ def joined_lines(lines: DataFrame, orders: DataFrame, delay: str = DELAY, gap: s
 def run_sales_join(spark: SparkSession, lines: DataFrame, orders: DataFrame, sink: str, checkpoint: str | None = None,
                    delay: str = DELAY, gap: str = GAP) -> StreamingQuery:
     """Join what is there (``availableNow``) into the Parquet folder ``sink``, then stop; the ended query tells its state's size."""
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", RETAINED)
     query = (joined_lines(lines, orders, delay, gap).writeStream.format("parquet").outputMode("append").option("path", sink)
              .option("checkpointLocation", checkpoint or scratch_path(spark, "late-orders-ckpt")).trigger(availableNow=True).start())
     query.awaitTermination()

@@ -52,3 +52,12 @@ def test_late_orders_find_their_lines_and_state_falls(spark):
     every = [r for lines, _ in loads for r in lines]
     batch = domain_views.sales(spark.createDataFrame(every, LINES), spark.createDataFrame([r for _, orders in loads for r in orders if r[0] < 900], ORDERS))
     assert sorted(curate.daily_sales(domain_views.sales_of(found)).collect()) == sorted(curate.daily_sales(batch).collect())
+
+
+def test_only_what_sales_are_made_of_goes_through_the_state(spark):
+    lines = spark.createDataFrame([(1, 2, 3, 1, 5.0, 9.5, 0.0, 0.0, "R", "F")],
+                                  LINES.replace("l_discount", "l_extendedprice double, l_discount").replace("recorded timestamp", "l_linestatus string"))
+    orders = spark.createDataFrame([(1, 2, "O", 9.5, at(0))], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp")
+    kept = domain_views.sales_columns(lines), domain_views.sales_columns(orders)
+    assert not {"l_partkey", "l_extendedprice", "l_linestatus", "o_orderstatus", "o_totalprice"} & {c for df in kept for c in df.columns}
+    assert domain_views.sales(*kept).collect() == domain_views.sales(lines, orders).collect() != []
