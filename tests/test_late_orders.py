@@ -60,4 +60,5 @@ def test_only_what_sales_are_made_of_goes_through_the_state(spark):
     orders = spark.createDataFrame([(1, 2, "O", 9.5, at(0))], "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp")
     kept = domain_views.sales_columns(lines), domain_views.sales_columns(orders)
     assert not {"l_extendedprice", "l_linestatus", "o_orderstatus", "o_totalprice"} & {c for df in kept for c in df.columns}
-    assert domain_views.sales(*kept).collect() == domain_views.sales(lines, orders).collect() != []
+    joined = kept[0].join(kept[1], kept[0].l_orderkey == kept[1].o_orderkey)
+    assert domain_views.sales_of(joined).collect() == domain_views.sales(lines, orders).collect() != []
